@@ -102,8 +102,11 @@ def train(
 
     # Both classes weigh the same in sum. Saying that the label is binary saves
     # the forest a pass to find out.
-    weighted = with_weights(learning, balance.w_pos).withColumn("label", F.col("label").alias("label", metadata=_TWO_CLASSES))
-    model = classifier(settings).fit(weighted)
+    binary = F.col("label").alias("label", metadata=_TWO_CLASSES)
+    weighted = with_weights(learning, balance.w_pos).withColumn("label", binary)
+    # A fresh forest drags its training summary, and with it the session, into
+    # the tasks that use it; its copy does not.
+    model = classifier(settings).fit(weighted).copy()
     predictions = model.transform(held_out)
     metrics = spark.createDataFrame(
         [(area_under_roc(predictions), balance.n_pos, balance.n_neg, balance.n_classes, balance.w_pos)],
