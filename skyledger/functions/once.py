@@ -17,4 +17,5 @@ def expand_once(df: DataFrame, record: Column, keep: Sequence[str] = ()) -> Data
     pushed through a generator's output, so the expression runs once. A null
     record gives one row of nulls.
     """
-    return df.select(*[F.col(f"`{name}`") for name in keep], F.inline(F.array(record)))
+    kept = [F.col(f"`{name}`") for name in keep]
+    return df.select(*kept, record.alias("_record")).select(*kept, F.inline(F.array("_record")))

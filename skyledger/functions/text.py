@@ -3,17 +3,21 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: every character the feeds' producers treat as blank. Spark's own
+# Every character the feeds' producers treat as blank. Spark's own
 # trim removes the plain space only.
-BLANKS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+ASCII_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
+BLANKS = ASCII_BLANKS + (
+    "\x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
 
 def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(BLANKS))
+    """Text without blanks at its ends. Nearly all of it is plain ASCII, for
+    which a third of the characters need to be looked for."""
+    plain = F.length(text) == F.octet_length(text)
+    return F.when(plain, F.btrim(text, F.lit(ASCII_BLANKS))).otherwise(F.btrim(text, F.lit(BLANKS)))
 
 
 def blank_to_null(text: Column) -> Column:

@@ -84,10 +84,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_aircraft(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Aircraft objects; made once per row, as if they were read from a file."""
-    fields = [F.expr(sql).alias(name) for name, sql in AIRCRAFT_SQL.items()]
-    made = F.struct(*fields, F.expr(SOURCE_SQL).alias("source"))
-    return expand_once(_events(spark, sf_dir), made, keep=["event_id", "ts"])
+    """Aircraft objects, each made once, as if they were read from a file."""
+    fields = ", ".join(f"{sql} AS {name}" for name, sql in (AIRCRAFT_SQL | {"source": SOURCE_SQL}).items())
+    return expand_once(_events(spark, sf_dir), F.expr(f"struct({fields})"), keep=["event_id", "ts"])
 
 
 def raw_states(spark: SparkSession, sf_dir: str) -> DataFrame:
