@@ -4,13 +4,15 @@
     index    the same events to the search table      LANDING_PATH, SOURCE, INDEX_PATH
     rules    telemetry to rule alerts                 TOPIC_IN, TOPIC_OUT
     archive  telemetry to Parquet by date             TOPIC_IN, PARQUET_PATH
-    train    archive to model                         PARQUET_PATH, MODEL_OUT
+    train    archive to model                         PARQUET_PATH, MODEL_OUT,
+             or some days of it                       FIRST_DAY, LAST_DAY
     score    telemetry to model alerts                TOPIC_IN, TOPIC_OUT, MODEL_PATH
     publish  alerts to the document table             TOPICS, INDEX_PATH
 
 All that touch the bus read KAFKA_BOOTSTRAP, or BUS_PATH and BUS_OUT_PATH for
 folders of bus records; streams read CHECKPOINT_DIR and STARTING_OFFSETS, and
-KAFKA_MIN_PARTITIONS and KAFKA_MAX_OFFSETS to size their batches.
+KAFKA_MIN_PARTITIONS, KAFKA_MAX_OFFSETS, LANDING_MAX_FILES and TRIGGER_INTERVAL
+to size their batches.
 """
 
 from __future__ import annotations
@@ -20,9 +22,10 @@ import os
 import sys
 from collections.abc import Mapping
 from dataclasses import replace
+from datetime import date
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .config import Geofence, Index, Scoring, Thresholds, Topics, Training
 from .operators.learning import OneClassError, sample_predictions, save_model, train
@@ -50,7 +53,7 @@ def _bus(env: Mapping[str, str], folder: str, offsets: str) -> Bus:
     )
 
 
-def run(job: str, spark: SparkSession, env: Mapping[str, str], once: bool = False) -> None:
+def run(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping | None = None) -> None:
     """Run a job to its end, or until it is stopped."""
     checkpoint = env.get("CHECKPOINT_DIR") or f"{shared_folder(spark)}/skyledger/{job}"
     # The archive wants everything, the detectors what happens now.
@@ -65,34 +68,41 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str], once: bool = Fals
     index = Index.from_env(env)
     archive_path = env.get("PARQUET_PATH", ARCHIVE_PATH)
     bounds = Thresholds.from_env(env)
+    landing = int(env["LANDING_MAX_FILES"]) if "LANDING_MAX_FILES" in env else None
+    if trigger is None and "TRIGGER_INTERVAL" in env:
+        trigger = jobs.every(env["TRIGGER_INTERVAL"])
 
     if job == "train":
-        _train(spark, archive_path, env.get("MODEL_OUT", MODEL_PATH), Training.from_env(env), bounds)
+        days = [date.fromisoformat(env[name]) if name in env else None for name in ("FIRST_DAY", "LAST_DAY")]
+        history = read_archive(spark, archive_path, *days)
+        _train(history, env.get("MODEL_OUT", MODEL_PATH), Training.from_env(env), bounds)
         return
     if job in ("ingest", "publish"):
         name = jobs.INGEST_COUNTERS if job == "ingest" else jobs.PUBLISH_COUNTERS
         spark.streams.addListener(RunningCounts(name))
     if job == "ingest":
-        query = jobs.ingest(spark, env["LANDING_PATH"], source, out, checkpoint, topics, once)
+        query = jobs.ingest(spark, env["LANDING_PATH"], source, out, checkpoint, topics, landing, trigger)
     elif job == "index":
-        query = jobs.index_routes(spark, env["LANDING_PATH"], source, env["INDEX_PATH"], checkpoint, index.prefix, once)
+        query = jobs.index_routes(
+            spark, env["LANDING_PATH"], source, env["INDEX_PATH"], checkpoint, index.prefix, landing, trigger
+        )
     elif job == "rules":
-        query = jobs.alert_by_rules(spark, bus, out, checkpoint, topics, bounds, Geofence.from_env(env), once)
+        query = jobs.alert_by_rules(spark, bus, out, checkpoint, topics, bounds, Geofence.from_env(env), trigger)
     elif job == "archive":
-        query = jobs.archive(spark, bus, archive_path, checkpoint, topics, once)
+        query = jobs.archive(spark, bus, archive_path, checkpoint, topics, trigger)
     elif job == "score":
         model = PipelineModel.load(env.get("MODEL_PATH", MODEL_PATH))
-        query = jobs.alert_by_model(spark, bus, out, model, checkpoint, topics, Scoring.from_env(env), once)
+        query = jobs.alert_by_model(spark, bus, out, model, checkpoint, topics, Scoring.from_env(env), trigger)
     elif job == "publish":
-        query = jobs.publish(spark, bus, env["INDEX_PATH"], checkpoint, index, once)
+        query = jobs.publish(spark, bus, env["INDEX_PATH"], checkpoint, index, trigger)
     else:
         raise SystemExit(__doc__)
     query.awaitTermination()
 
 
-def _train(spark: SparkSession, archive_path: str, model_path: str, settings: Training, bounds: Thresholds) -> None:
+def _train(history: DataFrame, model_path: str, settings: Training, bounds: Thresholds) -> None:
     try:
-        trained = train(read_archive(spark, archive_path), scratch(spark, "training"), settings, bounds)
+        trained = train(history, scratch(history.sparkSession, "training"), settings, bounds)
     except OneClassError as problem:
         print(problem, file=sys.stderr)
         raise SystemExit(2) from problem

@@ -99,7 +99,7 @@ def _states(spark, sf_dir):
 
 
 def _polled(spark, sf_dir, feed, **options):
-    snapshots = parse_snapshots(feeds.envelopes(spark, sf_dir))
+    snapshots = parse_snapshots(feeds.envelopes(spark, sf_dir), feed)
     return normalize(snapshots, feed, F.col("ts"), keep=["event_id"], **options)
 
 
@@ -385,7 +385,7 @@ def _telemetry_bus(spark, sf_dir) -> FileBus:
 
 
 def _stream(start, spark, *arguments, label: str, **options) -> None:
-    query = start(spark, *arguments, checkpoint=scratch(spark, f"{label}-checkpoint"), once=True, **options)
+    query = start(spark, *arguments, checkpoint=scratch(spark, f"{label}-checkpoint"), trigger=jobs.ONCE, **options)
     query.awaitTermination()
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.once import expand_once
 from ..schemas import SNAPSHOT
@@ -12,20 +13,32 @@ STATE_FEED = "opensky"
 AC_FIRST_FEED = "airplaneslive"
 
 
-def read_snapshots(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes with ``fetched_at``, the instant their file was landed.
 
     Taking the instant from the file, not from the clock, makes a replay give
     the same events.
     """
-    reader = (spark.readStream if stream else spark.read).schema(SNAPSHOT)
-    return reader.json(folder).select("*", F.col("_metadata.file_modification_time").alias("fetched_at"))
+    return _with_instant(spark.read.schema(SNAPSHOT).json(folder))
 
 
-def parse_snapshots(df: DataFrame, text: str = "value") -> DataFrame:
-    """Envelopes out of a column of JSON text; the other columns are kept."""
+def read_snapshot_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(SNAPSHOT)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _with_instant(reader.json(folder))
+
+
+def _with_instant(envelopes: DataFrame) -> DataFrame:
+    return envelopes.select("*", F.col("_metadata.file_modification_time").alias("fetched_at"))
+
+
+def parse_snapshots(df: DataFrame, feed: str, text: str = "value") -> DataFrame:
+    """Envelopes out of a column of JSON text, with the lists that the feed
+    looks at; the other columns are kept."""
     keep = [name for name in df.columns if name != text]
-    return expand_once(df, F.from_json(F.col(text).cast("string"), SNAPSHOT), keep)
+    lists = StructType([field for field in SNAPSHOT if (field.name == "states") == (feed == STATE_FEED)])
+    return expand_once(df, F.from_json(F.col(text).cast("string"), lists), keep)
 
 
 def explode_snapshots(df: DataFrame, feed: str) -> DataFrame:

@@ -7,6 +7,7 @@ and restarted alone.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import partial
 
 from pyspark.ml import PipelineModel
@@ -26,46 +27,68 @@ from ..operators.scoring import model_alerts, score
 from ..operators.telemetry import parse_telemetry
 from ..sources.archive import archive_stream
 from ..sources.bus import Bus
-from ..sources.snapshots import read_snapshots
+from ..sources.snapshots import read_snapshot_stream
 from .publish import ensure_index, publish_batch
 
 INGEST_COUNTERS = "ingest"
 PUBLISH_COUNTERS = "publish"
 
 
-def launch(writer: DataStreamWriter, name: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Start; run until stopped, or ``once`` over all that is there."""
+# Over all that is there, then stop. No trigger at all: batch after batch.
+ONCE = {"availableNow": True}
+
+
+def every(interval: str) -> dict[str, str]:
+    """A batch per interval. Longer ones give the archive fewer, larger files."""
+    return {"processingTime": interval}
+
+
+def launch(writer: DataStreamWriter, name: str, checkpoint: str, trigger: Mapping | None = None) -> StreamingQuery:
     writer = writer.queryName(name).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def routed_events(spark: SparkSession, landing: str, feed: str) -> DataFrame:
-    """Landed snapshots as routed canonical events."""
-    snapshots = read_snapshots(spark, landing, stream=True)
+def routed_events(spark: SparkSession, landing: str, feed: str, max_files: int | None = None) -> DataFrame:
+    """Landed snapshots as routed canonical events. ``max_files`` bounds a batch."""
+    snapshots = read_snapshot_stream(spark, landing, max_files)
     fetched = F.col("fetched_at")
     events = normalize(snapshots, feed, fetched, keep=["fetched_at"], counters=INGEST_COUNTERS)
     return enrich_and_route(events.withColumnRenamed("fetched_at", "@timestamp"))
 
 
 def ingest(
-    spark: SparkSession, landing: str, feed: str, out: Bus, checkpoint: str, topics: Topics = Topics(), once: bool = False
+    spark: SparkSession,
+    landing: str,
+    feed: str,
+    out: Bus,
+    checkpoint: str,
+    topics: Topics = Topics(),
+    max_files: int | None = None,
+    trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """SNK-4: all three routes in one pass, each record to the topic it names."""
-    records = to_routed_bus(routed_events(spark, landing, feed), topics)
-    return launch(out.write_stream(records), "ingest", checkpoint, once)
+    records = to_routed_bus(routed_events(spark, landing, feed, max_files), topics)
+    return launch(out.write_stream(records), "ingest", checkpoint, trigger)
 
 
 def index_routes(
-    spark: SparkSession, landing: str, feed: str, path: str, checkpoint: str, prefix: str, once: bool = False
+    spark: SparkSession,
+    landing: str,
+    feed: str,
+    path: str,
+    checkpoint: str,
+    prefix: str,
+    max_files: int | None = None,
+    trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """SNK-4: searchable copies of accepted and rejected events.
 
     A query of its own, so that files are written exactly once and a slow index
     does not hold up the bus.
     """
-    copies = to_route_index(routed_events(spark, landing, feed), prefix)
+    copies = to_route_index(routed_events(spark, landing, feed, max_files), prefix)
     writer = copies.writeStream.format("parquet").option("path", path).partitionBy("index").outputMode("append")
-    return launch(writer, "index_routes", checkpoint, once)
+    return launch(writer, "index_routes", checkpoint, trigger)
 
 
 def alert_by_rules(
@@ -76,11 +99,11 @@ def alert_by_rules(
     topics: Topics = Topics(),
     bounds: Thresholds = Thresholds(),
     fence: Geofence = Geofence(),
-    once: bool = False,
+    trigger: Mapping | None = None,
 ) -> StreamingQuery:
     telemetry = parse_telemetry(bus.read_stream(spark, [topics.telemetry]))
     records = to_bus(rule_alerts(telemetry, bounds, fence), topics.rule_alerts)
-    return launch(out.write_stream(records), "alert_by_rules", checkpoint, once)
+    return launch(out.write_stream(records), "alert_by_rules", checkpoint, trigger)
 
 
 def alert_by_model(
@@ -91,26 +114,26 @@ def alert_by_model(
     checkpoint: str,
     topics: Topics = Topics(),
     levels: Scoring = Scoring(),
-    once: bool = False,
+    trigger: Mapping | None = None,
 ) -> StreamingQuery:
     telemetry = parse_telemetry(bus.read_stream(spark, [topics.telemetry]))
     alerts = model_alerts(score(model_features(telemetry), model), levels)
-    return launch(out.write_stream(to_bus(alerts, topics.model_alerts)), "alert_by_model", checkpoint, once)
+    return launch(out.write_stream(to_bus(alerts, topics.model_alerts)), "alert_by_model", checkpoint, trigger)
 
 
 def archive(
-    spark: SparkSession, bus: Bus, path: str, checkpoint: str, topics: Topics = Topics(), once: bool = False
+    spark: SparkSession, bus: Bus, path: str, checkpoint: str, topics: Topics = Topics(), trigger: Mapping | None = None
 ) -> StreamingQuery:
     history = to_archive(parse_telemetry(bus.read_stream(spark, [topics.telemetry])))
-    return launch(archive_stream(history, path), "archive", checkpoint, once)
+    return launch(archive_stream(history, path), "archive", checkpoint, trigger)
 
 
 def publish(
-    spark: SparkSession, bus: Bus, path: str, checkpoint: str, index: Index = Index(), once: bool = False
+    spark: SparkSession, bus: Bus, path: str, checkpoint: str, index: Index = Index(), trigger: Mapping | None = None
 ) -> StreamingQuery:
     """Alerts of all detectors to the index table. A failed write fails the
     batch, which is then retried; no document is skipped."""
     ensure_index(spark, path)
     documents = alert_documents(bus.read_stream(spark, index.topic_names()), index.prefix, PUBLISH_COUNTERS)
     writer = documents.writeStream.foreachBatch(partial(publish_batch, path=path))
-    return launch(writer, "publish", checkpoint, once)
+    return launch(writer, "publish", checkpoint, trigger)

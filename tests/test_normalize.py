@@ -133,7 +133,7 @@ def test_lists_fall_through_when_empty(spark):
         envelope(aircraft=None, ac=None),
         "{",
     ]
-    df = parse_snapshots(spark.createDataFrame([(t,) for t in texts], "value string"))
+    df = parse_snapshots(spark.createDataFrame([(t,) for t in texts], "value string"), "adsbfi")
     assert [r.hex for r in explode_snapshots(df, "adsbfi").collect()] == ["a1", "b2", "b3", "a4"]
     assert [r.hex for r in explode_snapshots(df, "airplaneslive").collect()] == ["b1", "b2", "b3", "a4"]
 

@@ -39,7 +39,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     bus, out = FileBus(str(tmp_path / "bus"), max_files=1), FileBus(str(tmp_path / "out"))
     checkpoint = str(tmp_path / "checkpoint")
     send(spark, bus, *KINDS, "{", json.dumps(BASE | {"stream": "x"}))
-    drain(jobs.alert_by_rules(spark, bus, out, checkpoint, once=True))
+    drain(jobs.alert_by_rules(spark, bus, out, checkpoint, trigger=jobs.ONCE))
 
     def texts(df):
         return sorted(json.dumps(json.loads(r.value) | {"alert_generated_at": None}) for r in df.collect())
@@ -50,7 +50,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     # Stopped and started again, it goes on where it was.
     send(spark, bus, {"squawk": "7500"})
     for _ in range(2):
-        drain(jobs.alert_by_rules(spark, bus, out, checkpoint, once=True))
+        drain(jobs.alert_by_rules(spark, bus, out, checkpoint, trigger=jobs.ONCE))
         assert out.read(spark, ["flights.alerts"]).count() == 5
 
 
@@ -58,7 +58,7 @@ def test_archive_stream(spark, tmp_path):
     bus = FileBus(str(tmp_path / "bus"))
     send(spark, bus, *KINDS, {"@timestamp": "2024-02-01T00:00:00Z"}, {"lat": None}, {"@timestamp": "soon"})
     for _ in range(2):
-        drain(jobs.archive(spark, bus, str(tmp_path / "archive"), str(tmp_path / "checkpoint"), once=True))
+        drain(jobs.archive(spark, bus, str(tmp_path / "archive"), str(tmp_path / "checkpoint"), trigger=jobs.ONCE))
     counts = {str(r.event_date): r["count"] for r in read_archive(spark, str(tmp_path / "archive")).groupBy("event_date").count().collect()}
     assert counts == {"2024-01-15": 5, "2024-02-01": 1, "None": 1}
 
@@ -73,7 +73,7 @@ def test_publication_of_two_topics_with_counters(spark, tmp_path):
     spark.streams.addListener(counts)
     try:
         for checkpoint in ("a", "a", "b"):
-            drain(jobs.publish(spark, bus, str(tmp_path / "index"), str(tmp_path / checkpoint), Index(), once=True))
+            drain(jobs.publish(spark, bus, str(tmp_path / "index"), str(tmp_path / checkpoint), Index(), trigger=jobs.ONCE))
         for _ in range(50):
             if counts.totals["unreadable"] >= 2:
                 break
@@ -109,7 +109,7 @@ def test_jobs_from_landing_to_index(spark, tmp_path):
     }
 
     def start(job, **more):
-        run(job, spark, env | {"CHECKPOINT_DIR": str(tmp_path / f"checkpoint-{job}")} | more, once=True)
+        run(job, spark, env | {"CHECKPOINT_DIR": str(tmp_path / f"checkpoint-{job}")} | more, trigger=jobs.ONCE)
 
     start("ingest", BUS_OUT_PATH=env["BUS_PATH"])
     start("index")
