@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import and_
 
@@ -16,12 +17,12 @@ from .rules import anomalous
 def model_features(events: DataFrame) -> DataFrame:
     """Events the model can read, with the hour of their day.
 
-    Written as null tests, which a Parquet scan takes over, where ``dropna``
-    gives an expression it cannot.
+    Null fails the comparison and so does NaN, which sorts above all numbers. A
+    Parquet scan takes such a test over; of ``dropna`` it takes nothing.
     """
-    present = [F.col(name).isNotNull() for name in ("event_ts", *MODEL_NUMBERS, "source")]
-    numeric = [~F.isnan(name) for name in MODEL_NUMBERS]
-    return events.filter(reduce(and_, present + numeric)).withColumn("hour", F.hour("event_ts"))
+    known = [F.col("event_ts").isNotNull(), F.col("source").isNotNull()]
+    numeric = [F.col(name) <= F.lit(math.inf) for name in MODEL_NUMBERS]
+    return events.filter(reduce(and_, known + numeric)).withColumn("hour", F.hour("event_ts"))
 
 
 def weak_labels(features: DataFrame, bounds: Thresholds = Thresholds()) -> DataFrame:

@@ -59,6 +59,10 @@ def test_incomplete_events_are_no_features(spark, name):
     assert [r.hour for r in features.collect()] == [10]
 
 
+def test_infinity_is_a_number(spark):
+    assert model_features(with_event_ts(telemetry(spark, {"heading_deg": float("inf")}))).count() == 1
+
+
 def test_unreadable_time_is_no_feature(spark):
     assert model_features(with_event_ts(telemetry(spark, {"@timestamp": "soon"}))).count() == 0
 
@@ -68,7 +72,8 @@ def test_missing_position_and_category_do_not_matter_to_rules_but_to_features(sp
     features = model_features(read_archive(spark, str(tmp_path / "a")))
     assert features.count() == 2
     plan = plan_of(features.select("hour"), capsys)
-    assert "IsNotNull(baro_altitude_ft)" in plan and "category" not in plan.split("ReadSchema")[1]
+    assert "IsNotNull(baro_altitude_ft)" in plan and "LessThanOrEqual(lat,Infinity)" in plan
+    assert "category" not in plan.split("ReadSchema")[1]
 
 
 @pytest.mark.parametrize(
