@@ -25,6 +25,17 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import scratch
+    from .chat import conversation_digests, formatted_turns, turn_rows
+
+    awkward = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", awkward), (-7, 1, "assistant", awkward)], "conv_id long, turn long, role string, text string")
+    folder = scratch(spark, "chat")
+    formatted_turns(turn_rows(table(spark, sf_dir, "conversations")).unionByName(extra)).write.parquet(folder)
+    return conversation_digests(spark.read.parquet(folder))
+
+
 def all_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
