@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 4 << 20
@@ -42,7 +44,7 @@ def sums_by_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def coded_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def coded_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """White-space words of each text: the distinct words, a code per word, and the bounds of each row.
 
     A null text has no word. White space is what Unicode says it is.
@@ -52,8 +54,7 @@ def coded_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     coded = pc.dictionary_encode(words)
     bounds = lists.offsets.to_numpy().astype(np.int64)
     codes = coded.indices.to_numpy(zero_copy_only=False)
-    distinct = coded.dictionary.to_pylist()
-    return distinct, codes, bounds - bounds[0]
+    return coded.dictionary, codes, bounds - bounds[0]
 
 
 def key_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, bool]]:
@@ -90,8 +91,10 @@ def hash_share(share: Column | float, *columns: Column) -> Column:
     return unit < share
 
 
-def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(work, schema)
+def for_tasks(spark: SparkSession, thing: object) -> Callable[[], object]:
+    """Broadcast something of bounded size with the code of its class; the result unpacks it inside a task."""
+    box = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+    return lambda: pickle.loads(box.value)
 
 
 def in_rows(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .batches import held_out_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +22,24 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, score_toxicity
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = held_out_fold(F.col("doc_id"), 5, 0)
+    scored = score_toxicity(docs, fit(docs, labels.filter(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import fit, predict_language
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = held_out_fold(F.col("doc_id"), 3, 1)
+    predicted = predict_language(docs, fit(docs.filter(~held_out)))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import token_ids
 
