@@ -101,7 +101,7 @@ def fit(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> Lan
     learnt = docs.filter(F.col("lang").isNotNull()).select("doc_id", "lang", "text")
     sizes = learnt.groupBy("lang").count()
     shares = sizes.select("lang", F.least(F.lit(1.0), settings.sample / F.col("count")).alias("share"))
-    chosen = learnt.join(shares, "lang").filter(hash_share(F.col("share"), F.col("doc_id")))
+    chosen = learnt.join(F.broadcast(shares), "lang").filter(hash_share(F.col("share"), F.col("doc_id")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

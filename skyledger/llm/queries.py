@@ -16,12 +16,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit, score_quality
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = held_out_fold(F.col("doc_id"), 5, 0)
+    scored = score_quality(docs, fit(docs, labels.filter(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import packed
 
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .credentials import find_secrets, fit
+
+    docs = table(spark, sf_dir, "documents")
+    return find_secrets(docs, fit(docs))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import fit, score_toxicity
 

@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings = Toxicit
     sizes = {r.toxic: r["count"] for r in truth.groupBy("toxic").count().collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, settings.sample / sizes.get(1, 1))).otherwise(min(1.0, settings.sample / sizes.get(0, 1)))
     chosen = truth.filter(hash_share(share, F.col("doc_id")))
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(chosen, "doc_id").select("doc_id", "text", "toxic").collect()
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return train([r.text for r in rows], np.array([r.toxic for r in rows], np.int64), settings)
 
