@@ -8,20 +8,19 @@ summed over the words of a text, repeats included.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import coded_words, for_tasks, hash_share, in_rows, sums_by_row, text_slices
+from .batches import coded_words, for_tasks, hash_share, in_rows, ragged, sums_by_row, text_slices
+from .subwords import BoundedWords
 
 UNDETERMINED = "und"
-LETTERS = regex.compile(r"\p{L}+")
 
 
 @dataclass(frozen=True)
@@ -36,61 +35,82 @@ class LanguageSettings:
     longest_word: int = 40
 
 
-def grams(word: str, n: int) -> list[str]:
-    bounded = f"_{word}_"
-    return [bounded[i : i + n] for i in range(len(bounded) - n + 1)]
+@dataclass
+class LogShares:
+    """Log frequency per language of the keys that were kept, by their sorted hashes."""
+
+    keys: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, keys: np.ndarray, counts: np.ndarray, least: int, most: int) -> LogShares:
+        """Of the keys counted ``least`` times or oftener the ``most`` frequent, one added to each count."""
+        total = counts.sum(axis=1)
+        kept = np.lexsort((keys, -total))
+        kept = np.sort(kept[total[kept] >= least][:most])
+        counts = counts[kept] + 1.0
+        return cls(keys[kept], np.log(counts / counts.sum(axis=0)).astype(np.float32))
+
+    def rows(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the keys are in the table, and which are there at all."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
+
+def letter_runs(tokens: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The runs of letters in lower-cased tokens and the token of each."""
+    spaced = pc.replace_substring_regex(pc.utf8_lower(tokens), r"[^\p{L}]+", " ")
+    lists = pc.split_pattern(spaced, " ")
+    owner = np.repeat(np.arange(len(tokens)), np.diff(lists.offsets.to_numpy()))
+    runs = lists.flatten()
+    real = pc.not_equal(runs, "")
+    return runs.filter(real), owner[real.to_numpy(zero_copy_only=False)]
 
 
 @dataclass
 class LanguageModel:
     languages: list[str]
-    words: dict[str, np.ndarray]
-    by_length: dict[int, dict[str, np.ndarray]]
-    unknown: np.ndarray
+    words: LogShares
+    by_length: dict[int, LogShares]
     longest_word: int
-    _scored: dict[str, tuple[np.ndarray, int]] = field(default_factory=dict)
 
-    def word(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        word = word[: self.longest_word]
+    def run_evidence(self, runs: pa.Array) -> np.ndarray:
+        """Per run of letters, its log frequency in each language, by the longest part of it that is known."""
+        bounded = BoundedWords(runs, self.longest_word)
+        at, known = self.words.rows(bounded.whole())
+        out = np.zeros((len(runs), len(self.languages)))
+        out[known] = self.words.values[at[known]]
+        waiting = ~known
         for n in sorted(self.by_length, reverse=True):
+            if not waiting.any():
+                break
             table = self.by_length[n]
-            found = [v for g in grams(word, n) if (v := table.get(g)) is not None]
-            if found:
-                return np.mean(found, axis=0)
-        return self.unknown
-
-    def token(self, token: str) -> tuple[np.ndarray, int]:
-        """The evidence of all letter runs in a token and their number."""
-        found = self._scored.get(token)
-        if found is None:
-            runs = LETTERS.findall(token.lower())
-            found = (np.sum([self.word(w) for w in runs], axis=0) if runs else np.zeros(len(self.languages)), len(runs))
-            if len(self._scored) > 200_000:
-                self._scored.clear()
-            self._scored[token] = found
-        return found
+            hashes, owner = bounded.grams(n)
+            open_ = waiting[owner]
+            at, found = table.rows(hashes[open_])
+            owner, values = owner[open_][found], table.values[at[found]]
+            count = np.bincount(owner, minlength=len(runs))
+            some = count > 0
+            for k in range(len(self.languages)):
+                out[some, k] = np.bincount(owner, values[:, k], len(runs))[some] / count[some]
+            waiting &= ~some
+        return out
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         distinct, codes, bounds = coded_words(texts)
         if not self.languages or not len(distinct):
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        evidence, runs = zip(*map(self.token, distinct.to_numpy(zero_copy_only=False)), strict=True)
-        total = sums_by_row(np.array(evidence, np.float32)[codes], bounds)
-        letters = sums_by_row(np.array(runs, np.float64)[codes], bounds)
+        runs, owner = letter_runs(distinct)
+        by_run, n = self.run_evidence(runs), len(distinct)
+        evidence = np.stack([np.bincount(owner, by_run[:, k], n) for k in range(len(self.languages))], axis=1)
+        total = sums_by_row(evidence[codes], bounds)
+        letters = sums_by_row(np.bincount(owner, minlength=n)[codes], bounds)
         best = total.argmax(axis=1)
         score = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         seen = letters > 0
-        return [self.languages[b] if s else UNDETERMINED for b, s in zip(best, seen, strict=True)], np.where(seen, score, 0.0)
-
-
-def _log_shares(counts: dict[str, np.ndarray], most: int) -> dict[str, np.ndarray]:
-    """Log frequency per language of the most frequent keys, one added to each count."""
-    kept = sorted(counts, key=lambda k: (-counts[k].sum(), k))[:most]
-    total = np.sum([counts[k] for k in kept], axis=0) + len(kept) if kept else 1.0
-    return {k: np.log((counts[k] + 1) / total).astype(np.float32) for k in kept}
+        return [self.languages[b] if s else UNDETERMINED for b, s in zip(best.tolist(), seen.tolist(), strict=True)], np.where(seen, score, 0.0)
 
 
 def fit(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> LanguageModel:
@@ -104,30 +124,35 @@ def fit(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> Lan
     chosen = learnt.join(F.broadcast(shares), "lang").filter(hash_share(F.col("share"), F.col("doc_id")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts: dict[str, Counter] = defaultdict(Counter)
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[lang].update(LETTERS.findall((text or "").lower()))
-            rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items()]
-            yield pa.record_batch({"lang": pa.array([r[0] for r in rows], pa.string()), "word": pa.array([r[1] for r in rows], pa.string()), "n": pa.array([r[2] for r in rows], pa.int64())})
-
-    counted = chosen.select("lang", F.col("text").cast("string")).mapInArrow(work, "lang string, word string, n long")
+        for batch in text_slices(batches):
+            distinct, codes, bounds = coded_words(batch.column("text"))
+            runs, owner = letter_runs(distinct)
+            langs = batch.column("lang").dictionary_encode()
+            lang = np.repeat(langs.indices.to_numpy(), np.diff(bounds))
+            pairs, n = np.unique(lang * max(1, len(distinct)) + codes, return_counts=True)
+            of_lang, of_token = np.divmod(pairs, max(1, len(distinct)))
+            first, size = np.searchsorted(owner, of_token), np.bincount(owner, minlength=len(distinct))[of_token]
+            yield pa.record_batch({"lang": langs.dictionary.take(pa.array(np.repeat(of_lang, size))), "word": runs.take(pa.array(ragged(first, size))), "n": pa.array(np.repeat(n, size))})
+
+    counted = chosen.select("lang", F.col("text").cast("string").alias("text")).mapInArrow(work, "lang string, word string, n long")
     # As large as the words of the sample at most.
     rows = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r.lang for r in rows})
-    at = {lang: i for i, lang in enumerate(languages)}
-    words: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(languages)))
+    words = sorted({r.word for r in rows})
+    lang_at, word_at = ({v: k for k, v in enumerate(names)} for names in (languages, words))
+    counts = np.zeros((len(words), len(languages)))
     for r in rows:
-        words[r.word][at[r.lang]] += r.n
-    by_length: dict[int, dict[str, np.ndarray]] = {}
-    for n in range(1, settings.longest + 1):
-        table: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(languages)))
-        for w, c in words.items():
-            for g in grams(w[: settings.longest_word], n):
-                table[g] += np.minimum(c, 1)  # unseen words are like rare ones: each word counts once
-        by_length[n] = _log_shares({g: c for g, c in table.items() if c.sum() >= settings.least_count}, settings.most_grams)
-    often = {w: c for w, c in words.items() if c.sum() >= settings.least_count}
-    return LanguageModel(languages, _log_shares(often, settings.most_words), by_length, np.zeros(len(languages), np.float32), settings.longest_word)
+        counts[word_at[r.word], lang_at[r.lang]] = r.n
+    bounded = BoundedWords(pa.array(words, pa.string()), settings.longest_word)
+
+    def shares(keys: np.ndarray, owner: np.ndarray, n: np.ndarray, most: int) -> LogShares:
+        distinct, slot = np.unique(keys, return_inverse=True)
+        total = np.stack([np.bincount(slot, n[owner, k], len(distinct)) for k in range(n.shape[1])], axis=1) if n.shape[1] else np.zeros((len(distinct), 0))
+        return LogShares.of(distinct, total, settings.least_count, most)
+
+    # Unseen words are like rare ones: for n-grams each word counts once.
+    by_length = {n: shares(*bounded.grams(n), np.minimum(counts, 1), settings.most_grams) for n in range(1, settings.longest + 1)}
+    return LanguageModel(languages, shares(bounded.whole(), np.arange(len(words)), counts, settings.most_words), by_length, settings.longest_word)
 
 
 def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import coded_words, for_tasks, hash_share, in_rows, ragged, text_slices
+from .subwords import BoundedWords
 
 
 @dataclass(frozen=True)
@@ -54,26 +55,11 @@ def subwords(words: pa.Array, s: ToxicitySettings) -> tuple[np.ndarray, np.ndarr
 
     A word is lower-cased and only its letters and digits count; without any it has no bucket.
     """
-    bare = pc.utf8_slice_codeunits(pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{N}]+", ""), 0, s.longest_word)
-    bounded = "".join(pc.binary_join_element_wise("<", bare, ">", "").to_numpy(zero_copy_only=False).tolist())
-    codes = np.frombuffer(bounded.encode("utf-32-le"), "<u4").astype(np.uint64)
-    starts = np.flatnonzero(codes == ord("<"))
-    word = np.cumsum(codes == ord("<")) - 1
-    lengths = np.diff(np.append(starts, len(codes)))
-    within = (np.arange(len(codes)) - starts[word]).astype(np.uint64)
-    factor = np.uint64(0x9E3779B97F4A7C15)
-    mixed = lambda h: (((h ^ (h >> np.uint64(29))) * factor) >> np.uint64(33)).astype(np.int64) % s.buckets
-    whole = np.add.reduceat((codes + np.uint64(1)) * (within * factor | np.uint64(1)), starts) if len(starts) else np.zeros(0, np.uint64)
-    found, owners = [mixed(whole)], [np.arange(len(starts))]
-    rolled = np.zeros(len(codes), np.uint64)
-    for n in range(1, s.longest + 1):
-        rolled = rolled[: len(codes) - n + 1] * factor + codes[n - 1 :] if n > 1 else codes + np.uint64(n)
-        if n >= s.shortest:
-            inside = within[: len(rolled)].astype(np.int64) + n <= lengths[word[: len(rolled)]]
-            found.append(mixed(rolled[inside] + np.uint64(n)))
-            owners.append(word[: len(rolled)][inside])
-    bucket, owner = np.concatenate(found), np.concatenate(owners)
-    kept = lengths[owner] > 2
+    bounded = BoundedWords(pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{N}]+", ""), s.longest_word)
+    parts = [(bounded.whole(), np.arange(len(words))), *(bounded.grams(n) for n in range(s.shortest, s.longest + 1))]
+    bucket = (np.concatenate([h for h, _ in parts]) >> np.uint64(33)).astype(np.int64) % s.buckets
+    owner = np.concatenate([o for _, o in parts])
+    kept = bounded.lengths[owner] > 0
     bucket, owner = bucket[kept], owner[kept]
     return bucket[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
