@@ -30,11 +30,13 @@ from .subwords import BoundedWords
 class ToxicitySettings:
     """``sample``: about so many documents of each class are learnt from, all of them where there are fewer.
 
+    Words of fewer than ``least_documents`` of these are not learnt.
     ``prior``: the share of toxic documents that scores are calibrated to.
     """
 
     sample: int = 600
     prior: float = 0.25
+    least_documents: int = 4
     buckets: int = 1 << 16
     width: int = 8
     passage: int = 2
@@ -121,6 +123,10 @@ def train(texts: list[str], labels: np.ndarray, s: ToxicitySettings = ToxicitySe
         return model
     distinct, codes, bounds = coded_words(pa.array(texts, pa.string()))
     bucket, sizes = subwords(distinct, s)
+    # Words of few documents can only be learnt by heart, so they train nothing.
+    pairs = np.unique(np.repeat(np.arange(len(labels)), np.diff(bounds)) * max(1, len(distinct)) + codes)
+    common = np.bincount(pairs % max(1, len(distinct)), minlength=len(distinct)) >= s.least_documents
+    bucket, sizes = bucket[np.repeat(common, sizes)], np.where(common, sizes, 0)
     first_part = np.cumsum(sizes) - sizes
     rows = np.repeat(np.arange(len(labels)), np.diff(bounds))
     within = np.arange(len(codes)) - bounds[rows]
