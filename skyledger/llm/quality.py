@@ -246,21 +246,31 @@ def fit(docs: DataFrame, labels: DataFrame, settings: QualitySettings = QualityS
     return train(x, y, np.where(y == 1, 1 / shares[1], 1 / shares[0]) * min(shares.values()), settings)
 
 
-def score_quality(docs: DataFrame, model: QualityModel, *carried: str) -> DataFrame:
-    """``doc_id, score`` for every row, from its whole text alone, and the columns named in ``carried``.
+def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """``doc_id, score`` for every row, from its whole text alone.
 
     A null text is empty, and an empty text has a score as any other. Repeated
     rows are each scored; other columns are ignored.
     """
     shipped = for_tasks(docs.sparkSession, model)
-    names = ["doc_id", *(c for c in carried if c != "doc_id")]
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, classes = shipped(), character_classes()
-        for batch in text_slices(batches, "_scored_text"):
-            score = own.score(features(batch.column("_scored_text"), classes))
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(score)], [*names, "score"])
+        for batch in text_slices(batches):
+            yield in_rows({"doc_id": batch.column("doc_id"), "score": own.score(features(batch.column("text"), classes))}, schema)
+
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return chosen.mapInArrow(work, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, model: QualityModel, least: float) -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, with all their columns."""
+    shipped = for_tasks(docs.sparkSession, model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, classes = shipped(), character_classes()
+        for batch in text_slices(batches):
+            yield batch.filter(pa.array(own.score(features(batch.column("text"), classes)) >= least))
 
-    chosen = docs.select(*names, F.col("text").cast("string").alias("_scored_text"))
-    return chosen.mapInArrow(work, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", score double")
+    return docs.mapInArrow(work, docs.schema)
