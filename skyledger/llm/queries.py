@@ -85,6 +85,12 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(spark.read.parquet(folder))
 
 
+def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .search import search
+
+    return search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
 def all_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
