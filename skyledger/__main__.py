@@ -1,7 +1,10 @@
 """Run one job: ``spark-submit run.py <job>``, configured by the environment.
 
-    ingest   landed snapshots to routed bus topics    LANDING_PATH, SOURCE
+    ingest   landed snapshots to routed bus topics    LANDING_PATH, SOURCE,
+             or those of one area                     AREA_LAT, AREA_LON, AREA_DIST_NM
     index    the same events to the search table      LANDING_PATH, SOURCE, INDEX_PATH
+    compact  closed days of the archive, rewritten    PARQUET_PATH, COMPACT_PATH,
+             into fewer files of another folder       FIRST_DAY, LAST_DAY
     rules    telemetry to rule alerts                 TOPIC_IN, TOPIC_OUT
     archive  telemetry to Parquet by date             TOPIC_IN, PARQUET_PATH
     train    archive to model                         PARQUET_PATH, MODEL_OUT,
@@ -12,7 +15,7 @@
 All that touch the bus read KAFKA_BOOTSTRAP, or BUS_PATH and BUS_OUT_PATH for
 folders of bus records; streams read CHECKPOINT_DIR and STARTING_OFFSETS, and
 KAFKA_MIN_PARTITIONS, KAFKA_MAX_OFFSETS, LANDING_MAX_FILES and TRIGGER_INTERVAL
-to size their batches.
+to size their batches. Writers to Kafka read KAFKA_ACKS and KAFKA_COMPRESSION.
 """
 
 from __future__ import annotations
@@ -27,10 +30,11 @@ from datetime import date
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from .config import Geofence, Index, Scoring, Thresholds, Topics, Training
+from .config import Area, Geofence, Index, Scoring, Thresholds, Topics, Training
+from .operators.features import label_distribution, model_features, weak_labels
 from .operators.learning import OneClassError, sample_predictions, save_model, train
-from .session import open_session, scratch, shared_folder
-from .sources.archive import read_archive
+from .session import forget, open_session, scratch, shared_folder
+from .sources.archive import compact_archive, read_archive
 from .sources.bus import Bus, FileBus, KafkaBus
 from .streaming import jobs
 from .streaming.counters import RunningCounts
@@ -50,6 +54,8 @@ def _bus(env: Mapping[str, str], folder: str, offsets: str) -> Bus:
         env.get("STARTING_OFFSETS", offsets),
         limits.get("KAFKA_MIN_PARTITIONS"),
         limits.get("KAFKA_MAX_OFFSETS"),
+        env.get("KAFKA_ACKS"),
+        env.get("KAFKA_COMPRESSION"),
     )
 
 
@@ -66,6 +72,8 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping
         topics = replace(topics, rule_alerts=env["TOPIC_OUT"], model_alerts=env["TOPIC_OUT"])
     source = env.get("SOURCE", "adsbfi")
     index = Index.from_env(env)
+    # The feed is asked for one area; without any of these settings, for what has landed.
+    area = Area.from_env(env) if any(name.startswith("AREA_") for name in env) else None
     archive_path = env.get("PARQUET_PATH", ARCHIVE_PATH)
     bounds = Thresholds.from_env(env)
     landing = int(env["LANDING_MAX_FILES"]) if "LANDING_MAX_FILES" in env else None
@@ -77,14 +85,18 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping
         history = read_archive(spark, archive_path, *days)
         _train(history, env.get("MODEL_OUT", MODEL_PATH), Training.from_env(env), bounds)
         return
+    if job == "compact":
+        days = [date.fromisoformat(env[name]) if name in env else None for name in ("FIRST_DAY", "LAST_DAY")]
+        compact_archive(spark, archive_path, env["COMPACT_PATH"], *days)
+        return
     if job in ("ingest", "publish"):
         name = jobs.INGEST_COUNTERS if job == "ingest" else jobs.PUBLISH_COUNTERS
         spark.streams.addListener(RunningCounts(name))
     if job == "ingest":
-        query = jobs.ingest(spark, env["LANDING_PATH"], source, out, checkpoint, topics, landing, trigger)
+        query = jobs.ingest(spark, env["LANDING_PATH"], source, out, checkpoint, topics, landing, trigger, area)
     elif job == "index":
         query = jobs.index_routes(
-            spark, env["LANDING_PATH"], source, env["INDEX_PATH"], checkpoint, index.prefix, landing, trigger
+            spark, env["LANDING_PATH"], source, env["INDEX_PATH"], checkpoint, index.prefix, landing, trigger, area
         )
     elif job == "rules":
         query = jobs.alert_by_rules(spark, bus, out, checkpoint, topics, bounds, Geofence.from_env(env), trigger)
@@ -101,14 +113,19 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping
 
 
 def _train(history: DataFrame, model_path: str, settings: Training, bounds: Thresholds) -> None:
+    spark = history.sparkSession
+    table = scratch(spark, "training")
+    label_distribution(weak_labels(model_features(history), bounds)).show()
     try:
-        trained = train(history, scratch(history.sparkSession, "training"), settings, bounds)
+        trained = train(history, table, settings, bounds)
+        trained.metrics.show()
+        sample_predictions(trained.predictions).show(truncate=False)
+        save_model(trained.model, model_path)
     except OneClassError as problem:
         print(problem, file=sys.stderr)
         raise SystemExit(2) from problem
-    trained.metrics.show()
-    sample_predictions(trained.predictions).show(truncate=False)
-    save_model(trained.model, model_path)
+    finally:
+        forget(spark, table)
 
 
 def main(arguments: list[str] | None = None) -> None:

@@ -12,6 +12,9 @@ BLANKS = ASCII_BLANKS + (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Spark's cast takes a number with the suffix of a Java literal; the feeds' producers do not.
+_SUFFIXED = r"[0-9.][dDfF]\s*$"
+
 
 def strip(text: Column) -> Column:
     """Text without blanks at its ends. Nearly all of it is plain ASCII, for
@@ -26,7 +29,7 @@ def blank_to_null(text: Column) -> Column:
 
 def number(text: Column) -> Column:
     """PRJ-6: a double, or null for anything that is not one; never an error."""
-    return text.try_cast("double")
+    return F.when(~text.rlike(_SUFFIXED), text).try_cast("double")
 
 
 def truthy(text: Column) -> Column:

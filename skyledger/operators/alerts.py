@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.once import expand_once
 from ..schemas import ALERT
@@ -43,11 +42,9 @@ def alert_records(
 
 def parse_alerts(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """PRJ-24: alerts of either detector off the bus, and whether each of the
-    records is ``readable``, which is to say JSON."""
+    records is ``readable``, which is to say a JSON object. A field of a type
+    that the contract does not know is null; the others keep their values."""
     value = F.col("value").cast("string")
-    schema = StructType([*ALERT.fields, StructField("_text", StringType())])
-    alert = F.from_json(value, schema, {"columnNameOfCorruptRecord": "_text"})
-    parsed = expand_once(records, F.struct(alert.alias("alert"), value.isNotNull().alias("present")), keep)
-    return parsed.select(
-        *keep, "alert.*", (F.col("present") & F.col("alert._text").isNull()).alias("readable")
-    ).drop("_text")
+    is_object = F.startswith(F.schema_of_variant(F.try_parse_json(value)), F.lit("OBJECT"))
+    parts = F.struct(F.from_json(value, ALERT).alias("alert"), F.coalesce(is_object, F.lit(False)).alias("readable"))
+    return expand_once(records, parts, keep).select(*keep, "alert.*", "readable")

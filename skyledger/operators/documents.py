@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..schemas import ALERT_DOCUMENT
 from .alerts import parse_alerts
 
-# Offsets per folder of the index table.
+# Offsets per folder of the index table. Records without offsets are in a folder
+# per day, whose name is the negative of the day.
 BLOCK = 1_000_000
 
 
@@ -23,23 +24,33 @@ def alert_documents(
 ) -> DataFrame:
     """One document per alert, named after its place on the bus.
 
-    Records that are no JSON are counted and left out.
+    A record without an offset is named after the file and row it was read
+    from. Records that are no JSON object are counted and left out. The text of
+    a record stays with its document, with the fields the table has no column for.
     """
-    parsed = parse_alerts(records, keep=["topic", "partition", "offset"])
+    missing = {"record_id": "string", "record_day": "long"}
+    records = records.withColumns(
+        {"document": F.col("value").cast("string")}
+        | {name: F.lit(None).cast(kind) for name, kind in missing.items() if name not in records.columns}
+    )
+    parsed = parse_alerts(records, keep=["topic", "partition", "offset", "document", *missing])
     readable = F.col("readable")
     if counters is not None:
         parsed = parsed.observe(
             counters, F.count_if(readable).alias("indexed"), F.count_if(~readable).alias("unreadable")
         )
     located = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    placed = F.col("offset").isNotNull()
+    nameless = F.raise_error(F.lit("a bus record without an offset, a file and a row cannot be told from others"))
+    by_row = F.when(F.col("record_id").isNull(), nameless.cast("string")).otherwise(F.concat_ws("-", "topic", "record_id"))
     return (
         parsed.filter(readable)
         .withColumns(
             {
-                "doc_id": F.concat_ws("-", "topic", "partition", "offset"),
+                "doc_id": F.when(placed, F.concat_ws("-", "topic", "partition", "offset")).otherwise(by_row),
                 "location": F.when(located, F.struct("lat", "lon")),
                 "index": index_name(F.col("topic"), prefix),
-                "offset_block": F.expr(f"offset div {BLOCK}"),
+                "offset_block": F.when(placed, F.expr(f"offset div {BLOCK}")).otherwise(-F.col("record_day")),
             }
         )
         .select(*[F.col(f"`{name}`") for name in ALERT_DOCUMENT.names])

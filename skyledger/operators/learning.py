@@ -12,16 +12,16 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..config import Thresholds, Training
 from ..schemas import MODEL_NUMBERS, MODEL_VECTOR
-from .features import class_balance, model_features, weak_labels, with_weights
+from .features import model_features, weak_labels, with_weights
 
-# The forest takes the source as a category and has 32 bins, one of which
-# stands for sources it has not seen.
-MAX_SOURCES = 31
+# The forest takes the source as a category, which needs a bin for each source
+# and one for those it has not seen. Numbers get as many bins, 32 at least.
+LEAST_BINS = 32
 
 _TWO_CLASSES = {"ml_attr": {"type": "binary", "name": "label"}}
 
@@ -30,10 +30,6 @@ class OneClassError(ValueError):
     """There is nothing to tell apart: gather more history or lower the bounds."""
 
 
-class TooManySourcesError(ValueError):
-    """More sources than the forest can tell apart."""
-
-
 class Trained(NamedTuple):
     model: PipelineModel
     metrics: DataFrame
@@ -50,7 +46,7 @@ def vector_assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=list(MODEL_VECTOR), outputCol="features")
 
 
-def classifier(settings: Training) -> Pipeline:
+def classifier(settings: Training, sources: int = 1) -> Pipeline:
     """ML-3, ML-4: preprocessing and forest as one, so that scoring shares both."""
     forest = RandomForestClassifier(
         featuresCol="features",
@@ -58,6 +54,7 @@ def classifier(settings: Training) -> Pipeline:
         weightCol="weight",
         numTrees=settings.trees,
         maxDepth=settings.depth,
+        maxBins=max(LEAST_BINS, sources + 1),
         seed=settings.seed,
     )
     return Pipeline(stages=[source_indexer(), vector_assembler(), forest])
@@ -70,35 +67,58 @@ def area_under_roc(predictions: DataFrame, score: str = "rawPrediction", bins: i
     ).evaluate(predictions)
 
 
+def in_test(settings: Training) -> Column:
+    """Whether a row is for testing, as the hash of the seed and the row's aircraft, time and source says.
+
+    The same rows are drawn whatever the order and the files they come in, and
+    copies of a row stay on one side.
+    """
+    micros = F.unix_micros("event_ts").cast("string")
+    name = F.concat_ws("|", F.lit(str(settings.seed)), F.coalesce("icao24", F.lit("")), micros, "source")
+    draw = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    return draw < settings.test_fraction
+
+
 def split_history(history: DataFrame, settings: Training, bounds: Thresholds, table: str) -> DataFrame:
-    """ML-5: labelled features, each row put at random into ``train`` or ``test``.
+    """ML-5: labelled features, each row put into ``train`` or ``test``.
 
-    The draw is written down. Train and test then stay disjoint when an
-    executor is lost and its work repeated, and the many passes of training
-    read ten narrow columns in place of the whole history.
+    Written down, so that the many passes of training read ten narrow columns
+    in place of the whole history.
     """
-    side = F.when(F.rand(settings.seed) < settings.test_fraction, "test").otherwise("train")
-    labelled = weak_labels(model_features(history), bounds).select(*MODEL_NUMBERS, "hour", "source", "label")
-    rows = labelled.withColumn("side", side)
+    side = F.when(in_test(settings), "test").otherwise("train")
+    labelled = weak_labels(model_features(history), bounds).withColumn("side", side)
+    rows = labelled.select(*MODEL_NUMBERS, "hour", "source", "label", "side")
     rows.write.partitionBy("side").parquet(table)
     return history.sparkSession.read.schema(rows.schema).parquet(table)
 
 
+def statistics(rows: DataFrame) -> Row:
+    """Class sizes and weight, classes on the training side, and the number of sources, all in one pass."""
+    counts = rows.groupBy("side", "label", "source").agg(F.count("*").alias("n"))
+    size = lambda label: F.coalesce(F.sum(F.when(F.col("label") == label, F.col("n"))), F.lit(0))
+    return counts.agg(
+        size(1.0).alias("n_pos"),
+        size(0.0).alias("n_neg"),
+        F.count_distinct("label").alias("n_classes"),
+        F.count_distinct(F.when(F.col("side") == "train", F.col("label"))).alias("n_learnt"),
+        F.count_distinct("source").alias("sources"),
+        (size(0.0) / F.greatest(size(1.0), F.lit(1))).alias("w_pos"),
+    ).first()
+
+
 def train(
     history: DataFrame, table: str, settings: Training = Training(), bounds: Thresholds = Thresholds()
 ) -> Trained:
-    """Fit on the archive. ``table`` is a new folder, shared by the executors."""
+    """Fit on the archive. ``table`` is a new folder, shared by the executors;
+    the predictions are read from it."""
     spark = history.sparkSession
     rows = split_history(history, settings, bounds, table)
-    balance = class_balance(rows).first()
+    balance = statistics(rows)
     if balance.n_classes < 2:
         raise OneClassError("the history holds a single class")
-    learning, held_out = rows.filter(F.col("side") == "train"), rows.filter(F.col("side") == "test")
-    if class_balance(learning).first().n_classes < 2:
+    if balance.n_learnt < 2:
         raise OneClassError("the training side holds a single class")
-    sources = rows.agg(F.approx_count_distinct("source", 0.02)).first()[0]
-    if sources > MAX_SOURCES:
-        raise TooManySourcesError(f"about {sources} sources, at most {MAX_SOURCES} can be told apart")
+    learning, held_out = rows.filter(F.col("side") == "train"), rows.filter(F.col("side") == "test")
 
     # Both classes weigh the same in sum. Saying that the label is binary saves
     # the forest a pass to find out.
@@ -106,7 +126,7 @@ def train(
     weighted = with_weights(learning, balance.w_pos).withColumn("label", binary)
     # A fresh forest drags its training summary, and with it the session, into
     # the tasks that use it; its copy does not.
-    model = classifier(settings).fit(weighted).copy()
+    model = classifier(settings, balance.sources).fit(weighted).copy()
     predictions = model.transform(held_out)
     metrics = spark.createDataFrame(
         [(area_under_roc(predictions), balance.n_pos, balance.n_neg, balance.n_classes, balance.w_pos)],

@@ -32,6 +32,12 @@ _STATE_FIELDS = f"""strftime(ts, '{_ISO}') AS event_time, 'opensky' AS source,
   try_cast(s11 AS DOUBLE) * CAST(196.85 AS DOUBLE) AS vertical_rate_fpm,
   trim(s14) AS squawk, CAST(NULL AS VARCHAR) AS category, s8 = 'true' AS on_ground"""
 
+_RULES = """CASE WHEN squawk = '7500' THEN 'SQUAWK_HIJACK' WHEN squawk = '7600' THEN 'SQUAWK_RADIO_FAIL'
+      WHEN squawk = '7700' THEN 'SQUAWK_EMERGENCY' WHEN baro_altitude_ft > 60000 THEN 'ALT_OUTLIER'
+      WHEN ground_speed_kt > 700 THEN 'SPEED_OUTLIER' WHEN abs(vertical_rate_fpm) > 10000 THEN 'VS_OUTLIER'
+      WHEN lat BETWEEN CAST(45.40 AS DOUBLE) AND CAST(45.55 AS DOUBLE)
+       AND lon BETWEEN CAST(9.10 AS DOUBLE) AND CAST(9.30 AS DOUBLE) THEN 'GEOFENCE_ENTER' END"""
+
 # Named subqueries; each may use those before it.
 _STEPS = {
     "raw": f"SELECT event_id, ts, {_RAW_COLUMNS}, {SOURCE_SQL} AS source FROM events",
@@ -55,12 +61,8 @@ _STEPS = {
       CASE WHEN lat IS NULL OR lon IS NULL THEN 'dlq' ELSE 'telemetry' END AS route
       FROM objects""",
     "telemetry": f"""SELECT *, strptime(event_time, '{_ISO}') AS ts FROM routed WHERE route = 'telemetry'""",
-    "judged": """SELECT *, CASE WHEN squawk = '7500' THEN 'SQUAWK_HIJACK' WHEN squawk = '7600' THEN 'SQUAWK_RADIO_FAIL'
-      WHEN squawk = '7700' THEN 'SQUAWK_EMERGENCY' WHEN baro_altitude_ft > 60000 THEN 'ALT_OUTLIER'
-      WHEN ground_speed_kt > 700 THEN 'SPEED_OUTLIER' WHEN abs(vertical_rate_fpm) > 10000 THEN 'VS_OUTLIER'
-      WHEN lat BETWEEN CAST(45.40 AS DOUBLE) AND CAST(45.55 AS DOUBLE)
-       AND lon BETWEEN CAST(9.10 AS DOUBLE) AND CAST(9.30 AS DOUBLE) THEN 'GEOFENCE_ENTER' END AS alert_type
-      FROM telemetry""",
+    "judged": f"SELECT *, {_RULES} AS alert_type FROM telemetry",
+    "polled_judged": f"SELECT *, {_RULES} AS alert_type FROM polled_objects WHERE lat IS NOT NULL AND lon IS NOT NULL",
     "rule_alerts": f"""SELECT event_id, strftime(ts, '{_PLAIN}') AS "@timestamp", 'flight_alert' AS event_type,
       'spark_rules' AS detector, alert_type, 'Rule alert: ' || alert_type AS reason,
       CAST(CASE WHEN alert_type IN ('SQUAWK_HIJACK', 'SQUAWK_EMERGENCY') THEN 5
@@ -113,6 +115,7 @@ _USES = {
     "routed": ("objects",),
     "telemetry": ("routed",),
     "judged": ("telemetry",),
+    "polled_judged": ("polled_objects",),
     "rule_alerts": ("judged",),
     "archive": ("telemetry",),
     "features": ("telemetry",),
@@ -231,9 +234,29 @@ def all_oracles() -> dict[str, str]:
                 CAST(count(*) FILTER (label = 0) AS DOUBLE) AS n_neg FROM ranks) GROUP BY n_pos, n_neg""",
         ),
         "split_sizes": _after(
-            "features",
-            select='SELECT count(*) AS "rows", CAST(2 AS BIGINT) AS sides, true AS share_as_asked FROM features',
+            "labelled",
+            select="""SELECT CASE WHEN CAST('0x' || substr(md5('42|' || coalesce(icao24, '') || '|' || epoch_us(ts) || '|' || source), 1, 8)
+                AS BIGINT) / CAST(4294967296 AS DOUBLE) < CAST(0.2 AS DOUBLE) THEN 'test' ELSE 'train' END AS side,
+              label, count(*) AS "rows" FROM labelled GROUP BY ALL""",
+        ),
+        "train_and_score": _after(
+            "features", select="SELECT event_id, true AS in_range, true AS agrees, true AS same_after_loading FROM features"
+        ),
+        "sample_predictions": _after("features", select="SELECT true AS labelled, true AS sums_to_one FROM features LIMIT 20"),
+        "stream_scored": "SELECT CAST(0 AS BIGINT) AS only_streamed, CAST(0 AS BIGINT) AS only_batch, CAST(0 AS BIGINT) AS silent",
+        "archive_compacted": _after("archive", select="SELECT * FROM archive"),
+        "stream_ingest_area": _after(
+            "polled_objects",
+            select=f"SELECT icao24, callsign, lat || ',' || lon AS location, squawk FROM polled_objects WHERE {_DISC}",
+        ),
+        "stream_chain_to_index": _after(
+            "polled_judged",
+            select="""SELECT 'flights-alerts' AS "index", alert_type,
+              CAST(CASE WHEN alert_type IN ('SQUAWK_HIJACK', 'SQUAWK_EMERGENCY') THEN 5
+                WHEN alert_type = 'GEOFENCE_ENTER' THEN 3 ELSE 4 END AS INTEGER) AS severity,
+              icao24, callsign, lat, lon FROM polled_judged WHERE alert_type IS NOT NULL""",
         ),
+        "stream_chain_complete": "SELECT CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS no_model_alert",
         "train_metrics": _after("balance", select="SELECT true AS scored_well, * FROM balance"),
         "alerts_from_scores": _after("model_alerts", select=f"{_FLAT_ALERTS} FROM model_alerts"),
         "alert_documents": _after("documents", select="SELECT * FROM documents"),

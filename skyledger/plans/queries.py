@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Thresholds, Topics, Training
+from ..config import Area, Thresholds, Topics, Training
 from ..operators.alerts import parse_alerts
 from ..operators.area import within_box, within_disc
 from ..operators.bus_records import to_bus
@@ -38,7 +38,7 @@ from ..operators.scoring import model_alerts, score
 from ..operators.telemetry import parse_telemetry
 from ..schemas import MODEL_VECTOR
 from ..session import scratch, use_utc
-from ..sources.archive import read_archive, write_archive
+from ..sources.archive import compact_archive, read_archive, write_archive
 from ..sources.bus import FileBus
 from ..sources.snapshots import parse_snapshots
 from ..streaming import jobs
@@ -51,8 +51,8 @@ CONFIGURED_FEEDS = ("adsbfi", "airplaneslive", "opensky", "unheard-of")
 DISC = (41.9, 12.5, 20.0)
 BOX = (41.9, 12.5, 3.0, 4.0)
 ONE_DAY = date(2024, 1, 15)
-SMALL_FOREST = Training(trees=20)
-SCORED_WELL = 0.6
+SMALL_AREA = {"AREA_DIST_NM": "20"}
+SCORED_WELL = 0.9
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -225,6 +225,18 @@ def _archive_one_day(spark, sf_dir):
     return _times_as_text(day, "event_ts", "event_date")
 
 
+@_query("archive_compacted")
+def _archive_compacted(spark, sf_dir):
+    """Days in several files of their own, then in another folder, twice, in few."""
+    path, target = scratch(spark, "archive"), scratch(spark, "compacted")
+    history = to_archive(feeds.telemetry(spark, sf_dir))
+    for evening in (False, True):
+        write_archive(history.filter((F.hour("event_ts") >= 12) == evening), path)
+    for _ in range(2):
+        compact_archive(spark, path, target)
+    return _times_as_text(read_archive(spark, target), "event_ts", "event_date")
+
+
 # Features, labels, balance
 
 
@@ -293,17 +305,12 @@ def _auc_fixed_scores(spark, sf_dir):
 def _split_sizes(spark, sf_dir):
     settings = Training()
     rows = split_history(feeds.telemetry(spark, sf_dir), settings, Thresholds(), scratch(spark, "split"))
-    share = F.avg(F.when(F.col("side") == "test", 1.0).otherwise(0.0))
-    return rows.agg(
-        F.count("*").alias("rows"),
-        F.count_distinct("side").alias("sides"),
-        (F.abs(share - settings.test_fraction) < 0.05).alias("share_as_asked"),
-    )
+    return rows.groupBy("side", "label").agg(F.count("*").alias("rows"))
 
 
 def _trained(spark, sf_dir):
     history = to_archive(feeds.telemetry(spark, sf_dir))
-    return train(history, scratch(spark, "training"), SMALL_FOREST)
+    return train(history, scratch(spark, "training"))
 
 
 @_query("train_metrics")
@@ -314,15 +321,27 @@ def _train_metrics(spark, sf_dir):
 
 @_query("train_and_score")
 def _train_and_score(spark, sf_dir):
+    """What must hold of every score, of the fitted model and of the one that was saved and loaded."""
     path = scratch(spark, "model")
-    save_model(_trained(spark, sf_dir).model, path)
-    scored = score(_features(spark, sf_dir), PipelineModel.load(path))
-    return scored.select("event_id", "prediction", "p_anom")
+    model = _trained(spark, sf_dir).model
+    save_model(model, path)
+    features = _features(spark, sf_dir)
+    fitted = score(features, model).select("event_id", "prediction", "p_anom")
+    loaded = score(features, PipelineModel.load(path)).select("event_id", F.col("p_anom").alias("p_loaded"))
+    voted = F.when(F.col("p_anom") > 0.5, 1.0).otherwise(0.0)
+    return fitted.join(loaded, "event_id").select(
+        "event_id",
+        F.col("p_anom").between(0, 1).alias("in_range"),
+        (F.col("prediction") == voted).alias("agrees"),
+        (F.col("p_anom") == F.col("p_loaded")).alias("same_after_loading"),
+    )
 
 
 @_query("sample_predictions")
 def _sample_predictions(spark, sf_dir):
-    return sample_predictions(_trained(spark, sf_dir).predictions)
+    sample = sample_predictions(_trained(spark, sf_dir).predictions)
+    total = F.aggregate("probability", F.lit(0.0), lambda a, p: a + p)
+    return sample.select(F.col("label").isin(0.0, 1.0).alias("labelled"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 @_query("alerts_from_scores")
@@ -407,6 +426,47 @@ def _stream_ingest(spark, sf_dir):
     )
 
 
+@_query("stream_ingest_area")
+def _stream_ingest_area(spark, sf_dir):
+    out = FileBus(scratch(spark, "ingested"))
+    area = Area.from_env(SMALL_AREA)
+    _stream(jobs.ingest, spark, _landed(spark, sf_dir), "adsbfi", out, label="ingest", area=area)
+    value = F.col("value").cast("string")
+    fields = ("icao24", "callsign", "location", "squawk")
+    return out.read(spark, [Topics().telemetry]).select(*[F.get_json_object(value, f"$.{name}").alias(name) for name in fields])
+
+
+def _chain(spark, sf_dir) -> tuple[FileBus, str]:
+    """Landed files to the index by way of one folder bus that three jobs write to, published twice."""
+    bus, path = FileBus(scratch(spark, "chain")), scratch(spark, "chain-index")
+    _stream(jobs.ingest, spark, _landed(spark, sf_dir), "adsbfi", bus, label="ingest")
+    _stream(jobs.alert_by_rules, spark, bus, bus, label="rules")
+    _stream(jobs.alert_by_model, spark, bus, bus, _trained(spark, sf_dir).model, label="model")
+    for _ in range(2):
+        _stream(jobs.publish, spark, bus, path, label="publish")
+    return bus, path
+
+
+@_query("stream_chain_to_index")
+def _stream_chain_to_index(spark, sf_dir):
+    _, path = _chain(spark, sf_dir)
+    rules = read_index(spark, path).filter(F.col("detector") == "spark_rules")
+    return rules.select("index", "alert_type", "severity", "icao24", "callsign", "lat", "lon")
+
+
+@_query("stream_chain_complete")
+def _stream_chain_complete(spark, sf_dir):
+    """Whether ids are distinct and every alert on the bus, of either job, is in the index."""
+    bus, path = _chain(spark, sf_dir)
+    index = read_index(spark, path)
+    topics = Topics()
+    sent = bus.read(spark, [topics.rule_alerts, topics.model_alerts])
+    counts = index.agg(F.count("*").alias("documents"), F.count_distinct("doc_id").alias("ids")).first()
+    missing = sent.select(F.concat_ws("-", "topic", "record_id").alias("doc_id")).join(index, "doc_id", "left_anti").count()
+    by_model = int(index.filter(F.col("detector") == "spark_ml").isEmpty())
+    return _one_row(spark, {"repeated": counts.documents - counts.ids, "missing": missing, "no_model_alert": by_model}, "repeated", "missing", "no_model_alert")
+
+
 @_query("stream_route_index")
 def _stream_route_index(spark, sf_dir):
     path = scratch(spark, "routes")
@@ -436,8 +496,18 @@ def _stream_archive(spark, sf_dir):
 def _stream_scored(spark, sf_dir):
     out = FileBus(scratch(spark, "model-alerts"))
     model = _trained(spark, sf_dir).model
-    _stream(jobs.alert_by_model, spark, _telemetry_bus(spark, sf_dir), out, model, label="model")
-    return _alerts_on(spark, out, Topics().model_alerts).drop("geo_altitude_ft", "on_ground")
+    bus = _telemetry_bus(spark, sf_dir)
+    _stream(jobs.alert_by_model, spark, bus, out, model, label="model")
+    streamed = _alerts_on(spark, out, Topics().model_alerts).drop("geo_altitude_ft", "on_ground")
+    telemetry = parse_telemetry(bus.read(spark, [Topics().telemetry]))
+    batch = _flat_alerts(model_alerts(score(model_features(telemetry), model))).select(*streamed.columns)
+    return _one_row(
+        spark,
+        {"only_streamed": streamed.exceptAll(batch).count(), "only_batch": batch.exceptAll(streamed).count(), "silent": int(batch.isEmpty())},
+        "only_streamed",
+        "only_batch",
+        "silent",
+    )
 
 
 @_query("stream_publish")

@@ -37,6 +37,14 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch`` has named."""
+    if "/skyledger/" not in path:
+        raise ValueError(f"{path} is not a scratch folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nobody has used before."""
     return f"{shared_folder(spark)}/skyledger/{label}-{uuid.uuid4().hex}"

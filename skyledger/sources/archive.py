@@ -35,6 +35,16 @@ def write_archive(history: DataFrame, path: str) -> None:
     history.hint("rebalance", F.col("event_date")).write.mode("append").partitionBy("event_date").parquet(path)
 
 
+def compact_archive(
+    spark: SparkSession, path: str, target: str, first: date | None = None, last: date | None = None
+) -> None:
+    """Rewrite days that no stream adds to any more into fewer, larger files of
+    another folder, in place of what that folder holds for these days."""
+    days = read_archive(spark, path, first, last).hint("rebalance", F.col("event_date"))
+    writer = days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("event_date").parquet(target)
+
+
 def archive_stream(history: DataFrame, path: str) -> DataStreamWriter:
     """Append a stream, each file exactly once; no shuffle."""
     return history.writeStream.format("parquet").option("path", path).partitionBy("event_date").outputMode("append")

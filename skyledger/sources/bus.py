@@ -1,35 +1,52 @@
 """The message bus as Spark source and sink (SRC-1, SRC-2, SRC-7, SNK-1).
 
 Jobs see the same columns whether records come from Kafka or from a folder of
-bus records in Parquet, laid out as ``topic=<name>/``.
+bus records in Parquet, laid out as ``writer=<name>/topic=<name>/``. Each
+streaming writer has a folder of its own, as a folder's sink log is the memory
+of one query. Records of a folder that carry no offset are told apart by
+``record_id``, their file and row, and ``record_day``, the day the file was
+written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import hashlib
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..schemas import BUS_RECORD
+from ..schemas import BUS_RECORD, NAMED_BUS_RECORD
 
 
 @dataclass(frozen=True)
 class KafkaBus:
     """``min_partitions`` splits large topic partitions over more tasks, and
     ``max_offsets`` bounds a micro-batch, so that a replay from the earliest
-    offset comes in pieces."""
+    offset comes in pieces. ``options`` are further ones of the Kafka client,
+    for reading and writing alike, such as those of its security; ``acks`` and
+    ``compression`` are those of its producer."""
 
     servers: str
     starting_offsets: str = "latest"
     min_partitions: int | None = None
     max_offsets: int | None = None
+    acks: str | None = None
+    compression: str | None = None
+    options: Mapping[str, str] = field(default_factory=dict)
+
+    def _client(self) -> dict[str, str]:
+        return {"kafka.bootstrap.servers": self.servers} | {f"kafka.{k}": v for k, v in self.options.items()}
+
+    def _producer(self) -> dict[str, str]:
+        asked = {"kafka.acks": self.acks, "kafka.compression.type": self.compression}
+        return self._client() | {k: v for k, v in asked.items() if v}
 
     def _options(self, topics: Sequence[str]) -> dict[str, str]:
-        options = {
-            "kafka.bootstrap.servers": self.servers,
+        options = self._client() | {
             "subscribe": ",".join(topics),
             "failOnDataLoss": "false",
         }
@@ -47,14 +64,12 @@ class KafkaBus:
         """Everything the bus still holds."""
         return spark.read.format("kafka").options(**self._options(topics)).load()
 
-    def write_stream(self, records: DataFrame) -> DataStreamWriter:
+    def write_stream(self, records: DataFrame, writer: str) -> DataStreamWriter:
         """Each record goes to the topic its own column names."""
-        return (
-            records.writeStream.format("kafka").option("kafka.bootstrap.servers", self.servers).outputMode("append")
-        )
+        return records.writeStream.format("kafka").options(**self._producer()).outputMode("append")
 
     def write(self, records: DataFrame) -> None:
-        records.write.format("kafka").option("kafka.bootstrap.servers", self.servers).save()
+        records.write.format("kafka").options(**self._producer()).save()
 
 
 @dataclass(frozen=True)
@@ -64,26 +79,36 @@ class FileBus:
     folder: str
     max_files: int | None = None
 
+    def _folders(self, topics: Sequence[str]) -> str:
+        return f"{self.folder}/writer=*/topic={{{','.join(topics)}}}"
+
     def read_stream(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
-        reader = spark.readStream.schema(BUS_RECORD)
+        """Only the folders of these topics are listed and counted."""
+        reader = spark.readStream.schema(BUS_RECORD).option("basePath", self.folder)
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
-        return reader.parquet(self.folder).filter(F.col("topic").isin(*topics))
+        return _named(reader.parquet(self._folders(topics)))
 
     def read(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
-        return spark.read.schema(BUS_RECORD).parquet(self.folder).filter(F.col("topic").isin(*topics))
-
-    def write_stream(self, records: DataFrame) -> DataStreamWriter:
+        reader = spark.read.schema(BUS_RECORD).option("basePath", self.folder)
+        try:
+            return _named(reader.parquet(self._folders(topics)))
+        except AnalysisException as problem:
+            if problem.getCondition() == "PATH_NOT_FOUND":
+                return spark.createDataFrame([], NAMED_BUS_RECORD)
+            raise
+
+    def write_stream(self, records: DataFrame, writer: str) -> DataStreamWriter:
         return (
             _as_bytes(records)
             .writeStream.format("parquet")
-            .option("path", self.folder)
+            .option("path", f"{self.folder}/writer={writer}")
             .partitionBy("topic")
             .outputMode("append")
         )
 
     def write(self, records: DataFrame) -> None:
-        _as_bytes(records).write.mode("append").partitionBy("topic").parquet(self.folder)
+        _as_bytes(records).write.mode("append").partitionBy("topic").parquet(f"{self.folder}/writer=batch")
 
 
 Bus = KafkaBus | FileBus
@@ -91,3 +116,17 @@ Bus = KafkaBus | FileBus
 
 def _as_bytes(records: DataFrame) -> DataFrame:
     return records.withColumns({name: F.col(name).cast("binary") for name in ("key", "value")})
+
+
+def _named(records: DataFrame) -> DataFrame:
+    file = F.col("_metadata")
+    return records.select(
+        *BUS_RECORD.names,
+        F.concat_ws("-", file["file_name"], file["row_index"]).alias("record_id"),
+        F.date_format(file["file_modification_time"], "yyyyMMdd").cast("long").alias("record_day"),
+    )
+
+
+def writer_name(job: str, checkpoint: str) -> str:
+    """One name per job and checkpoint: a job that starts anew, with another memory, writes to another folder."""
+    return f"{job}-{hashlib.sha256(checkpoint.encode()).hexdigest()[:12]}"

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..config import Geofence, Index, Scoring, Thresholds, Topics
+from ..config import Area, Geofence, Index, Scoring, Thresholds, Topics
+from ..operators.area import within_area
 from ..operators.bus_records import to_bus
 from ..operators.documents import alert_documents
 from ..operators.features import model_features
@@ -26,7 +27,7 @@ from ..operators.rules import rule_alerts
 from ..operators.scoring import model_alerts, score
 from ..operators.telemetry import parse_telemetry
 from ..sources.archive import archive_stream
-from ..sources.bus import Bus
+from ..sources.bus import Bus, writer_name
 from ..sources.snapshots import read_snapshot_stream
 from .publish import ensure_index, publish_batch
 
@@ -48,11 +49,19 @@ def launch(writer: DataStreamWriter, name: str, checkpoint: str, trigger: Mappin
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def routed_events(spark: SparkSession, landing: str, feed: str, max_files: int | None = None) -> DataFrame:
-    """Landed snapshots as routed canonical events. ``max_files`` bounds a batch."""
+def routed_events(
+    spark: SparkSession, landing: str, feed: str, max_files: int | None = None, area: Area | None = None
+) -> DataFrame:
+    """Landed snapshots as routed canonical events. ``max_files`` bounds a batch.
+
+    With an area, only what the feed would have answered for it; an event
+    without a position is in no area.
+    """
     snapshots = read_snapshot_stream(spark, landing, max_files)
     fetched = F.col("fetched_at")
     events = normalize(snapshots, feed, fetched, keep=["fetched_at"], counters=INGEST_COUNTERS)
+    if area is not None:
+        events = within_area(events, feed, area)
     return enrich_and_route(events.withColumnRenamed("fetched_at", "@timestamp"))
 
 
@@ -65,10 +74,11 @@ def ingest(
     topics: Topics = Topics(),
     max_files: int | None = None,
     trigger: Mapping | None = None,
+    area: Area | None = None,
 ) -> StreamingQuery:
     """SNK-4: all three routes in one pass, each record to the topic it names."""
-    records = to_routed_bus(routed_events(spark, landing, feed, max_files), topics)
-    return launch(out.write_stream(records), "ingest", checkpoint, trigger)
+    records = to_routed_bus(routed_events(spark, landing, feed, max_files, area), topics)
+    return launch(out.write_stream(records, writer_name("ingest", checkpoint)), "ingest", checkpoint, trigger)
 
 
 def index_routes(
@@ -80,13 +90,14 @@ def index_routes(
     prefix: str,
     max_files: int | None = None,
     trigger: Mapping | None = None,
+    area: Area | None = None,
 ) -> StreamingQuery:
     """SNK-4: searchable copies of accepted and rejected events.
 
     A query of its own, so that files are written exactly once and a slow index
     does not hold up the bus.
     """
-    copies = to_route_index(routed_events(spark, landing, feed, max_files), prefix)
+    copies = to_route_index(routed_events(spark, landing, feed, max_files, area), prefix)
     writer = copies.writeStream.format("parquet").option("path", path).partitionBy("index").outputMode("append")
     return launch(writer, "index_routes", checkpoint, trigger)
 
@@ -103,7 +114,7 @@ def alert_by_rules(
 ) -> StreamingQuery:
     telemetry = parse_telemetry(bus.read_stream(spark, [topics.telemetry]))
     records = to_bus(rule_alerts(telemetry, bounds, fence), topics.rule_alerts)
-    return launch(out.write_stream(records), "alert_by_rules", checkpoint, trigger)
+    return launch(out.write_stream(records, writer_name("alert_by_rules", checkpoint)), "alert_by_rules", checkpoint, trigger)
 
 
 def alert_by_model(
@@ -118,7 +129,8 @@ def alert_by_model(
 ) -> StreamingQuery:
     telemetry = parse_telemetry(bus.read_stream(spark, [topics.telemetry]))
     alerts = model_alerts(score(model_features(telemetry), model), levels)
-    return launch(out.write_stream(to_bus(alerts, topics.model_alerts)), "alert_by_model", checkpoint, trigger)
+    records = to_bus(alerts, topics.model_alerts)
+    return launch(out.write_stream(records, writer_name("alert_by_model", checkpoint)), "alert_by_model", checkpoint, trigger)
 
 
 def archive(

@@ -11,9 +11,6 @@ from ..schemas import ALERT_DOCUMENT
 
 LAYOUT = ("index", "offset_block")
 
-# Beyond this many blocks a batch looks at all of them.
-_NAMED_BLOCKS = 1000
-
 
 def ensure_index(spark: SparkSession, path: str) -> None:
     """SNK-6: lay down the table with its explicit types, unless it is there."""
@@ -36,14 +33,12 @@ def publish_batch(documents: DataFrame, batch_id: int, path: str) -> None:
     spark = documents.sparkSession
     batch = documents.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # One row per subscribed topic.
-        spans = batch.groupBy("index").agg(F.min("offset").alias("low"), F.max("offset").alias("high"),
-                                           F.min("offset_block").alias("first"), F.max("offset_block").alias("last"))
-        spans = spans.collect()
-        if not spans:
+        # One row per folder that the batch writes to.
+        touched = batch.select(*LAYOUT).distinct().collect()
+        if not touched:
             return
         fresh = batch.dropDuplicates(["doc_id"])
-        known = _known_ids(spark, path, spans)
+        known = _known_ids(spark, path, touched)
         if known is not None:
             fresh = fresh.join(known, "doc_id", "left_anti")
         fresh.hint("rebalance", *[F.col(name) for name in LAYOUT]).write.mode("append").partitionBy(*LAYOUT).parquet(
@@ -53,27 +48,23 @@ def publish_batch(documents: DataFrame, batch_id: int, path: str) -> None:
         batch.unpersist()
 
 
-def _known_ids(spark: SparkSession, path: str, spans: list) -> DataFrame | None:
-    """Ids the table holds in the offset ranges of a batch, or None.
+def _known_ids(spark: SparkSession, path: str, touched: list) -> DataFrame | None:
+    """Ids the table holds in the folders a batch writes to, or None.
 
-    Opens the folders of the touched blocks only, so the cost of a batch does
-    not grow with the table. Inside, Parquet statistics on ``offset`` skip the
-    files of other batches.
+    Opens these folders only, and of their files the one column, so the cost of
+    a batch does not grow with the table.
     """
-    first, last = min(s["first"] for s in spans), max(s["last"] for s in spans)
-    blocks = _any_of(str(b) for b in range(first, last + 1)) if last - first < _NAMED_BLOCKS else "*"
-    pattern = f"{path}/index={_any_of(s['index'] for s in spans)}/offset_block={blocks}"
-    try:
-        held = spark.read.schema(ALERT_DOCUMENT).option("basePath", path).parquet(pattern)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    in_range = F.lit(False)
-    for s in spans:
-        in_range = in_range | ((F.col("index") == s["index"]) & F.col("offset").between(s["low"], s["high"]))
-    return held.filter(in_range).select("doc_id")
-
-
-def _any_of(names) -> str:
-    return "{" + ",".join(names) + "}"
+    by_index: dict[str, list[str]] = {}
+    for folder in touched:
+        by_index.setdefault(folder["index"], []).append(str(folder["offset_block"]))
+    held = None
+    for index, blocks in sorted(by_index.items()):
+        pattern = f"{path}/index={index}/offset_block={{{','.join(sorted(blocks))}}}"
+        try:
+            found = spark.read.schema(ALERT_DOCUMENT).option("basePath", path).parquet(pattern).select("doc_id")
+        except AnalysisException as problem:
+            if problem.getCondition() == "PATH_NOT_FOUND":
+                continue
+            raise
+        held = found if held is None else held.unionByName(found)
+    return held

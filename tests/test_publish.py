@@ -97,18 +97,37 @@ def test_offsets_in_many_blocks(spark, path):
     assert len(ids(spark, path)) == 5
 
 
-def test_only_touched_blocks_are_opened(spark, path, monkeypatch):
-    put(spark, path, 0, *[("t.a", 0, b * BLOCK) for b in range(4)], ("t.b", 0, 0))
-    span = {"index": "flights-a", "low": BLOCK, "high": 2 * BLOCK, "first": 1, "last": 2}
-    known = publish._known_ids(spark, path, [span])
+def test_only_touched_blocks_are_opened(spark, path):
+    far = 5000
+    put(spark, path, 0, *[("t.a", 0, b * BLOCK) for b in range(4)], ("t.b", 0, far * BLOCK), ("t.b", 0, 0))
+    touched = [{"index": "flights-a", "offset_block": b} for b in (1, 2, 9)] + [{"index": "flights-b", "offset_block": far}]
+    known = publish._known_ids(spark, path, touched)
     assert {f.split("/index=")[1].rsplit("/", 1)[0] for f in known.inputFiles()} == {
         "flights-a/offset_block=1",
         "flights-a/offset_block=2",
+        f"flights-b/offset_block={far}",
     }
-    assert known.count() == 2
-    monkeypatch.setattr(publish, "_NAMED_BLOCKS", 1)
-    assert publish._known_ids(spark, path, [span]).count() == 2
-    assert publish._known_ids(spark, path, [span | {"index": "flights-none"}]) is None
+    assert known.count() == 3
+    assert publish._known_ids(spark, path, [{"index": "flights-none", "offset_block": 0}]) is None
+
+
+def test_odd_fields_are_null_and_the_text_stays(spark):
+    odd = ALERT | {"lat": "abc", "severity": 4.5, "@timestamp": "soon", "extra": [1]}
+    doc = alert_documents(records(spark, ("t", 0, 0), alert=odd)).first()
+    assert (doc.lat, doc.severity, doc["@timestamp"], doc.location) == (None, None, None, None)
+    assert (doc.alert_type, doc.raw.baro_altitude_ft) == ("ALT_OUTLIER", 70000.0)
+    assert json.loads(doc.document)["extra"] == [1]
+    for text in ("5", "[]", "null", '{"a": '):
+        assert alert_documents(records(spark, ("t", 0, 0)).withColumn("value", F.lit(text))).count() == 0
+
+
+def test_records_without_offset_are_named_after_their_row(spark):
+    plain = records(spark, ("t.a", None, None), ("t.a", None, None))
+    with pytest.raises(Exception, match="cannot be told"):
+        alert_documents(plain).collect()
+    named = plain.withColumn("record_id", F.concat(F.lit("f-"), F.monotonically_increasing_id())).withColumn("record_day", F.lit(20240115).cast("long"))
+    docs = alert_documents(named).collect()
+    assert len({d.doc_id for d in docs}) == 2 and {d.offset_block for d in docs} == {-20240115}
 
 
 def test_an_empty_batch_writes_nothing(spark, path):

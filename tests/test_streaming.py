@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from samples import BASE
 
 from skyledger.__main__ import run
-from skyledger.config import Index
+from skyledger.config import Index, Topics
 from skyledger.operators.bus_records import to_bus
 from skyledger.operators.rules import rule_alerts
 from skyledger.operators.telemetry import parse_telemetry
@@ -54,6 +54,19 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
         assert out.read(spark, ["flights.alerts"]).count() == 5
 
 
+def test_writers_share_a_folder(spark, tmp_path):
+    bus = FileBus(str(tmp_path / "bus"))
+    send(spark, bus, *KINDS)
+    topics = [Topics(rule_alerts=name) for name in ("a.one", "a.two")]
+    for n, own in enumerate(topics):
+        drain(jobs.alert_by_rules(spark, bus, bus, str(tmp_path / f"c{n}"), own, trigger=jobs.ONCE))
+    assert [bus.read(spark, [own.rule_alerts]).count() for own in topics] == [4, 4]
+    # Under a new checkpoint a job sends everything again, to a folder of its own.
+    drain(jobs.alert_by_rules(spark, bus, bus, str(tmp_path / "c9"), topics[0], trigger=jobs.ONCE))
+    assert bus.read(spark, ["a.one"]).count() == 8
+    assert bus.read(spark, ["a.three"]).count() == 0
+
+
 def test_archive_stream(spark, tmp_path):
     bus = FileBus(str(tmp_path / "bus"))
     send(spark, bus, *KINDS, {"@timestamp": "2024-02-01T00:00:00Z"}, {"lat": None}, {"@timestamp": "soon"})
@@ -138,6 +151,13 @@ def test_kafka_options():
         "failOnDataLoss": "false",
         "minPartitions": "64",
     }
+    safe = KafkaBus("b:1", acks="all", compression="lz4", options={"security.protocol": "SSL"})
+    assert safe._producer() == {
+        "kafka.bootstrap.servers": "b:1",
+        "kafka.security.protocol": "SSL",
+        "kafka.acks": "all",
+        "kafka.compression.type": "lz4",
+    }
 
 
 class _Session:
