@@ -1,13 +1,13 @@
-import pytest
+import sys
+from pathlib import Path
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, piece string, fp long"
-WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+import pytest
 
+sys.path.insert(0, str(Path(__file__).parent))
 
-def prose(seed: int, n: int) -> str:
-    """Words that differ from seed to seed."""
-    return " ".join(WORDS[(seed * 7 + k * k + k * seed) % len(WORDS)] + str((seed * 31 + k * 17) % 97) for k in range(n))
+from texts import prose  # noqa: E402
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, piece string, fp long"
 
 @pytest.fixture(scope="session")
 def odd_rows():
