@@ -25,7 +25,10 @@ UNDETERMINED = "und"
 
 @dataclass(frozen=True)
 class LanguageSettings:
-    """``sample``: about so many documents of each language are learnt from, all of them where there are fewer."""
+    """``sample``: about so many documents of each language are learnt from, all of them where there are fewer.
+
+    A word counted ``least_count`` times is known; n-grams are learnt from all words.
+    """
 
     sample: int = 400
     least_count: int = 2
@@ -145,14 +148,14 @@ def fit(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> Lan
         counts[word_at[r.word], lang_at[r.lang]] = r.n
     bounded = BoundedWords(pa.array(words, pa.string()), settings.longest_word)
 
-    def shares(keys: np.ndarray, owner: np.ndarray, n: np.ndarray, most: int) -> LogShares:
+    def shares(keys: np.ndarray, owner: np.ndarray, n: np.ndarray, least: int, most: int) -> LogShares:
         distinct, slot = np.unique(keys, return_inverse=True)
         total = np.stack([np.bincount(slot, n[owner, k], len(distinct)) for k in range(n.shape[1])], axis=1) if n.shape[1] else np.zeros((len(distinct), 0))
-        return LogShares.of(distinct, total, settings.least_count, most)
+        return LogShares.of(distinct, total, least, most)
 
     # Unseen words are like rare ones: for n-grams each word counts once.
-    by_length = {n: shares(*bounded.grams(n), np.minimum(counts, 1), settings.most_grams) for n in range(1, settings.longest + 1)}
-    return LanguageModel(languages, shares(bounded.whole(), np.arange(len(words)), counts, settings.most_words), by_length, settings.longest_word)
+    by_length = {n: shares(*bounded.grams(n), np.minimum(counts, 1), 1, settings.most_grams) for n in range(1, settings.longest + 1)}
+    return LanguageModel(languages, shares(bounded.whole(), np.arange(len(words)), counts, settings.least_count, settings.most_words), by_length, settings.longest_word)
 
 
 def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
