@@ -92,6 +92,8 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping
     if job in ("ingest", "publish"):
         name = jobs.INGEST_COUNTERS if job == "ingest" else jobs.PUBLISH_COUNTERS
         spark.streams.addListener(RunningCounts(name))
+    if job == "ingest":
+        spark.streams.addListener(RunningCounts(jobs.LANDING_COUNTERS, every=1))
     if job == "ingest":
         query = jobs.ingest(spark, env["LANDING_PATH"], source, out, checkpoint, topics, landing, trigger, area)
     elif job == "index":

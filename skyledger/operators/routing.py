@@ -13,6 +13,7 @@ from .bus_records import as_json
 TRANSPORT_FIELDS = ("headers", "@version", "host", "url", "user_agent", "http", "event")
 
 NO_POSITION = "missing_position"
+UNREADABLE = "unreadable"
 
 
 def enrich_and_route(df: DataFrame) -> DataFrame:
@@ -55,6 +56,12 @@ def to_routed_bus(routed: DataFrame, topics: Topics = Topics()) -> DataFrame:
     return routed.select(*as_json(event), topic_of(F.col("route"), topics).alias("topic"))
 
 
+def to_dead_letters(broken: DataFrame, topics: Topics = Topics()) -> DataFrame:
+    """Bus records of landed text that could not be read, whole and with the reason."""
+    letters = broken.select("message", F.lit(UNREADABLE).alias("dlq_reason"))
+    return letters.select(*as_json(letters.columns), F.lit(topics.dead_letter).alias("topic"))
+
+
 def to_route_index(routed: DataFrame, prefix: str) -> DataFrame:
     """SNK-4: the copies kept for searching; the raw route has none."""
     return routed.filter(F.col("route") != "raw").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .feeds import AIRCRAFT_SQL, ALERT_PARTITIONS, CUT_OFF_EVERY, FIXED_SCORE_SQL, LABELLED_SCORE_SQL, SOURCE_SQL, STATE_SQL
+from .feeds import AIRCRAFT_SQL, ALERT_PARTITIONS, CUT_OFF_EVERY, FIXED_SCORE_SQL, LABELLED_SCORE_SQL, MARK_SQL, SOURCE_SQL, STATE_SQL
 
 _ISO = "%Y-%m-%dT%H:%M:%SZ"
 _ISO_MILLIS = "%Y-%m-%dT%H:%M:%S.%gZ"
@@ -38,6 +38,8 @@ _RULES = """CASE WHEN squawk = '7500' THEN 'SQUAWK_HIJACK' WHEN squawk = '7600'
       WHEN lat BETWEEN CAST(45.40 AS DOUBLE) AND CAST(45.55 AS DOUBLE)
        AND lon BETWEEN CAST(9.10 AS DOUBLE) AND CAST(9.30 AS DOUBLE) THEN 'GEOFENCE_ENTER' END"""
 
+_HERE = "(lat IS NOT NULL AND lon IS NOT NULL)"
+
 # Named subqueries; each may use those before it.
 _STEPS = {
     "raw": f"SELECT event_id, ts, {_RAW_COLUMNS}, {SOURCE_SQL} AS source FROM events",
@@ -100,6 +102,11 @@ _STEPS = {
       * EXCLUDE (topic, event_id) FROM alerts WHERE event_id % {CUT_OFF_EVERY} <> 0""",
     "ranks": f"""SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / CAST(2 AS DOUBLE) AS place
       FROM (SELECT label, {LABELLED_SCORE_SQL} AS score FROM labelled)""",
+    "marked": f"""SELECT event_id, event_time, strftime(ts, '{_ISO_MILLIS}') AS arrived,
+      CASE WHEN {_HERE} AND mark IS NULL THEN 'telemetry' ELSE mark END AS stream,
+      CASE WHEN {_HERE} AND mark IS NULL OR NOT {_HERE} AND mark = 'telemetry' THEN 'telemetry'
+        WHEN NOT {_HERE} THEN 'dlq' ELSE 'raw' END AS route
+      FROM (SELECT *, {MARK_SQL} AS mark FROM objects)""",
     "polled_routes": """SELECT CASE WHEN lat IS NULL OR lon IS NULL THEN 'dlq' ELSE 'telemetry' END AS route, *
       FROM polled_objects""",
 }
@@ -127,6 +134,7 @@ _USES = {
     "alerts": ("rule_alerts", "model_alerts"),
     "documents": ("alerts",),
     "ranks": ("labelled",),
+    "marked": ("objects",),
     "polled_routes": ("polled_objects",),
 }
 
@@ -185,6 +193,18 @@ def all_oracles() -> dict[str, str]:
         "route_counts": _after(
             "routed", select="SELECT route, 'flights.' || route AS topic, count(*) AS events FROM routed GROUP BY route"
         ),
+        "route_marked": _after(
+            "marked",
+            select="""SELECT event_id, route, 'flights.' || route AS topic, stream,
+              CASE WHEN event_id % 17 = 0 THEN arrived ELSE replace(event_time, 'Z', '.000Z') END AS "@timestamp",
+              CAST(0 AS BIGINT) AS transport_fields FROM marked""",
+        ),
+        "stream_ingest_broken": _after(
+            "polled_routes",
+            select=f"""SELECT 'flights.' || route AS topic, CASE WHEN route = 'dlq' THEN 'missing_position' END AS dlq_reason,
+                count(*) AS records FROM polled_routes WHERE event_id % {CUT_OFF_EVERY} <> 0 GROUP BY route
+              UNION ALL SELECT 'flights.dlq', 'unreadable', count(*) FROM events WHERE event_id % {CUT_OFF_EVERY} = 0""",
+        ),
         "telemetry_json_roundtrip": _after(
             "telemetry",
             select=f"""SELECT * EXCLUDE (event_id, event_time, location, tags, dlq_reason, route, ts),

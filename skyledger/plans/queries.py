@@ -32,7 +32,7 @@ from ..operators.learning import (
     vector_assembler,
 )
 from ..operators.normalize import normalize, normalize_objects, normalize_states
-from ..operators.routing import topic_of
+from ..operators.routing import TRANSPORT_FIELDS, enrich_and_route, topic_of
 from ..operators.rules import rule_alerts
 from ..operators.scoring import model_alerts, score
 from ..operators.telemetry import parse_telemetry
@@ -171,6 +171,17 @@ def _route_counts(spark, sf_dir):
     return routes.select("route", topic_of(F.col("route"), Topics()).alias("topic"), "events")
 
 
+@_query("route_marked")
+def _route_marked(spark, sf_dir):
+    """Events that bring a mark, fields of their transport, or a time that cannot be read."""
+    arrived = feeds.marked_events(spark, sf_dir)
+    routed = enrich_and_route(arrived)
+    left = sum(name in routed.columns for name in TRANSPORT_FIELDS)
+    return routed.select(
+        "event_id", "route", topic_of(F.col("route"), Topics()).alias("topic"), "stream", "@timestamp", F.lit(left).cast("long").alias("transport_fields")
+    )
+
+
 @_query("telemetry_json_roundtrip")
 def _json_roundtrip(spark, sf_dir):
     return _times_as_text(parse_telemetry(feeds.bus_records(spark, sf_dir)), "event_ts")
@@ -426,6 +437,20 @@ def _stream_ingest(spark, sf_dir):
     )
 
 
+@_query("stream_ingest_broken")
+def _stream_ingest_broken(spark, sf_dir):
+    """Where the records of a landing folder go in which some lines are cut off."""
+    path, out = scratch(spark, "landing"), FileBus(scratch(spark, "ingested"))
+    value = F.col("value")
+    cut = F.when(F.col("event_id") % feeds.CUT_OFF_EVERY == 0, F.substring(value, 1, 60)).otherwise(value)
+    feeds.envelopes(spark, sf_dir).select(cut.alias("value")).write.text(path)
+    _stream(jobs.ingest, spark, path, "adsbfi", out, label="ingest")
+    topics = Topics()
+    reason = F.get_json_object(value.cast("string"), "$.dlq_reason").alias("dlq_reason")
+    records = out.read(spark, [topics.telemetry, topics.dead_letter, topics.raw]).select("topic", reason)
+    return records.groupBy("topic", "dlq_reason").agg(F.count("*").alias("records"))
+
+
 @_query("stream_ingest_area")
 def _stream_ingest_area(spark, sf_dir):
     out = FileBus(scratch(spark, "ingested"))

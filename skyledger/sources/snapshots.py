@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.once import expand_once
 from ..schemas import SNAPSHOT
@@ -12,18 +12,20 @@ from ..schemas import SNAPSHOT
 STATE_FEED = "opensky"
 AC_FIRST_FEED = "airplaneslive"
 
+_LANDED = StructType([*SNAPSHOT.fields, StructField("broken", StringType())])
+
 
 def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes with ``fetched_at``, the instant their file was landed.
 
     Taking the instant from the file, not from the clock, makes a replay give
-    the same events.
+    the same events. A line that is no envelope is kept as ``broken``.
     """
-    return _with_instant(spark.read.schema(SNAPSHOT).json(folder))
+    return _with_instant(spark.read.schema(_LANDED).option("columnNameOfCorruptRecord", "broken").json(folder))
 
 
 def read_snapshot_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(SNAPSHOT)
+    reader = spark.readStream.schema(_LANDED).option("columnNameOfCorruptRecord", "broken")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return _with_instant(reader.json(folder))
@@ -33,6 +35,13 @@ def _with_instant(envelopes: DataFrame) -> DataFrame:
     return envelopes.select("*", F.col("_metadata.file_modification_time").alias("fetched_at"))
 
 
+def broken_envelopes(snapshots: DataFrame) -> DataFrame:
+    """``message``: the landed lines that are no envelopes, whole."""
+    # Spark does not read the text of broken lines alone; a list has to be asked for as well.
+    always = F.coalesce(F.size("aircraft"), F.lit(0)) >= -1
+    return snapshots.filter(F.col("broken").isNotNull() & always).select(F.col("broken").alias("message"))
+
+
 def parse_snapshots(df: DataFrame, feed: str, text: str = "value") -> DataFrame:
     """Envelopes out of a column of JSON text, with the lists that the feed
     looks at; the other columns are kept."""

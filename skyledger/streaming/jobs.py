@@ -22,16 +22,17 @@ from ..operators.documents import alert_documents
 from ..operators.features import model_features
 from ..operators.history import to_archive
 from ..operators.normalize import normalize
-from ..operators.routing import enrich_and_route, to_route_index, to_routed_bus
+from ..operators.routing import enrich_and_route, to_dead_letters, to_route_index, to_routed_bus
 from ..operators.rules import rule_alerts
 from ..operators.scoring import model_alerts, score
 from ..operators.telemetry import parse_telemetry
 from ..sources.archive import archive_stream
 from ..sources.bus import Bus, writer_name
-from ..sources.snapshots import read_snapshot_stream
+from ..sources.snapshots import broken_envelopes, read_snapshot_stream
 from .publish import ensure_index, publish_batch
 
 INGEST_COUNTERS = "ingest"
+LANDING_COUNTERS = "landing"
 PUBLISH_COUNTERS = "publish"
 
 
@@ -49,17 +50,14 @@ def launch(writer: DataStreamWriter, name: str, checkpoint: str, trigger: Mappin
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def routed_events(
-    spark: SparkSession, landing: str, feed: str, max_files: int | None = None, area: Area | None = None
-) -> DataFrame:
-    """Landed snapshots as routed canonical events. ``max_files`` bounds a batch.
+def routed_events(snapshots: DataFrame, feed: str, area: Area | None = None) -> DataFrame:
+    """Landed snapshots as routed canonical events; of a broken line nothing is used.
 
     With an area, only what the feed would have answered for it; an event
     without a position is in no area.
     """
-    snapshots = read_snapshot_stream(spark, landing, max_files)
     fetched = F.col("fetched_at")
-    events = normalize(snapshots, feed, fetched, keep=["fetched_at"], counters=INGEST_COUNTERS)
+    events = normalize(snapshots.filter("broken IS NULL"), feed, fetched, keep=["fetched_at"], counters=INGEST_COUNTERS)
     if area is not None:
         events = within_area(events, feed, area)
     return enrich_and_route(events.withColumnRenamed("fetched_at", "@timestamp"))
@@ -76,8 +74,13 @@ def ingest(
     trigger: Mapping | None = None,
     area: Area | None = None,
 ) -> StreamingQuery:
-    """SNK-4: all three routes in one pass, each record to the topic it names."""
-    records = to_routed_bus(routed_events(spark, landing, feed, max_files, area), topics)
+    """SNK-4: all three routes in one pass, each record to the topic it names.
+
+    Lines that cannot be read go to the dead-letter topic and are counted.
+    """
+    snapshots = read_snapshot_stream(spark, landing, max_files)
+    broken = broken_envelopes(snapshots).observe(LANDING_COUNTERS, F.count(F.lit(1)).alias("unreadable"))
+    records = to_routed_bus(routed_events(snapshots, feed, area), topics).unionByName(to_dead_letters(broken, topics))
     return launch(out.write_stream(records, writer_name("ingest", checkpoint)), "ingest", checkpoint, trigger)
 
 
@@ -97,7 +100,7 @@ def index_routes(
     A query of its own, so that files are written exactly once and a slow index
     does not hold up the bus.
     """
-    copies = to_route_index(routed_events(spark, landing, feed, max_files, area), prefix)
+    copies = to_route_index(routed_events(read_snapshot_stream(spark, landing, max_files), feed, area), prefix)
     writer = copies.writeStream.format("parquet").option("path", path).partitionBy("index").outputMode("append")
     return launch(writer, "index_routes", checkpoint, trigger)
 
