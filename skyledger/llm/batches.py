@@ -28,6 +28,8 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: i
             stop = max(start + 1, int(np.searchsorted(ends, limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    # A worker lives on after its task; what its batches took goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ END_ID = 0
 _SAFE_CUT = re.compile(r"(?= [^\W_])")
 _STARTS_VISIBLY = r"^[\p{L}\p{N}!-/:-@\[-`{-~]"
 _LONGEST_CACHED = 64
-_MOST_CACHED = 400_000
+_MOST_CACHED = 200_000
 _JOINED = 500
 # What the vocabulary writes for a space (fixed value).
 _SPACE = "\u0120"
