@@ -45,6 +45,7 @@ def parse_alerts(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     records is ``readable``, which is to say a JSON object. A field of a type
     that the contract does not know is null; the others keep their values."""
     value = F.col("value").cast("string")
-    is_object = F.startswith(F.schema_of_variant(F.try_parse_json(value)), F.lit("OBJECT"))
-    parts = F.struct(F.from_json(value, ALERT).alias("alert"), F.coalesce(is_object, F.lit(False)).alias("readable"))
+    # Null for all that is no object.
+    is_object = F.json_object_keys(value).isNotNull()
+    parts = F.struct(F.from_json(value, ALERT).alias("alert"), is_object.alias("readable"))
     return expand_once(records, parts, keep).select(*keep, "alert.*", "readable")
