@@ -12,7 +12,8 @@ Segments follow each other in ascending order of (``part``, ``segment``), which
 is the ascending order of document ids, null first. Rows of one document id are
 in the order of their ids' crc. One document is read by its segment's index and
 one frame. A part is a range of document ids chosen to hold about as many rows
-as any other; a range is written by one task and read in slices.
+as any other; a range is written by one task and read in slices. An id, or
+null, that has more rows than a range holds is spread over several ranges.
 """
 
 from __future__ import annotations
@@ -79,6 +80,13 @@ def fit_dictionary(docs: DataFrame, path: str, size: int = DICTIONARY_BYTES) ->
     return train_dictionary(sorted(bytes(r.ids) for r in rows), size)
 
 
+def part_of(ids: np.ndarray, order: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The range between ascending cuts that an id is in. An id that is several cuts, as it has many rows, is dealt
+    over the ranges between these by ``order``, an unsigned 32-bit number."""
+    low, high = np.searchsorted(cuts, ids, side="left"), np.searchsorted(cuts, ids, side="right")
+    return np.where(high > low, low + 1 + (order * (high - low) >> 32), low)
+
+
 def write_store(docs: DataFrame, folder: str, path: str | None = None) -> None:
     """Encode ``text`` of all rows and write them to a store in ascending ``doc_id`` order.
 
@@ -90,8 +98,11 @@ def write_store(docs: DataFrame, folder: str, path: str | None = None) -> None:
     trained = fit_dictionary(docs, path)
     name = hashlib.sha256(trained).hexdigest()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []
-    bounds = np.array(sorted(set(cuts)), np.float64).astype(np.int64)
+    sizes = docs.agg(F.count("*").alias("n"), F.count("doc_id").alias("named")).first()
+    nameless = parts * (sizes.n - sizes.named) // max(1, sizes.n)
+    ranges = parts - nameless
+    cuts = docs.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 1 / (4 * ranges)) if ranges > 1 else []
+    bounds = np.array(sorted(cuts), np.float64).astype(np.int64)
     shipped = spark.sparkContext.broadcast(trained)
     frame_schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("order", pa.int64()), ("frame", pa.binary())])
     segment_schema = pa.schema(
@@ -107,8 +118,10 @@ def write_store(docs: DataFrame, folder: str, path: str | None = None) -> None:
             ids, at = encoder.encode(batch.column("text"))
             narrow, spans = ids.astype(kind), list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
             doc_id = batch.column("doc_id")
-            part = np.where(doc_id.is_null().to_numpy(zero_copy_only=False), 0, np.searchsorted(bounds, doc_id.fill_null(0).to_numpy(), side="right"))
-            yield in_rows({"part": part.astype(np.int32), "doc_id": doc_id, "n_tokens": np.diff(at), "order": [zlib.crc32(ids[a:b]) for a, b in spans], "frame": [compressor.compress(narrow[a:b].data) for a, b in spans]}, frame_schema)
+            crc = np.array([zlib.crc32(ids[a:b]) for a, b in spans], np.int64)
+            known, values = doc_id.is_valid().to_numpy(zero_copy_only=False), doc_id.fill_null(0).to_numpy()
+            part = np.where(known, nameless + part_of(values, crc, bounds), crc * max(1, nameless) >> 32)
+            yield in_rows({"part": part.astype(np.int32), "doc_id": doc_id, "n_tokens": np.diff(at), "order": crc, "frame": [compressor.compress(narrow[a:b].data) for a, b in spans]}, frame_schema)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, segment, size, rows = None, 0, 0, []

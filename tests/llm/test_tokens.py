@@ -143,6 +143,20 @@ def test_many_segments_and_a_changed_dictionary(spark, odd, monkeypatch):
         read_ids(spark, other).collect()
 
 
+def test_a_hot_id_is_spread_over_parts(spark):
+    cuts = np.array([5, 9, 9, 9, 12], np.int64)
+    ids = np.array([1, 5, 7, 9, 9, 9, 10, 12, 13])
+    order = np.array([7, 7, 7, 0, 1 << 31, (1 << 32) - 1, 7, 7, 7])
+    assert token_files.part_of(ids, order, cuts).tolist() == [0, 1, 1, 2, 3, 4, 4, 5, 5]
+    rows = [(None if k % 3 == 0 else 9 if k % 3 == 1 else k, f"text {k}") for k in range(300)]
+    folder = scratch(spark, "test-store")
+    write_store(spark.createDataFrame(rows, "doc_id long, text string"), folder)
+    segments = spark.read.parquet(f"{folder}/segments").orderBy("part", "segment").collect()
+    ids = [i for s in segments for i in s.doc_ids]
+    assert ids == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+    assert sum(None in s.doc_ids for s in segments) > 1 and sum(9 in s.doc_ids for s in segments) > 1
+
+
 def test_token_files_of_nothing(empty):
     assert token_ids(empty).count() == 0
 
