@@ -19,6 +19,8 @@ from skyledger.session import scratch
 
 ACCEPTED = 0.3
 SHINGLE, RADIUS = 3, 3
+# After four other stages executors have less memory left than for packing alone.
+CACHED = 150_000
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +49,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into training sequences: one row per piece of a document."""
-    return packed(docs)
+    return packed(docs, cached=CACHED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch
 from .batches import in_rows, text_slices
-from .tokens import PieceEncoder, vocabulary_path
+from .tokens import MOST_CACHED, PieceEncoder, vocabulary_path
 
 CAPACITY = 2048
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long"
@@ -97,13 +97,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return entries
 
 
-def document_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def document_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, cached: int = MOST_CACHED) -> DataFrame:
     """The pieces of each document and, for its task, the rank of each among those of its length."""
     path = path or vocabulary_path()
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), *((n, pa.int64()) for n in ("start", "length", "ids_crc32")), ("task", pa.int32()), ("rank", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = PieceEncoder(path), TaskContext.get().partitionId()
+        encoder, task = PieceEncoder(path, cached), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in text_slices(batches):
             ids, bounds = encoder.encode(batch.column("text"))
@@ -126,16 +126,17 @@ def document_pieces(docs: DataFrame, path: str | None = None, capacity: int = CA
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(work, _PIECES)
 
 
-def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, cached: int = MOST_CACHED) -> DataFrame:
     """One row per piece of each document, with its sequence and its place there.
 
     Reads ``doc_id`` and ``text``; other columns are ignored. Every row is a
     document: a null or empty text is the end id alone, a row that occurs twice
-    is packed twice, a null id stays null. No rows give no rows.
+    is packed twice, a null id stays null. No rows give no rows. ``cached`` is
+    how many text pieces a task remembers, which trades memory for time.
     """
     spark = docs.sparkSession
     folder = scratch(spark, "pieces")
-    document_pieces(docs, path, capacity).write.parquet(folder)
+    document_pieces(docs, path, capacity, cached).write.parquet(folder)
     pieces = spark.read.schema(_PIECES).parquet(folder)
     per_task = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

@@ -21,7 +21,7 @@ END_ID = 0
 _SAFE_CUT = re.compile(r"(?= [^\W_])")
 _STARTS_VISIBLY = r"^[\p{L}\p{N}!-/:-@\[-`{-~]"
 _LONGEST_CACHED = 64
-_MOST_CACHED = 200_000
+MOST_CACHED = 400_000
 _JOINED = 500
 # What the vocabulary writes for a space (fixed value).
 _SPACE = "\u0120"
@@ -36,7 +36,8 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 class PieceEncoder:
     """Encodes batches of texts; keeps the ids of short pieces, in a cache of two bounded generations."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = MOST_CACHED):
+        self._cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -74,7 +75,7 @@ class PieceEncoder:
         rest = [i for i in missing if found[i] is None]
         for i, ids in zip(rest, self._encoded([pieces[i] for i in rest]), strict=True):
             found[i] = ids.tobytes()
-        if len(recent) + len(missing) > _MOST_CACHED:
+        if len(recent) + len(missing) > self._cached:
             self._older, self._recent = recent, {}
         self._recent.update((pieces[i], found[i]) for i in missing if len(pieces[i]) <= _LONGEST_CACHED)
         return found
