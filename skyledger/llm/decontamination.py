@@ -13,8 +13,11 @@ edits of it. Three steps:
 3. The edit distance of each candidate to the best run around it is computed
    exactly.
 
-Step 2 finds a near item with high probability only. ``repetitions`` is set for
-a recall of 0.95 at the largest number of edits; with none it is certain.
+Step 2 finds a near item with high probability only, and walks part the more
+often the longer an item is. So its recall at the largest number of edits is
+tried out for each length of an item. From the first length at which
+``repetitions`` walks find less than ``recall`` of the trials, candidates are all
+items of which a window holds enough word pairs, which loses nothing.
 """
 
 from __future__ import annotations
@@ -34,12 +37,14 @@ from ..session import scratch
 from .batches import coded_words, for_tasks, in_rows, ragged, text_slices
 
 NOTHING = np.uint64(0)
+POSTINGS = 1 << 21
 
 
 @dataclass(frozen=True)
 class LeakSettings:
     """``edit_share``: edits allowed per word of an item. Items of fewer than ``min_words`` words are not looked for:
-    they are common language. ``block``: about so many items are looked for in one pass over the documents."""
+    they are common language. ``block``: about so many items are looked for in one pass over the documents.
+    ``recall``: what walks have to find of ``trials`` items with the most edits, of each kind of edit."""
 
     edit_share: float = 0.2
     min_words: int = 8
@@ -47,6 +52,8 @@ class LeakSettings:
     repetitions: int = 32
     seed: int = 11
     block: int = 5000
+    recall: float = 0.99
+    trials: int = 200
 
     def allowed(self, words: int) -> int:
         return int(self.edit_share * words)
@@ -108,8 +115,42 @@ def edits_to_best_run(items: np.ndarray, regions: np.ndarray) -> np.ndarray:
     return above.min(axis=1)
 
 
+def walk_recall(n: int, steps: np.ndarray, places: np.ndarray, s: LeakSettings) -> float:
+    """The share of items of ``n`` distinct words that these walks find with all edits allowed, for the worst kind of edit."""
+    random, edits, rows = np.random.default_rng([s.seed, n, 1]), s.allowed(n), np.arange(s.trials) * n
+    items = random.integers(1, 1 << 63, (s.trials, n), dtype=np.uint64)
+    fresh = random.integers(1, 1 << 63, (s.trials, n), dtype=np.uint64)
+    chosen = np.argsort(random.random((s.trials, n)), axis=1) < edits
+    keys = np.arange(n) + np.zeros((s.trials, 1))
+    left_out = np.argsort(keys + n * chosen, axis=1, kind="stable")
+    grown = np.argsort(np.concatenate([keys, np.where(chosen, keys - 0.5, 2 * n)], axis=1), axis=1, kind="stable")[:, :n]
+    windows = (
+        np.where(chosen, fresh, items),
+        np.take_along_axis(np.where(chosen, fresh, items), left_out, axis=1),
+        np.take_along_axis(np.concatenate([items, fresh], axis=1), grown, axis=1),
+    )
+    own = walked(items.ravel(), rows, rows + n, steps, places)
+    return min(float((walked(w.ravel(), rows, rows + n, steps, places) == own).any(axis=0).mean()) for w in windows)
+
+
+class ItemPairs:
+    """The word pairs of items of one length, and which items hold each."""
+
+    def __init__(self, items: np.ndarray):
+        width = items.shape[1] - 1
+        keys = np.concatenate([pair_slots(r, 64) for r in items])
+        held = np.unique(np.stack([keys, np.repeat(np.arange(len(items), dtype=np.uint64), width)]), axis=1)
+        self.keys, first = np.unique(held[0], return_index=True)
+        self.items, self.bounds = held[1].astype(np.int64), np.append(first, held.shape[1])
+
+    def holding(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``items`` the items that hold each of these pairs start, and how many they are."""
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.bounds[at], np.where(self.keys[at] == keys, self.bounds[at + 1] - self.bounds[at], 0)
+
+
 class LeakFinder:
-    """Looks for a bounded number of items; holds their words and the hashes of their walks."""
+    """Looks for a bounded number of items; holds their words and the hashes of their walks, or their pairs."""
 
     def __init__(self, items: list[tuple[int, str]], settings: LeakSettings = LeakSettings()):
         self.settings = s = settings
@@ -128,13 +169,19 @@ class LeakFinder:
         for n, (_, m) in self.by_length.items():
             for r in m:
                 self.pairs[pair_slots(r, self.bits)] |= np.uint64(1) << self.class_of[n]
-        self.walks = {}
+        self.walks, self.item_pairs = {}, {}
         for n, (_, m) in self.by_length.items():
+            if self.item_pairs:  # longer items part oftener
+                self.item_pairs[n] = ItemPairs(m)
+                continue
             random = np.random.default_rng([s.seed, n])
             flat, starts = m.ravel(), np.arange(len(m)) * n
             # About two steps a word: behind them a walk has left its item.
             steps = random.integers(1, 1 << 63, (s.repetitions, 2 * n), dtype=np.uint64) | np.uint64(1)
             places = np.stack([np.sort(random.choice(2 * n, min(s.places, n), replace=False)) for _ in steps])
+            if s.allowed(n) and walk_recall(n, steps, places, s) < s.recall:
+                self.item_pairs[n] = ItemPairs(m)
+                continue
             keys = walked(flat, starts, starts + n, steps, places)
             order = np.argsort(keys, axis=1, kind="stable")
             self.walks[n] = (steps, places, np.take_along_axis(keys, order, axis=1), order)
@@ -175,7 +222,11 @@ class LeakFinder:
                 own = some[(classes >> self.class_of[n] & np.uint64(1)) == 1]
                 stop = np.minimum(near + s.reach(n) - 1, end)
                 held = np.searchsorted(own, stop) - np.searchsorted(own, near) >= s.needed_pairs(n)
-                if held.any():
+                if not held.any():
+                    continue
+                if n in self.item_pairs:
+                    self._count(words, n, near[held], stop[held], own, bounds, found)
+                else:
                     self._verify(words, n, near[held], end[held], row[held], bounds, found)
         if not found:
             return nothing, nothing, nothing
@@ -194,22 +245,55 @@ class LeakFinder:
         return np.unique(np.concatenate(pairs))
 
     def _verify(self, words: np.ndarray, n: int, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, bounds: np.ndarray, found: dict) -> None:
+        for block in range(0, len(starts), 1 << 12):
+            part = slice(block, block + (1 << 12))
+            window, item = np.divmod(self._candidates(words, n, starts[part], ends[part]), len(self.by_length[n][0]))
+            self._measure(words, n, starts[part][window], rows[part][window], item, bounds, found)
+
+    def _count(self, words: np.ndarray, n: int, starts: np.ndarray, stops: np.ndarray, own: np.ndarray, bounds: np.ndarray, found: dict) -> None:
+        """Measures around every window that holds enough pairs of one item. ``own`` is where pairs of this length may be."""
+        s, known = self.settings, self.item_pairs[n]
+        needed, reach, cell = s.needed_pairs(n), s.reach(n), 2 * s.allowed(n) + 1
+        inside = np.searchsorted(starts, own, side="right") > np.searchsorted(np.sort(stops - 1), own, side="right")
+        at = own[inside]
+        held, sizes = known.holding(pair_slots(words, 64)[at])
+        at, held, sizes = at[sizes > 0], held[sizes > 0], sizes[sizes > 0]
+        total, first = np.concatenate([[0], np.cumsum(sizes)]), 0
+        while first < len(at):
+            # A bounded part; the next one starts with all that can share a window with what follows.
+            last = max(int(np.searchsorted(total, total[first] + POSTINGS)), int(np.searchsorted(at, at[first] + 2 * reach)))
+            part = slice(first, last)
+            item, place = known.items[ragged(held[part], sizes[part])], np.repeat(at[part], sizes[part])
+            order = np.argsort(item, kind="stable")
+            item, place = item[order], place[order]
+            row = np.searchsorted(bounds, place, side="right") - 1
+            k = len(item) - needed + 1
+            if k > 0:
+                low, high = place[needed - 1 :] - reach + 2, place[:k]
+                enough = np.flatnonzero((item[:k] == item[needed - 1 :]) & (row[:k] == row[needed - 1 :]) & (low <= high))
+                # Runs that start in a cell are all inside the region around its middle.
+                low = np.maximum(low[enough], bounds[row[enough]]) // cell
+                count = high[enough] // cell - low + 1
+                which = np.repeat(enough, count)
+                chosen = np.unique(np.stack([row[which], item[which], ragged(low, count)]), axis=1)
+                self._measure(words, n, chosen[2] * cell + s.allowed(n), chosen[0], chosen[1], bounds, found)
+            first = int(np.searchsorted(at, at[last] - reach + 2)) if last < len(at) else last
+
+    def _measure(self, words: np.ndarray, n: int, starts: np.ndarray, rows: np.ndarray, chosen: np.ndarray, bounds: np.ndarray, found: dict) -> None:
+        """Keeps the edits between each of these items and the best run around a window, where they are allowed."""
         ids, items = self.by_length[n]
         allowed = self.settings.allowed(n)
         span = np.arange(-allowed, n + 2 * allowed)
-        for block in range(0, len(starts), 1 << 12):
-            part = slice(block, block + (1 << 12))
-            pairs = self._candidates(words, n, starts[part], ends[part])
-            for k in range(0, len(pairs), 2048):
-                window, item = np.divmod(pairs[k : k + 2048], len(ids))
-                window += block
-                at = starts[window][:, None] + span
-                inside = (at >= bounds[rows[window]][:, None]) & (at < ends[window][:, None])
-                regions = np.where(inside, words[np.clip(at, 0, len(words) - 1)], NOTHING)
-                edits = edits_to_best_run(items[item], regions)
-                for r, i, e in zip(rows[window].tolist(), ids[item].tolist(), edits.tolist(), strict=True):
-                    if e <= allowed and e < found.get((r, i), allowed + 1):
-                        found[r, i] = e
+        for k in range(0, len(starts), 2048):
+            part = slice(k, k + 2048)
+            row, item = rows[part], chosen[part]
+            at = starts[part][:, None] + span
+            inside = (at >= bounds[row][:, None]) & (at < bounds[row + 1][:, None])
+            regions = np.where(inside, words[np.clip(at, 0, len(words) - 1)], NOTHING)
+            edits = edits_to_best_run(items[item], regions)
+            for r, i, e in zip(row.tolist(), ids[item].tolist(), edits.tolist(), strict=True):
+                if e <= allowed and e < found.get((r, i), allowed + 1):
+                    found[r, i] = e
 
 
 def item_blocks(benchmark: DataFrame, settings: LeakSettings) -> Iterator[LeakFinder]:

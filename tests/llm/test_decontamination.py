@@ -65,6 +65,32 @@ def test_recall_and_exactness_against_brute_force(share):
     assert near >= len(texts) * 0.95 and len(got) >= 0.95 * near
 
 
+@pytest.mark.parametrize("kind", ["deleted", "inserted", "replaced"])
+def test_long_items_with_all_edits_allowed(kind):
+    random_ = random.Random(3)
+    items = [(k, " ".join(f"w{k}x{i}" for i in range(n))) for k, n in enumerate([100, 200, 400, 800] * 2)]
+    texts, wanted = [], []
+    for k, item in items:
+        words = item.split()
+        places = set(random_.sample(range(len(words)), len(words) // 5))
+        new = [w if i not in places else {"deleted": "", "inserted": f"{w} n{i}", "replaced": f"n{i}"}[kind] for i, w in enumerate(words)]
+        texts.append(" ".join([*prose(k, 30).split(), *new, *prose(k + 50, 30).split()]))
+        wanted.append((k, k, brute_edits(words, texts[-1].split())))
+    rows, found, edits = LeakFinder(items).find(pa.array(texts))
+    assert list(zip(rows.tolist(), found.tolist(), edits.tolist(), strict=True)) == wanted
+
+
+def test_pair_counting_equals_brute_force(monkeypatch):
+    monkeypatch.setattr("skyledger.llm.decontamination.POSTINGS", 50)
+    random_ = random.Random(8)
+    items = [(k, " ".join(random_.choice("abcdefghijkl") for _ in range(n))) for k, n in enumerate([8, 8, 9, 12, 12, 20, 20, 41, 41])]
+    finder = LeakFinder(items, LeakSettings(recall=2))
+    texts = [" ".join(x for _ in range(4) for x in edited(random_, random_.choice(items)[1].split(), random_.randrange(6))) for _ in range(60)]
+    got = set(zip(*(x.tolist() for x in finder.find(pa.array(texts))), strict=True))
+    brute = ((r, i, brute_edits(item.split(), text.split()), len(item.split())) for r, text in enumerate(texts) for i, item in items)
+    assert not finder.walks and got == {(r, i, e) for r, i, e, n in brute if e <= n // 5}
+
+
 def test_case_and_punctuation_do_not_hide_an_item():
     item = ITEMS[3][1]
     loud = "- ".join(w.upper() + "," for w in item.split())
