@@ -6,6 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# Scripts without spaces between words: ideographs and kana; and alphabets (Thai, Lao, Tibetan, Burmese, Khmer).
+IDEOGRAPHS = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff" + IDEOGRAPHS
 OPENS, CLOSES = "<", ">"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -14,6 +17,11 @@ def _mixed(hashes: np.ndarray) -> np.ndarray:
     return (hashes ^ (hashes >> np.uint64(29))) * _FACTOR
 
 
+def overlapping(word: str, width: int, overlap: int) -> list[str]:
+    """Pieces of at most ``width`` letters; any ``overlap + 1`` letters in a row are together in one of them."""
+    return [word[k : k + width] for k in range(0, max(1, len(word) - overlap), width - overlap)]
+
+
 class BoundedWords:
     """Words of letters and digits, each between two marks and cut at a longest length, as one row of code points."""
 

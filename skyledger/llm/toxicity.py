@@ -3,7 +3,8 @@
 A word is the mean of the vectors of its character n-grams and of itself, all
 hashed into one table; a passage of a few words is the mean of its words, and a
 softmax over two classes reads it. Table and softmax are trained together.
-A misspelt word shares most n-grams with the word that was learnt.
+A misspelt word shares most n-grams with the word that was learnt. What has no
+spaces between words is cut into short pieces that overlap, each a word of its own.
 
 Labels are for whole documents, which may hold one bad word among thousands, so
 a document is as toxic as its worst passage. Training goes the same way: all
@@ -13,6 +14,7 @@ those that the model takes for the worst.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,14 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import coded_words, for_tasks, hash_share, in_rows, ragged, text_slices
-from .subwords import BoundedWords
+from .subwords import IDEOGRAPHS, UNSPACED, BoundedWords, overlapping
+
+_IDEOGRAPH, _UNSPACED = re.compile(f"[{IDEOGRAPHS}]"), re.compile(f"[{UNSPACED}]")
 
 
 @dataclass(frozen=True)
 class ToxicitySettings:
     """``sample``: about so many documents of each class are learnt from, all of them where there are fewer.
 
-    Words of fewer than ``least_documents`` of these are not learnt.
+    Words of fewer than ``least_documents`` of these are not learnt. Of tokens with more letters than
+    ``longest_word`` each run of letters is a word, and a run that is longer still is cut into pieces.
     ``prior``: the share of toxic documents that scores are calibrated to.
     """
 
@@ -66,6 +71,54 @@ def subwords(words: pa.Array, s: ToxicitySettings) -> tuple[np.ndarray, np.ndarr
     return bucket[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
 
+def pieces(token: str, s: ToxicitySettings) -> list[str]:
+    """The words of a token whose runs of letters and digits are spaced, every letter in one of them at least.
+
+    Single letters in a row ('a.b.c') are one run. Of ideographs two are a word, of other letters the longest n-gram.
+    """
+    runs: list[str] = []
+    single = False
+    for run in token.split():
+        joins, single = single and len(run) == 1, len(run) == 1
+        if joins:
+            runs[-1] += run
+        else:
+            runs.append(run)
+    out: list[str] = []
+    for run in runs:
+        if _IDEOGRAPH.match(run):
+            out.extend(overlapping(run, 2, 1))
+        elif len(run) > s.longest_word or _UNSPACED.search(run):
+            out.extend(overlapping(run, s.longest, s.longest - 1))
+        else:
+            out.append(run)
+    return out
+
+
+def cut_words(texts: pa.Array, s: ToxicitySettings) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """As ``coded_words``, but with tokens that are no single word cut into the words they hold."""
+    distinct, codes, bounds = coded_words(texts)
+    letters = pc.utf8_length(distinct)
+    cut = pc.or_(pc.greater(letters, s.longest_word), pc.greater(pc.binary_length(distinct), letters)).to_numpy(zero_copy_only=False)
+    bare = pc.replace_substring_regex(distinct.filter(pa.array(cut)), r"[^\p{L}\p{N}]+", "")
+    cut[cut] = pc.or_(pc.greater(pc.utf8_length(bare), s.longest_word), pc.match_substring_regex(bare, f"[{UNSPACED}]")).to_numpy(zero_copy_only=False)
+    if not cut.any():
+        return distinct, codes, bounds
+    spaced = pc.replace_substring_regex(pc.replace_substring_regex(pc.utf8_lower(distinct.filter(pa.array(cut))), r"\p{M}+", ""), r"[^\p{L}\p{N}]+", " ")
+    spaced = pc.replace_substring_regex(spaced, f"[{IDEOGRAPHS}]+", r" \0 ")
+    words = [pieces(t, s) for t in spaced.to_pylist()]
+    sizes = np.ones(len(distinct), np.int64)
+    sizes[cut] = [len(w) for w in words]
+    all_words = pc.dictionary_encode(pa.concat_arrays([distinct.filter(pa.array(~cut)), pa.array([w for ws in words for w in ws], distinct.type)]))
+    # Where the words of each token are: first those that are not cut, then the pieces.
+    first = np.empty(len(distinct), np.int64)
+    first[~cut] = np.arange((~cut).sum())
+    first[cut] = (~cut).sum() + np.cumsum(sizes[cut]) - sizes[cut]
+    places = ragged(first[codes], sizes[codes])
+    ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+    return all_words.dictionary, all_words.indices.to_numpy(zero_copy_only=False)[places], ends[bounds]
+
+
 class Summed:
     """Sums rows by their group; the order of the groups is found once."""
 
@@ -98,7 +151,7 @@ class ToxicityModel:
 
     def worst(self, texts: pa.Array) -> np.ndarray:
         """The log odds of each text's worst passage; those of the bias alone for a text without words."""
-        distinct, codes, bounds = coded_words(texts)
+        distinct, codes, bounds = cut_words(texts, self.settings)
         values = self.words(distinct)[codes] if len(distinct) else np.zeros(0)
         total = np.concatenate([[0.0], np.cumsum(values)])
         span = self.settings.passage
@@ -121,7 +174,7 @@ def train(texts: list[str], labels: np.ndarray, s: ToxicitySettings = ToxicitySe
         share = (labels.sum() + 1) / (len(labels) + 2)
         model.slope, model.shift = 0.0, float(np.log(share / (1 - share)))
         return model
-    distinct, codes, bounds = coded_words(pa.array(texts, pa.string()))
+    distinct, codes, bounds = cut_words(pa.array(texts, pa.string()), s)
     bucket, sizes = subwords(distinct, s)
     # Words of few documents can only be learnt by heart, so they train nothing.
     pairs = np.unique(np.repeat(np.arange(len(labels)), np.diff(bounds)) * max(1, len(distinct)) + codes)

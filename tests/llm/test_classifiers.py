@@ -74,6 +74,37 @@ def test_toxicity_of_held_out_documents_and_misspellings(spark, odd):
     assert all(0 <= r.score <= 1 for r in toxicity.score_toxicity(odd, model).collect())
 
 
+@pytest.mark.parametrize("join", ["...", "-", "/", "_", ""])
+def test_toxicity_sees_every_letter_of_a_long_token(spark, join):
+    docs, labels = tables(spark, corpus(600))
+    model = toxicity.fit(docs, labels.filter("doc_id < 400"))
+    words = "".join(c if c.isalpha() else " " for c in prose(7, 30)).split()
+    fine, bad, spelt = (model.score(pa.array([join.join(w)]))[0] for w in (words, [*words, "worthless"], [*words, *("w.o.r.t.h.l.e.s.s" if join else ["worthless"])]))
+    assert bad > fine and spelt > fine and (bad >= 0.5 or not join)
+
+
+def test_toxicity_is_learnt_from_text_without_spaces():
+    random_ = random.Random(4)
+    letters = [chr(0x4E00 + 37 * k) for k in range(200)]
+    texts, labels = [], np.arange(200) % 2
+    for toxic in labels:
+        text = "".join(random_.choices(letters, k=80))
+        texts.append(text + "\u9f98\u9f99" * toxic + "".join(random_.choices(letters, k=20)))
+    model = toxicity.train(texts[:150], labels[:150])
+    assert ((model.score(pa.array(texts[150:])) >= 0.5) == labels[150:]).all()
+
+
+def test_cut_words_leave_no_letter_out():
+    s = toxicity.ToxicitySettings()
+    tokens = ["x" * 29 + "yz" + "w" * 40, "I.d.i.o.t!", "\u4f60\u597d\u4e16\u754cabc", "one-" * 10 + "a.b.c", "...", "short"]
+    words, codes, bounds = toxicity.cut_words(pa.array([" ".join(tokens), None, tokens[2]]), s)
+    got = words.take(pa.array(codes)).to_pylist()
+    assert got[bounds[2] :] == ["\u4f60\u597d", "\u597d\u4e16", "\u4e16\u754c", "abc"] and got[bounds[1] : bounds[2]] == [""]
+    long = got[: got.index("I.d.i.o.t!")]
+    assert long[0] + "".join(w[-1] for w in long[1:]) == tokens[0]
+    assert got[bounds[1] - 13 : bounds[1]] == [*["one"] * 10, "abc", "...", "short"]
+
+
 def test_subwords_count_letters_and_digits_only():
     s = toxicity.ToxicitySettings()
     bucket, sizes = toxicity.subwords(pa.array(["Idiot!", "idiot", "...", "", "ß"]), s)
