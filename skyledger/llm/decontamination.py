@@ -1,8 +1,9 @@
 """Benchmark items in whole documents, with some words changed, left out or added.
 
-Texts are words, lower-cased, of letters and digits only. An item of L words is
-in a document if some run of the document's words is within ``allowed(L)``
-edits of it. Three steps:
+Texts are words, lower-cased, of letters and digits only; in scripts without
+spaces each letter is a word. An item of L words is in a document if some run of
+the document's words is within ``allowed(L)`` edits of it. Short items are
+looked for by a hash of all their words, others in three steps:
 
 1. A run that close holds most word pairs of the item. Windows with too few
    pairs of any item cannot be near one and are left out; this loses nothing.
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch
 from .batches import coded_words, for_tasks, in_rows, ragged, text_slices
+from .subwords import UNSPACED
 
 NOTHING = np.uint64(0)
 POSTINGS = 1 << 21
@@ -42,8 +44,8 @@ POSTINGS = 1 << 21
 
 @dataclass(frozen=True)
 class LeakSettings:
-    """``edit_share``: edits allowed per word of an item. Items of fewer than ``min_words`` words are not looked for:
-    they are common language. ``block``: about so many items are looked for in one pass over the documents.
+    """``edit_share``: edits allowed per word of an item. Items of fewer than ``min_words`` words have to be there as they
+    are: with edits they are common language. ``block``: about so many items are looked for in one pass over the documents.
     ``recall``: what walks have to find of ``trials`` items with the most edits, of each kind of edit."""
 
     edit_share: float = 0.2
@@ -56,7 +58,7 @@ class LeakSettings:
     trials: int = 200
 
     def allowed(self, words: int) -> int:
-        return int(self.edit_share * words)
+        return int(self.edit_share * words) if words >= self.min_words else 0
 
     def needed_pairs(self, words: int) -> int:
         """An edit breaks two word pairs at most; at least these are left."""
@@ -72,7 +74,16 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     distinct, codes, bounds = coded_words(texts)
     if not len(distinct):
         return np.zeros(0, np.uint64), bounds
-    bare = pc.replace_substring_regex(pc.utf8_lower(distinct), r"[^\p{L}\p{N}]+", "").to_numpy(zero_copy_only=False)
+    bare = pc.replace_substring_regex(pc.utf8_lower(distinct), r"[^\p{L}\p{N}]+", "")
+    wide = pc.greater(pc.binary_length(bare), pc.utf8_length(bare)).to_numpy(zero_copy_only=False)
+    wide[wide] = pc.match_substring_regex(bare.filter(pa.array(wide)), f"[{UNSPACED}]").to_numpy(zero_copy_only=False)
+    if wide.any():
+        spaced = pc.replace_substring_regex(bare, f"[{UNSPACED}]", r" \0 ")
+        lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(spaced))
+        bare, first = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        sizes = np.diff(first)[codes]
+        codes, bounds = ragged(first[codes], sizes), np.concatenate([[0], np.cumsum(sizes)])[bounds]
+    bare = bare.to_numpy(zero_copy_only=False)
     hashes = np.where(bare == "", NOTHING, hash_array(bare, categorize=False) | np.uint64(1))[codes]
     kept = np.concatenate([[0], np.cumsum(hashes != NOTHING)])
     return hashes[hashes != NOTHING], kept[bounds]
@@ -83,6 +94,16 @@ def pair_slots(words: np.ndarray, bits: int) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - bits)
 
 
+def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each ``n`` words in a row."""
+    count = max(0, len(words) - n + 1)
+    out = np.zeros(count, np.uint64)
+    for k in range(n):
+        out = (out ^ words[k : k + count]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(32)
+    return out
+
+
 def walked(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Several random walks over each run of words: for each walk and run, a hash of the words at its sampled places.
 
@@ -157,8 +178,14 @@ class LeakFinder:
         words, bounds = word_hashes(pa.array([t for _, t in items], pa.string()))
         by_length: dict[int, list[int]] = defaultdict(list)
         for k, n in enumerate(np.diff(bounds).tolist()):
-            if n >= s.min_words:
-                by_length[n].append(k)
+            by_length[n].append(k)
+        by_length.pop(0, None)
+        self.short = {}
+        for n in sorted(n for n in by_length if n < s.min_words):
+            ks = by_length.pop(n)
+            hashes = np.concatenate([run_hashes(words[bounds[k] : bounds[k + 1]], n) for k in ks])
+            order = np.argsort(hashes, kind="stable")
+            self.short[n] = (hashes[order], np.array([items[k][0] for k in ks], np.int64)[order])
         self.by_length = {n: (np.array([items[k][0] for k in ks], np.int64), np.stack([words[bounds[k] : bounds[k + 1]] for k in ks])) for n, ks in sorted(by_length.items())}
         pairs = [pair_slots(m[r], 24) for _, m in self.by_length.values() for r in range(len(m))]
         self.bits = max(16, int(np.ceil(np.log2(64 * (sum(map(len, pairs)) + 1)))))
@@ -198,8 +225,30 @@ class LeakFinder:
         s = self.settings
         words, bounds = word_hashes(texts)
         nothing = np.zeros(0, np.int64)
-        if len(words) < s.min_words or not self.by_length:
+        found: dict[tuple[int, int], int] = {}
+        self._copies(words, bounds, found)
+        if len(words) >= s.min_words and self.by_length:
+            self._near(words, bounds, found)
+        if not found:
             return nothing, nothing, nothing
+        keys = np.array(sorted(found), np.int64)
+        return keys[:, 0], keys[:, 1], np.array([found[tuple(k)] for k in keys.tolist()], np.int64)
+
+    def _copies(self, words: np.ndarray, bounds: np.ndarray, found: dict) -> None:
+        """Short items, word by word as they are."""
+        for n, (known, ids) in self.short.items():
+            seen = run_hashes(words, n)
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, seen), len(known) - 1)] == seen)
+            row = np.searchsorted(bounds, at, side="right") - 1
+            row, at = row[at + n <= bounds[row + 1]], at[at + n <= bounds[row + 1]]
+            pairs = np.unique(np.stack([row, seen[at].view(np.int64)]), axis=1)
+            row, seen = pairs[0], pairs[1].view(np.uint64)
+            low, high = np.searchsorted(known, seen, side="left"), np.searchsorted(known, seen, side="right")
+            found.update(((r, i), 0) for r, i in zip(np.repeat(row, high - low).tolist(), ids[ragged(low, high - low)].tolist(), strict=True))
+
+    def _near(self, words: np.ndarray, bounds: np.ndarray, found: dict) -> None:
+        """Other items, with the edits allowed."""
+        s = self.settings
         pairs = self.pairs[pair_slots(words, self.bits)]
         hit = pairs != 0
         inner = bounds[1:-1]
@@ -209,7 +258,6 @@ class LeakFinder:
         before = np.zeros(size + 1, np.int32)
         np.cumsum(hit, out=before[1:-1])
         before[-1] = before[-2]
-        found: dict[tuple[int, int], int] = {}
         for group in self.groups:
             most, least = s.reach(group[-1]) - 1, min(s.needed_pairs(n) for n in group)
             reached = before[np.minimum(np.arange(size) + most, size)] - before[:size]
@@ -228,10 +276,6 @@ class LeakFinder:
                     self._count(words, n, near[held], stop[held], own, bounds, found)
                 else:
                     self._verify(words, n, near[held], end[held], row[held], bounds, found)
-        if not found:
-            return nothing, nothing, nothing
-        keys = np.array(sorted(found), np.int64)
-        return keys[:, 0], keys[:, 1], np.array([found[tuple(k)] for k in keys.tolist()], np.int64)
 
     def _candidates(self, words: np.ndarray, n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Pairs of window and item, as one number each, whose walks hash alike at least once."""

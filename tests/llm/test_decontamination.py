@@ -97,6 +97,23 @@ def test_case_and_punctuation_do_not_hide_an_item():
     assert LeakFinder(ITEMS).find(pa.array(["before " + loud + " after"]))[1].tolist() == [3]
 
 
+def test_short_items_are_found_as_they_are():
+    items = [(1, "Who wrote it?"), (2, "yes"), (3, "what is the capital of france"), (4, "who WROTE it"), (5, "?!")]
+    texts = ["so who wrote it, then", "who wrote", "it yes", "What is the capital of Spain", None, "the yes-man: what is the capital of France?", "yes yes", "yesterday"]
+    rows, found, edits = LeakFinder(items).find(pa.array(texts))
+    assert list(zip(rows.tolist(), found.tolist(), strict=True)) == [(0, 1), (0, 4), (2, 2), (5, 3), (6, 2)] and not edits.any()
+
+
+def test_items_of_scripts_without_spaces():
+    letters = [chr(0x4E00 + 41 * k) for k in range(60)]
+    thai = "".join(chr(0x0E01 + k * 7 % 40) for k in range(25))
+    items = [(1, "".join(letters[:30])), (2, "".join(letters[40:44])), (3, thai), (4, "".join(letters[10:14]) + " abc def")]
+    near = letters[:5] + letters[8:20] + ["x"] + letters[21:30]
+    texts = ["abc" + "".join(letters[50:] + near) + "\u3002", "".join(letters[39:46]), thai[:12] + thai[13:], "".join(letters[:15])]
+    rows, found, edits = LeakFinder(items).find(pa.array(texts))
+    assert list(zip(rows.tolist(), found.tolist(), edits.tolist(), strict=True)) == [(0, 1, 4), (1, 2, 0), (2, 3, 1)]
+
+
 def test_a_run_does_not_go_over_the_end_of_a_text():
     words = ITEMS[0][1].split()
     texts = [" ".join(words[:6]), " ".join(words[6:]), None, "", " ".join(words)]
