@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import coded_words, for_tasks, hash_share, in_rows, ragged, sums_by_row, text_slices
-from .subwords import BoundedWords
+from .subwords import BoundedWords, overlapping
 
 UNDETERMINED = "und"
 
@@ -62,14 +62,24 @@ class LogShares:
         return at, self.keys[at] == keys
 
 
-def letter_runs(tokens: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The runs of letters in lower-cased tokens and the token of each."""
+def letter_runs(tokens: pa.Array, longest: int, overlap: int) -> tuple[pa.Array, np.ndarray]:
+    """The runs of letters in lower-cased tokens and the token of each; a run over ``longest`` letters is several that overlap."""
     spaced = pc.replace_substring_regex(pc.utf8_lower(tokens), r"[^\p{L}]+", " ")
     lists = pc.split_pattern(spaced, " ")
     owner = np.repeat(np.arange(len(tokens)), np.diff(lists.offsets.to_numpy()))
     runs = lists.flatten()
     real = pc.not_equal(runs, "")
-    return runs.filter(real), owner[real.to_numpy(zero_copy_only=False)]
+    runs, owner = runs.filter(real), owner[real.to_numpy(zero_copy_only=False)]
+    long = pc.greater(pc.utf8_length(runs), longest).to_numpy(zero_copy_only=False)
+    if not long.any():
+        return runs, owner
+    pieces = [overlapping(r, longest, overlap) for r in runs.filter(pa.array(long)).to_pylist()]
+    sizes = np.ones(len(runs), np.int64)
+    sizes[long] = [len(p) for p in pieces]
+    first = np.cumsum(~long) - 1
+    first[long] = (~long).sum() + np.cumsum(sizes[long]) - sizes[long]
+    cut = pa.concat_arrays([runs.filter(pa.array(~long)), pa.array([p for ps in pieces for p in ps], runs.type)])
+    return cut.take(pa.array(ragged(first, sizes))), np.repeat(owner, sizes)
 
 
 @dataclass
@@ -105,7 +115,7 @@ class LanguageModel:
         distinct, codes, bounds = coded_words(texts)
         if not self.languages or not len(distinct):
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        runs, owner = letter_runs(distinct)
+        runs, owner = letter_runs(distinct, self.longest_word, max(self.by_length, default=1) - 1)
         by_run, n = self.run_evidence(runs), len(distinct)
         evidence = np.stack([np.bincount(owner, by_run[:, k], n) for k in range(len(self.languages))], axis=1)
         total = sums_by_row(evidence[codes], bounds)
@@ -129,7 +139,7 @@ def fit(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> Lan
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             distinct, codes, bounds = coded_words(batch.column("text"))
-            runs, owner = letter_runs(distinct)
+            runs, owner = letter_runs(distinct, settings.longest_word, settings.longest - 1)
             langs = batch.column("lang").dictionary_encode()
             lang = np.repeat(langs.indices.to_numpy(), np.diff(bounds))
             pairs, n = np.unique(lang * max(1, len(distinct)) + codes, return_counts=True)

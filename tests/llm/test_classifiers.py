@@ -126,6 +126,18 @@ def test_nothing_is_scored(empty):
     assert toxicity.score_toxicity(empty, toxicity.train([], np.zeros(0, np.int64))).count() == 0
 
 
+def test_language_by_every_letter_of_a_long_run(spark):
+    random_ = random.Random(2)
+    text = lambda low, n: "".join(chr(low + random_.randrange(60)) for _ in range(n))
+    rows = [(k, text(0x4E00, 45) + text(0x5E00 if k % 2 else 0x6E00, 300), "ba"[k % 2]) for k in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs.filter("doc_id < 60"))
+    got, _ = model.predict(pa.array([t for _, t, _ in rows[60:]]))
+    assert got == [x for _, _, x in rows[60:]]
+    runs, owner = language.letter_runs(pa.array(["ab1c", "x" * 39 + "yzw", "d"]), 40, 4)
+    assert runs.to_pylist() == ["ab", "c", "x" * 39 + "y", "xxxyzw", "d"] and owner.tolist() == [0, 0, 1, 1, 2]
+
+
 def talk(lang, k, n):
     endings = {"en": ("ing", "tion"), "de": ("ung", "keit"), "fr": ("eaux", "ère")}[lang]
     random_ = random.Random(f"{lang}{k}")
