@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pickle
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -99,6 +101,15 @@ def for_tasks(spark: SparkSession, thing: object) -> Callable[[], object]:
     return lambda: pickle.loads(box.value)
 
 
+def kept_by_worker(name: str, make: Callable[[], object]) -> object:
+    """What this Python worker made under the name, in this task or in one before. A function comes anew with each task
+    and so do its globals; the worker's table of modules stays. Keep only what has a bound of its own."""
+    kept = vars(sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")))
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def in_rows(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     """A batch of these columns, with their types taken from ``schema``."""
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=schema.field(n).type) for n, c in columns.items()]

@@ -91,6 +91,12 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import TOKEN_LIMIT, count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents")).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def all_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
