@@ -115,12 +115,10 @@ class LengthTable:
         for probe in range(self.probes):
             entry = self.slots[((hashes[open_] + np.uint64(probe)) & np.uint64(self.mask)).astype(np.int64)]
             open_, entry = open_[entry >= 0], entry[entry >= 0]
-            alike = self.hashes[entry] == hashes[open_]
-            found, entry = open_[alike], entry[alike]
-            if len(found):
-                same = pc.equal(words.take(pa.array(found)), self.words.take(pa.array(entry))).to_numpy(zero_copy_only=False)
-                out[found[same]] = self.lengths[entry[same]]
-            open_ = open_[~alike]
+            alike = np.flatnonzero(self.hashes[entry] == hashes[open_])
+            same = pc.equal(words.take(pa.array(open_[alike])), self.words.take(pa.array(entry[alike]))).to_numpy(zero_copy_only=False)
+            out[open_[alike[same]]] = self.lengths[entry[alike[same]]]
+            open_ = np.delete(open_, alike[same])
         return out
 
 
