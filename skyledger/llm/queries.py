@@ -91,6 +91,12 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .manifest import document_manifest
+
+    return document_manifest(table(spark, sf_dir, "documents"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import TOKEN_LIMIT, count_tokens
 

@@ -17,12 +17,13 @@ from skyledger.llm.token_counts import (
 from skyledger.llm.tokens import vocabulary_path
 
 PATH = vocabulary_path(VOCABULARY)
+COUNTER = TokenCounter(PATH)
 PLAIN = SentencePieceProcessor(model_file=PATH)
 ODD = ["", " ", "  ", "a ", " a", "a  b", "a   b  ", "\n", "a\n b", "\t \t", "a▁b", " ▁ ", "▁", "<s> x </s> <unk>", "<0x0A>", "\x00a", "中文 文", "a　b\xa0c", "x" * 3000, "½ ﬁ é", "\U0001f600 \U0001f600", "1234 56"]
 
 
 def counts(texts, table=None, counter=None):
-    return (counter or TokenCounter(PATH)).count(pa.array(texts, pa.string()), table).tolist()
+    return (counter or COUNTER).count(pa.array(texts, pa.string()), table).tolist()
 
 
 def whole(texts):
@@ -30,7 +31,7 @@ def whole(texts):
 
 
 def test_odd_texts_as_the_tokenizer_counts_them():
-    assert TokenCounter(PATH).cuts
+    assert COUNTER.cuts
     assert counts([*ODD, None]) == whole([*ODD, None])
     assert counts([]) == []
 
