@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .batches import held_out_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +92,13 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import prefix_trie
+
+    conv_id = F.col("conv_id")
+    return prefix_trie(table(spark, sf_dir, "conversations"), conv_id - conv_id % 5, F.crc32(conv_id.cast("string")) % 9)
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .manifest import document_manifest
 
@@ -108,4 +116,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {"op11_prefix_trie": oracles.PREFIX_TRIE, "op12_manifest": oracles.MANIFEST}
