@@ -31,8 +31,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from .config import Area, Geofence, Index, Scoring, Thresholds, Topics, Training
-from .operators.features import label_distribution, model_features, weak_labels
-from .operators.learning import OneClassError, sample_predictions, save_model, train
+from .operators.learning import OneClassError, fit, label_counts, prepare, sample_predictions, save_model
 from .session import forget, open_session, scratch, shared_folder
 from .sources.archive import compact_archive, read_archive
 from .sources.bus import Bus, FileBus, KafkaBus
@@ -117,9 +116,10 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping
 def _train(history: DataFrame, model_path: str, settings: Training, bounds: Thresholds) -> None:
     spark = history.sparkSession
     table = scratch(spark, "training")
-    label_distribution(weak_labels(model_features(history), bounds)).show()
     try:
-        trained = train(history, table, settings, bounds)
+        prepared = prepare(history, table, settings, bounds)
+        label_counts(prepared).show()
+        trained = fit(prepared, settings)
         trained.metrics.show()
         sample_predictions(trained.predictions).show(truncate=False)
         save_model(trained.model, model_path)

@@ -1,6 +1,6 @@
-"""Training of the anomaly classifier (ML-1 to ML-6, AGG-5, SNK-3).
+"""Training of the anomaly classifier (ML-1 to ML-6, SNK-3, SNK-7).
 
-The one operator that runs actions.
+Runs actions, as a fit must.
 """
 
 from __future__ import annotations
@@ -9,7 +9,6 @@ from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Row
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds, Training
 from ..schemas import MODEL_NUMBERS, MODEL_VECTOR
 from .features import model_features, weak_labels, with_weights
+from .ranking import area_under_roc
 
 # The forest takes the source as a category, which needs a bin for each source
 # and one for those it has not seen. Numbers get as many bins, 32 at least.
@@ -30,6 +30,11 @@ class OneClassError(ValueError):
     """There is nothing to tell apart: gather more history or lower the bounds."""
 
 
+class Prepared(NamedTuple):
+    rows: DataFrame
+    balance: Row
+
+
 class Trained(NamedTuple):
     model: PipelineModel
     metrics: DataFrame
@@ -60,13 +65,6 @@ def classifier(settings: Training, sources: int = 1) -> Pipeline:
     return Pipeline(stages=[source_indexer(), vector_assembler(), forest])
 
 
-def area_under_roc(predictions: DataFrame, score: str = "rawPrediction", bins: int = 1000) -> float:
-    """AGG-5. No bins: exact."""
-    return BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol=score, metricName="areaUnderROC", numBins=bins
-    ).evaluate(predictions)
-
-
 def in_test(settings: Training) -> Column:
     """Whether a row is for testing, as the hash of the seed and the row's aircraft, time and source says.
 
@@ -106,14 +104,23 @@ def statistics(rows: DataFrame) -> Row:
     ).first()
 
 
-def train(
+def prepare(
     history: DataFrame, table: str, settings: Training = Training(), bounds: Thresholds = Thresholds()
-) -> Trained:
-    """Fit on the archive. ``table`` is a new folder, shared by the executors;
-    the predictions are read from it."""
-    spark = history.sparkSession
+) -> Prepared:
+    """The archive, labelled and split, and what one pass over it counts. ``table`` is a new folder, shared by the
+    executors; training and predictions read from it."""
     rows = split_history(history, settings, bounds, table)
-    balance = statistics(rows)
+    return Prepared(rows, statistics(rows))
+
+
+def label_counts(prepared: Prepared) -> DataFrame:
+    """AGG-1: rows per label, in order, from what has been counted already."""
+    counts = [(0.0, prepared.balance.n_neg), (1.0, prepared.balance.n_pos)]
+    return prepared.rows.sparkSession.createDataFrame([c for c in counts if c[1]], "label double, count long")
+
+
+def fit(prepared: Prepared, settings: Training = Training()) -> Trained:
+    rows, balance = prepared
     if balance.n_classes < 2:
         raise OneClassError("the history holds a single class")
     if balance.n_learnt < 2:
@@ -128,13 +135,20 @@ def train(
     # the tasks that use it; its copy does not.
     model = classifier(settings, balance.sources).fit(weighted).copy()
     predictions = model.transform(held_out)
-    metrics = spark.createDataFrame(
+    metrics = rows.sparkSession.createDataFrame(
         [(area_under_roc(predictions), balance.n_pos, balance.n_neg, balance.n_classes, balance.w_pos)],
         "auc double, n_pos long, n_neg long, n_classes long, w_pos double",
     )
     return Trained(model, metrics, predictions)
 
 
+def train(
+    history: DataFrame, table: str, settings: Training = Training(), bounds: Thresholds = Thresholds()
+) -> Trained:
+    """Fit on the archive; see ``prepare``."""
+    return fit(prepare(history, table, settings, bounds), settings)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -277,7 +277,7 @@ def all_oracles() -> dict[str, str]:
               icao24, callsign, lat, lon FROM polled_judged WHERE alert_type IS NOT NULL""",
         ),
         "stream_chain_complete": "SELECT CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS no_model_alert",
-        "train_metrics": _after("balance", select="SELECT true AS scored_well, * FROM balance"),
+        "train_metrics": _after("balance", select="SELECT true AS auc_exact, true AS auc_in_range, * FROM balance"),
         "alerts_from_scores": _after("model_alerts", select=f"{_FLAT_ALERTS} FROM model_alerts"),
         "alert_documents": _after("documents", select="SELECT * FROM documents"),
         "publish_counters": _after(

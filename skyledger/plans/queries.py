@@ -11,6 +11,7 @@ from datetime import date
 from functools import reduce, wraps
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,6 @@ from ..operators.documents import alert_documents
 from ..operators.features import class_balance, label_distribution, model_features, weak_labels, with_weights
 from ..operators.history import to_archive
 from ..operators.learning import (
-    area_under_roc,
     sample_predictions,
     save_model,
     source_indexer,
@@ -32,6 +32,7 @@ from ..operators.learning import (
     vector_assembler,
 )
 from ..operators.normalize import normalize, normalize_objects, normalize_states
+from ..operators.ranking import area_under_roc
 from ..operators.routing import TRANSPORT_FIELDS, enrich_and_route, topic_of
 from ..operators.rules import rule_alerts
 from ..operators.scoring import model_alerts, score
@@ -52,7 +53,6 @@ DISC = (41.9, 12.5, 20.0)
 BOX = (41.9, 12.5, 3.0, 4.0)
 ONE_DAY = date(2024, 1, 15)
 SMALL_AREA = {"AREA_DIST_NM": "20"}
-SCORED_WELL = 0.9
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -308,7 +308,7 @@ def _feature_vectors(spark, sf_dir):
 def _auc_fixed_scores(spark, sf_dir):
     labelled = _labelled(spark, sf_dir)
     scored = labelled.select("label", F.expr(feeds.LABELLED_SCORE_SQL).alias("score"))
-    auc = area_under_roc(scored, "score", bins=0)
+    auc = area_under_roc(scored, "score")
     return spark.createDataFrame([(auc,)], "auc double").select(F.round("auc", 9).alias("auc"))
 
 
@@ -326,8 +326,12 @@ def _trained(spark, sf_dir):
 
 @_query("train_metrics")
 def _train_metrics(spark, sf_dir):
-    metrics = _trained(spark, sf_dir).metrics
-    return metrics.select((F.col("auc") > SCORED_WELL).alias("scored_well"), "n_pos", "n_neg", "n_classes", "w_pos")
+    """The balance, and whether the reported area is that of the trapezoids under the curve of the same predictions."""
+    trained = _trained(spark, sf_dir)
+    curve = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", numBins=0).evaluate(trained.predictions)
+    auc = F.col("auc")
+    exact = (F.abs(auc - curve) < 1e-9).alias("auc_exact")
+    return trained.metrics.select(exact, auc.between(0, 1).alias("auc_in_range"), "n_pos", "n_neg", "n_classes", "w_pos")
 
 
 @_query("train_and_score")
@@ -336,15 +340,15 @@ def _train_and_score(spark, sf_dir):
     path = scratch(spark, "model")
     model = _trained(spark, sf_dir).model
     save_model(model, path)
-    features = _features(spark, sf_dir)
-    fitted = score(features, model).select("event_id", "prediction", "p_anom")
-    loaded = score(features, PipelineModel.load(path)).select("event_id", F.col("p_anom").alias("p_loaded"))
-    voted = F.when(F.col("p_anom") > 0.5, 1.0).otherwise(0.0)
-    return fitted.join(loaded, "event_id").select(
+    fitted = score(_features(spark, sf_dir), model)
+    # Both models in one pass over the features.
+    loaded = score(fitted.withColumnsRenamed({"prediction": "fitted", "p_anom": "p_fitted"}), PipelineModel.load(path))
+    voted = F.when(F.col("p_fitted") > 0.5, 1.0).otherwise(0.0)
+    return loaded.select(
         "event_id",
-        F.col("p_anom").between(0, 1).alias("in_range"),
-        (F.col("prediction") == voted).alias("agrees"),
-        (F.col("p_anom") == F.col("p_loaded")).alias("same_after_loading"),
+        F.col("p_fitted").between(0, 1).alias("in_range"),
+        (F.col("fitted") == voted).alias("agrees"),
+        ((F.col("p_anom") == F.col("p_fitted")) & (F.col("prediction") == F.col("fitted"))).alias("same_after_loading"),
     )
 
 

@@ -1,17 +1,22 @@
+import math
+
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from skyledger.config import Scoring, Thresholds, Training
 from skyledger.operators.features import model_features
 from skyledger.operators.learning import (
     OneClassError,
-    area_under_roc,
+    label_counts,
+    prepare,
     sample_predictions,
     save_model,
     split_history,
     train,
 )
+from skyledger.operators.ranking import area_under_roc, rank_sums
 from skyledger.operators.scoring import model_alerts, score
 from skyledger.session import scratch
 
@@ -120,9 +125,45 @@ def test_many_sources_are_told_apart(spark, history):
     assert len(trained.model.stages[0].labels) == 64
 
 
-def test_exact_area_under_curve(spark):
-    rows = [(0.9, 1.0), (0.8, 0.0), (0.7, 1.0), (0.7, 0.0), (0.1, 0.0)]
+def pairs_won(rows):
     pairs = [(p, q) for p, a in rows for q, b in rows if a == 1.0 and b == 0.0]
-    brute = sum((p > q) + (p == q) / 2 for p, q in pairs) / len(pairs)
-    df = spark.createDataFrame(rows, "score double, label double")
-    assert area_under_roc(df, "score", bins=0) == pytest.approx(brute)
+    return sum((p > q) + (p == q) / 2 for p, q in pairs) / len(pairs)
+
+
+@pytest.mark.parametrize("spread", [3, 40, 100_000])
+def test_exact_area_under_curve(spark, spread):
+    rows = [((k * 7919 + k * k) % spread / 10, float(k % 5 == 0 or k % 7 == k % 3)) for k in range(500)]
+    df = spark.createDataFrame(rows, "score double, label double").repartition(7)
+    assert area_under_roc(df, "score") == pytest.approx(pairs_won(rows), abs=1e-15)
+    assert rank_sums(df).count() <= 8
+
+
+def test_a_third_of_all_rows_may_tie(spark):
+    df = spark.range(0, 300_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.col("id") / 300_000).alias("score"), (F.col("id") % 2).cast("double").alias("label"))
+    curve = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(df)
+    assert area_under_roc(df, "score") == pytest.approx(curve, abs=1e-12)
+
+
+def test_area_of_odd_scores(spark):
+    def area(*rows):
+        return area_under_roc(spark.createDataFrame(rows, "score double, label double"), "score")
+
+    assert area((float("nan"), 1.0), (1e300, 0.0), (None, 0.0), (0.3, None)) == 1.0
+    assert area((0.0, 1.0), (-0.0, 0.0)) == 0.5
+    assert math.isnan(area((0.5, 1.0), (0.6, 1.0))) and math.isnan(area((None, None)))
+
+
+def test_the_positive_class_of_a_vector_is_scored(trained):
+    reported = trained.metrics.first().auc
+    assert reported == area_under_roc(trained.predictions, "probability") == area_under_roc(trained.predictions)
+
+
+def test_labels_are_counted_once(spark, history):
+    prepared = prepare(history, scratch(spark, "test-counts"), SETTINGS)
+    counted = {r.label: r["count"] for r in label_counts(prepared).collect()}
+    assert counted == {1.0: prepared.balance.n_pos, 0.0: prepared.balance.n_neg} and sum(counted.values()) == 4000
+
+
+def test_no_task_holds_all_scores(spark, capsys):
+    rank_sums(spark.range(10).select(F.col("id").alias("score"), (F.col("id") % 2).alias("label"))).explain()
+    assert "SinglePartition" not in capsys.readouterr().out
