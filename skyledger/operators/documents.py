@@ -27,8 +27,9 @@ def alert_documents(
     A record without an offset is named after the file and row it was read
     from. Records that are no JSON object are counted and left out. The text of
     a record stays with its document, with the fields the table has no column for.
+    Its ``version`` is the record's time on the bus, its ``fingerprint`` a hash of the text.
     """
-    missing = {"record_id": "string", "record_day": "long"}
+    missing = {"record_id": "string", "record_day": "long", "timestamp": "timestamp"}
     records = records.withColumns(
         {"document": F.col("value").cast("string")}
         | {name: F.lit(None).cast(kind) for name, kind in missing.items() if name not in records.columns}
@@ -48,6 +49,8 @@ def alert_documents(
         .withColumns(
             {
                 "doc_id": F.when(placed, F.concat_ws("-", "topic", "partition", "offset")).otherwise(by_row),
+                "version": F.col("timestamp"),
+                "fingerprint": F.xxhash64("document"),
                 "location": F.when(located, F.struct("lat", "lon")),
                 "index": index_name(F.col("topic"), prefix),
                 "offset_block": F.when(placed, F.expr(f"offset div {BLOCK}")).otherwise(-F.col("record_day")),

@@ -182,16 +182,44 @@ def alert_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = Topics()
     by_rules = rule_alerts(telemetry(spark, sf_dir), keep=["event_id"])
     by_model = model_alerts(fixed_scores(spark, sf_dir), keep=["event_id"])
-    place = {
-        "partition": F.expr(f"CAST(event_id % {ALERT_PARTITIONS} AS INT)"),
-        "offset": F.expr(f"event_id div {ALERT_PARTITIONS}"),
-    }
-
-    def records(alerts: DataFrame, topic: str) -> DataFrame:
-        key, value = as_json([name for name in alerts.columns if name != "event_id"])
-        text = F.when(F.col("event_id") % CUT_OFF_EVERY == 0, F.substring(value, 1, 60)).otherwise(value)
-        return alerts.select(
-            key, text.alias("value"), F.lit(topic).alias("topic"), *[c.alias(name) for name, c in place.items()]
-        )
-
-    return records(by_rules, topics.rule_alerts).unionByName(records(by_model, topics.model_alerts))
+    return _alerts_on(by_rules, topics.rule_alerts).unionByName(_alerts_on(by_model, topics.model_alerts))
+
+
+def _alerts_on(alerts: DataFrame, topic: str) -> DataFrame:
+    key, value = as_json([name for name in alerts.columns if name != "event_id"])
+    text = F.when(F.col("event_id") % CUT_OFF_EVERY == 0, F.substring(value, 1, 60)).otherwise(value)
+    return alerts.select(
+        key,
+        text.alias("value"),
+        F.lit(topic).alias("topic"),
+        F.expr(f"CAST(event_id % {ALERT_PARTITIONS} AS INT)").alias("partition"),
+        F.expr(f"event_id div {ALERT_PARTITIONS}").alias("offset"),
+    )
+
+
+# Of every so many alerts one is sent again with other values: as a correction, as one without a time, as one that
+# comes late.
+CORRECTED_EVERY, UNDATED_EVERY, LATE_EVERY = 3, 4, 5
+
+
+def alert_versions(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three batches of alerts at the same places on the bus: first ones, other versions of some, the first ones again.
+
+    Rule alerts have times on the bus, model alerts have none, so of these the later batch is the newer.
+    """
+    topics = Topics()
+    dated = rule_alerts(telemetry(spark, sf_dir), keep=["event_id"])
+    plain = model_alerts(fixed_scores(spark, sf_dir), keep=["event_id"])
+
+    def sent(alerts: DataFrame, topic: str, every: int | None, reason: str | None, time: str | None) -> DataFrame:
+        if every is not None:
+            changed = {"reason": F.lit(reason), "severity": F.lit(1)}
+            alerts = alerts.filter(F.col("event_id") % every == 0).withColumns(changed)
+        return _alerts_on(alerts, topic).withColumn("timestamp", F.lit(time).cast("timestamp"))
+
+    first = sent(dated, topics.rule_alerts, None, None, "2024-03-02").unionByName(sent(plain, topics.model_alerts, None, None, None))
+    corrections = sent(dated, topics.rule_alerts, CORRECTED_EVERY, "corrected", "2024-03-03")
+    late = sent(dated, topics.rule_alerts, LATE_EVERY, "late", "2024-03-01")
+    undated = sent(plain, topics.model_alerts, UNDATED_EVERY, "corrected", None)
+    again = sent(dated, topics.rule_alerts, None, None, "2024-03-02")
+    return [first, corrections.unionByName(late).unionByName(undated), again]

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from .feeds import AIRCRAFT_SQL, ALERT_PARTITIONS, CUT_OFF_EVERY, FIXED_SCORE_SQL, LABELLED_SCORE_SQL, MARK_SQL, SOURCE_SQL, STATE_SQL
+from .feeds import (
+    AIRCRAFT_SQL,
+    ALERT_PARTITIONS,
+    CORRECTED_EVERY,
+    CUT_OFF_EVERY,
+    FIXED_SCORE_SQL,
+    LABELLED_SCORE_SQL,
+    MARK_SQL,
+    SOURCE_SQL,
+    STATE_SQL,
+    UNDATED_EVERY,
+)
 
 _ISO = "%Y-%m-%dT%H:%M:%SZ"
 _ISO_MILLIS = "%Y-%m-%dT%H:%M:%S.%gZ"
@@ -100,6 +111,12 @@ _STEPS = {
     # Alerts whose text is cut off cannot be read.
     "documents": f"""SELECT topic || '-' || (event_id % {ALERT_PARTITIONS}) || '-' || (event_id // {ALERT_PARTITIONS}) AS doc_id,
       * EXCLUDE (topic, event_id) FROM alerts WHERE event_id % {CUT_OFF_EVERY} <> 0""",
+    "versions": f"""SELECT *, event_id % CASE WHEN detector = 'spark_rules' THEN {CORRECTED_EVERY} ELSE {UNDATED_EVERY} END = 0
+      AS corrected FROM alerts""",
+    "corrected": f"""SELECT topic || '-' || (event_id % {ALERT_PARTITIONS}) || '-' || (event_id // {ALERT_PARTITIONS}) AS doc_id,
+      * EXCLUDE (topic, event_id, corrected) REPLACE (CASE WHEN corrected THEN 'corrected' ELSE reason END AS reason,
+        CAST(CASE WHEN corrected THEN 1 ELSE severity END AS INTEGER) AS severity)
+      FROM versions WHERE event_id % {CUT_OFF_EVERY} <> 0""",
     "ranks": f"""SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / CAST(2 AS DOUBLE) AS place
       FROM (SELECT label, {LABELLED_SCORE_SQL} AS score FROM labelled)""",
     "marked": f"""SELECT event_id, event_time, strftime(ts, '{_ISO_MILLIS}') AS arrived,
@@ -133,6 +150,8 @@ _USES = {
     "model_alerts": ("scored",),
     "alerts": ("rule_alerts", "model_alerts"),
     "documents": ("alerts",),
+    "versions": ("alerts",),
+    "corrected": ("versions",),
     "ranks": ("labelled",),
     "marked": ("objects",),
     "polled_routes": ("polled_objects",),
@@ -286,6 +305,7 @@ def all_oracles() -> dict[str, str]:
               count(*) FILTER (event_id % {CUT_OFF_EVERY} = 0) AS unreadable FROM alerts""",
         ),
         "publish_replay": _after("documents", select="SELECT * FROM documents"),
+        "publish_corrected": _after("corrected", select="SELECT * FROM corrected"),
         "stream_ingest": _after(
             "polled_routes",
             select="""SELECT 'flights.' || route AS topic, icao24, callsign,

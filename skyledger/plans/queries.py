@@ -409,6 +409,16 @@ def _publish_replay(spark, sf_dir):
     return _flat_documents(read_index(spark, path))
 
 
+@_query("publish_corrected")
+def _publish_corrected(spark, sf_dir):
+    """The table after corrections, late versions and a replay of the first versions."""
+    path = scratch(spark, "index")
+    ensure_index(spark, path)
+    for batch_id, records in enumerate(feeds.alert_versions(spark, sf_dir)):
+        publish_batch(alert_documents(records), batch_id, path)
+    return _flat_documents(read_index(spark, path))
+
+
 # Streams, run over all their input once
 
 

@@ -138,7 +138,8 @@ ALERT_DOCUMENT = StructType(
     [StructField("doc_id", TEXT), StructField("partition", IntegerType()), StructField("offset", LongType())]
     + ALERT.fields
     + [StructField("location", _struct(lat=NUMBER, lon=NUMBER))]
-    + [StructField("document", TEXT), StructField("index", TEXT), StructField("offset_block", LongType())]
+    + [StructField("document", TEXT), StructField("version", TimestampType()), StructField("fingerprint", LongType())]
+    + [StructField("index", TEXT), StructField("offset_block", LongType())]
 )
 
 # Inputs of the classifier in vector order; "hour" and "source_idx" are derived.

@@ -37,12 +37,32 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
+    return files.exists(place)
+
+
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark."""
+    place, files = _place(spark, path)
+    files.create(place, True).close()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
 def forget(spark: SparkSession, path: str) -> None:
     """Remove a folder that ``scratch`` has named."""
     if "/skyledger/" not in path:
         raise ValueError(f"{path} is not a scratch folder")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    remove_path(spark, path)
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -5,7 +5,7 @@ bus records in Parquet, laid out as ``writer=<name>/topic=<name>/``. Each
 streaming writer has a folder of its own, as a folder's sink log is the memory
 of one query. Records of a folder that carry no offset are told apart by
 ``record_id``, their file and row, and ``record_day``, the day the file was
-written.
+written. Records of a folder that carry no time have that of their file.
 """
 
 from __future__ import annotations
@@ -120,8 +120,9 @@ def _as_bytes(records: DataFrame) -> DataFrame:
 
 def _named(records: DataFrame) -> DataFrame:
     file = F.col("_metadata")
+    arrived = F.coalesce("timestamp", file["file_modification_time"])
     return records.select(
-        *BUS_RECORD.names,
+        *[arrived.alias(name) if name == "timestamp" else name for name in BUS_RECORD.names],
         F.concat_ws("-", file["file_name"], file["row_index"]).alias("record_id"),
         F.date_format(file["file_modification_time"], "yyyyMMdd").cast("long").alias("record_day"),
     )

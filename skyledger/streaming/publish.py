@@ -1,15 +1,22 @@
-"""Replay-safe publication of alert documents (SNK-5, SNK-6, STR-6)."""
+"""Replay-safe publication of alert documents (SNK-5, SNK-6, STR-6).
+
+A document is written under its ``doc_id``: it replaces what the table holds
+under that id, unless that is a newer version. One job publishes to a table at a
+time; two at once could both miss what the other writes.
+"""
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ALERT_DOCUMENT
+from ..session import create_file, path_exists, remove_path
 
 LAYOUT = ("index", "offset_block")
+IDENTITY = ("doc_id", "version", "fingerprint")
 
 
 def ensure_index(spark: SparkSession, path: str) -> None:
@@ -19,41 +26,119 @@ def ensure_index(spark: SparkSession, path: str) -> None:
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ALERT_DOCUMENT).parquet(path).select(*[F.col(f"`{n}`") for n in ALERT_DOCUMENT.names])
+    return spark.read.schema(ALERT_DOCUMENT).parquet(path).select(*_columns())
 
 
 def publish_batch(documents: DataFrame, batch_id: int, path: str) -> None:
-    """Append the documents whose ``doc_id`` the table does not hold yet.
+    """Merge a batch into the table, one row per ``doc_id``.
+
+    Of several versions the newest stays; of versions of the same time, or of
+    none, the one published last. So a retried or replayed batch changes nothing,
+    a corrected document replaces the wrong one, and an old one that comes late
+    does not. The rule asks only what the table holds, not which batch wrote it.
 
-    A bus record never changes, so keeping the first copy of a document equals
-    overwriting it. The rule asks only what the table holds, which makes it
-    right for a batch that is retried after a partial write as well as for a
-    replay under another checkpoint, whose batches are cut differently.
+    New documents are appended. Where documents are replaced, and only there,
+    their folders are written anew; see ``replace_folders``.
     """
     spark = documents.sparkSession
-    batch = documents.persist(StorageLevel.MEMORY_AND_DISK)
+    finish_replacement(spark, path)
+    batch = newest_versions(documents).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # One row per folder that the batch writes to.
         touched = batch.select(*LAYOUT).distinct().collect()
         if not touched:
             return
-        fresh = batch.dropDuplicates(["doc_id"])
         known = _known_ids(spark, path, touched)
-        if known is not None:
-            fresh = fresh.join(known, "doc_id", "left_anti")
-        fresh.hint("rebalance", *[F.col(name) for name in LAYOUT]).write.mode("append").partitionBy(*LAYOUT).parquet(
-            path
-        )
+        if known is None:
+            _laid_out(batch).mode("append").parquet(path)
+            return
+        judged = compared(batch, known).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _laid_out(judged.filter("change = 'new'").drop("change")).mode("append").parquet(path)
+            corrected = judged.filter("change = 'corrected'").drop("change")
+            wrong = corrected.select(*LAYOUT).distinct().collect()
+            if wrong:
+                replace_folders(spark, path, corrected, wrong)
+        finally:
+            judged.unpersist()
     finally:
         batch.unpersist()
 
 
+def newest_versions(documents: DataFrame) -> DataFrame:
+    """One row per ``doc_id``, that of the latest version. Rows are reduced before they move."""
+    best = F.max_by(F.struct(*_columns()), F.struct("version", "fingerprint")).alias("best")
+    return documents.groupBy(F.col("doc_id").alias("_id")).agg(best).select("best.*")
+
+
+def compared(batch: DataFrame, known: DataFrame) -> DataFrame:
+    """The documents the table does not hold like this, with ``change``: ``new`` or ``corrected``."""
+    held = known.select("doc_id", F.col("version").alias("_version"), F.col("fingerprint").alias("_fingerprint"), F.lit(True).alias("_held"))
+    newer = _after(F.col("version"), F.col("_version"))
+    same_time = F.col("version").eqNullSafe(F.col("_version"))
+    other = same_time & ~F.col("fingerprint").eqNullSafe(F.col("_fingerprint"))
+    change = F.when(F.col("_held").isNull(), "new").when(newer | other, "corrected")
+    return batch.join(held, "doc_id", "left").withColumn("change", change).filter("change IS NOT NULL").select(*_columns(), "change")
+
+
+def replace_folders(spark: SparkSession, path: str, corrected: DataFrame, wrong: list) -> None:
+    """Write the folders of ``wrong`` anew, with ``corrected`` in place of the rows of the same ids.
+
+    Replacing a folder deletes the old one first. So that nothing is lost if the
+    job ends there, the new content is complete in a folder of its own before, and
+    the next batch puts it in place if this one does not.
+    """
+    held = _folders(spark, path, wrong).join(corrected.select("doc_id"), "doc_id", "left_anti").select(*_columns())
+    _laid_out(held.unionByName(corrected)).mode("overwrite").parquet(_pending(path))
+    create_file(spark, _complete(path))
+    finish_replacement(spark, path)
+
+
+def finish_replacement(spark: SparkSession, path: str) -> None:
+    """Put complete new content of folders in place; throw incomplete content away."""
+    pending = _pending(path)
+    if path_exists(spark, _complete(path)):
+        rows = spark.read.schema(ALERT_DOCUMENT).parquet(pending).select(*_columns())
+        _laid_out(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    # The mark goes first: content without it is never put in place.
+    for left in (_complete(path), pending):
+        if path_exists(spark, left):
+            remove_path(spark, left)
+
+
+def _pending(path: str) -> str:
+    # Readers skip folders of such names.
+    return f"{path}/_pending"
+
+
+def _complete(path: str) -> str:
+    return f"{path}/_pending_complete"
+
+
+def _columns() -> list[Column]:
+    return [F.col(f"`{n}`") for n in ALERT_DOCUMENT.names]
+
+
+def _after(time: Column, other: Column) -> Column:
+    """A time is after another and after none."""
+    return F.coalesce(time > other, time.isNotNull() & other.isNull())
+
+
+def _laid_out(rows: DataFrame):
+    return rows.hint("rebalance", *[F.col(name) for name in LAYOUT]).write.partitionBy(*LAYOUT)
+
+
 def _known_ids(spark: SparkSession, path: str, touched: list) -> DataFrame | None:
-    """Ids the table holds in the folders a batch writes to, or None.
+    """What the table holds in the folders a batch writes to, or None.
 
-    Opens these folders only, and of their files the one column, so the cost of
-    a batch does not grow with the table.
+    Opens these folders only, and of their files three narrow columns, so the cost
+    of a batch does not grow with the table.
     """
+    held = _folders(spark, path, touched)
+    return None if held is None else held.select(*IDENTITY)
+
+
+def _folders(spark: SparkSession, path: str, touched: list) -> DataFrame | None:
     by_index: dict[str, list[str]] = {}
     for folder in touched:
         by_index.setdefault(folder["index"], []).append(str(folder["offset_block"]))
@@ -61,7 +146,7 @@ def _known_ids(spark: SparkSession, path: str, touched: list) -> DataFrame | Non
     for index, blocks in sorted(by_index.items()):
         pattern = f"{path}/index={index}/offset_block={{{','.join(sorted(blocks))}}}"
         try:
-            found = spark.read.schema(ALERT_DOCUMENT).option("basePath", path).parquet(pattern).select("doc_id")
+            found = spark.read.schema(ALERT_DOCUMENT).option("basePath", path).parquet(pattern)
         except AnalysisException as problem:
             if problem.getCondition() == "PATH_NOT_FOUND":
                 continue

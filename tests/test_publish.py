@@ -133,3 +133,84 @@ def test_records_without_offset_are_named_after_their_row(spark):
 def test_an_empty_batch_writes_nothing(spark, path):
     publish_batch(alert_documents(records(spark, ("t.a", 0, 0))).filter("false"), 0, path)
     assert ids(spark, path) == []
+
+
+def at(spark, *rows):
+    """Records of topic t.a, partition 0: offset, reason, time on the bus."""
+    texts = [(json.dumps(ALERT | {"reason": reason}), "t.a", 0, offset, time) for offset, reason, time in rows]
+    records = spark.createDataFrame(texts, "value string, topic string, partition int, offset long, time string")
+    return alert_documents(records.withColumn("timestamp", F.col("time").cast("timestamp")))
+
+
+def reasons(spark, path):
+    rows = read_index(spark, path).collect()
+    assert len({r.doc_id for r in rows}) == len(rows)
+    return {r.offset: r.reason for r in rows}
+
+
+def test_the_newest_version_stays(spark, path):
+    day = "2024-03-0{}".format
+    publish_batch(at(spark, (0, "a", day(2)), (1, "a", day(2)), (2, "a", day(2)), (3, "a", None), (4, "a", None)), 0, path)
+    publish_batch(at(spark, (0, "b", day(3)), (1, "b", day(1)), (2, "b", day(2)), (3, "b", None), (4, "b", day(1)), (5, "b", None)), 1, path)
+    expected = {0: "b", 1: "a", 2: "b", 3: "b", 4: "b", 5: "b"}
+    assert reasons(spark, path) == expected
+    # Versions of several times in one batch, and one without a time after one that has it.
+    publish_batch(at(spark, (0, "c", None), (0, "d", day(4)), (0, "e", day(3)), (6, "c", day(1)), (6, "d", day(2))), 2, path)
+    assert reasons(spark, path) == expected | {0: "d", 6: "d"}
+
+
+def test_other_folders_are_left_alone(spark, path, tmp_path):
+    publish_batch(at(spark, *[(b * BLOCK, "a", None) for b in range(3)]), 0, path)
+    files = lambda b: {f.name for f in (tmp_path / "index" / "index=flights-a" / f"offset_block={b}").glob("*.parquet")}
+    before = [files(b) for b in range(3)]
+    publish_batch(at(spark, (BLOCK, "b", None), (0, "a", None), (1, "new", None)), 1, path)
+    after = [files(b) for b in range(3)]
+    assert before[0] < after[0] and not before[1] & after[1] and before[2] == after[2]
+    assert reasons(spark, path) == {0: "a", 1: "new", BLOCK: "b", 2 * BLOCK: "a"}
+
+
+BATCHES = [[(k, "a", None) for k in range(6)], [(k, "b", None) for k in range(0, 8, 2)]]
+MERGED = {0: "b", 1: "a", 2: "b", 3: "a", 4: "b", 5: "a", 6: "b"}
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("moment", ["before the mark", "before the replacement", "after the deletion"])
+def test_a_broken_off_replacement_is_finished(spark, path, tmp_path, monkeypatch, moment):
+    publish_batch(at(spark, *BATCHES[0]), 0, path)
+
+    def stop(*_):
+        raise Stopped
+
+    with monkeypatch.context() as broken:
+        if moment == "before the mark":
+            broken.setattr(publish, "create_file", stop)
+        else:
+            real, calls = publish.finish_replacement, []
+            broken.setattr(publish, "finish_replacement", lambda *a: stop() if calls else calls.append(real(*a)))
+        with pytest.raises(Stopped):
+            publish_batch(at(spark, *BATCHES[1]), 1, path)
+    if moment == "after the deletion":
+        publish.remove_path(spark, str(tmp_path / "index" / "index=flights-a" / "offset_block=0"))
+    # Retried, or followed by a batch that has nothing to do with it.
+    publish_batch(at(spark, *BATCHES[1] if moment == "before the mark" else [(9 * BLOCK, "x", None)]), 1, path)
+    assert reasons(spark, path) == MERGED | ({} if moment == "before the mark" else {9 * BLOCK: "x"})
+    publish_batch(at(spark, *BATCHES[1]), 1, path)
+    assert {k: v for k, v in reasons(spark, path).items() if k < BLOCK} == MERGED
+    assert not [f for f in (tmp_path / "index").iterdir() if f.name.startswith("_pending")]
+
+
+def test_tables_of_an_earlier_layout_are_read(spark, tmp_path):
+    path = str(tmp_path / "old")
+    old = at(spark, (0, "a", None), (1, "a", None)).drop("version", "fingerprint")
+    old.write.partitionBy("index", "offset_block").parquet(path)
+    publish_batch(at(spark, (1, "b", "2024-03-01"), (2, "b", None)), 0, path)
+    assert reasons(spark, path) == {0: "a", 1: "b", 2: "b"}
+
+
+def test_a_hot_id_is_reduced_before_it_moves(spark, capsys):
+    publish.newest_versions(at(spark, (0, "a", None))).explain()
+    plan = capsys.readouterr().out
+    assert plan.index("partial_max_by") > plan.index("Exchange hashpartitioning")
