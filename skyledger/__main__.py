@@ -42,6 +42,7 @@ from .streaming.counters import RunningCounts
 ARCHIVE_PATH = "/data/telemetry_parquet/flights"
 MODEL_PATH = "/data/models/flight_anomaly_clf"
 BROKERS = "kafka:29092"
+COUNTERS = {"ingest": jobs.INGEST_COUNTERS, "publish": jobs.PUBLISH_COUNTERS}
 
 
 def _bus(env: Mapping[str, str], folder: str, offsets: str) -> Bus:
@@ -88,11 +89,11 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping
         days = [date.fromisoformat(env[name]) if name in env else None for name in ("FIRST_DAY", "LAST_DAY")]
         compact_archive(spark, archive_path, env["COMPACT_PATH"], *days)
         return
-    if job in ("ingest", "publish"):
-        name = jobs.INGEST_COUNTERS if job == "ingest" else jobs.PUBLISH_COUNTERS
-        spark.streams.addListener(RunningCounts(name))
-    if job == "ingest":
-        spark.streams.addListener(RunningCounts(jobs.LANDING_COUNTERS, every=1))
+    if job in COUNTERS:
+        spark.streams.addListener(RunningCounts(COUNTERS[job]))
+    unreadable = {"ingest": jobs.LANDING_COUNTERS, "rules": jobs.RULE_COUNTERS, "score": jobs.MODEL_COUNTERS}
+    if job in unreadable:
+        spark.streams.addListener(RunningCounts(unreadable[job], every=1))
     if job == "ingest":
         query = jobs.ingest(spark, env["LANDING_PATH"], source, out, checkpoint, topics, landing, trigger, area)
     elif job == "index":

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.once import expand_once
 from ..schemas import ALERT
+from .letters import BROKEN, carries_letters
 
 
 def alert_records(
@@ -21,7 +22,8 @@ def alert_records(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """One alert per event, with the columns of ``detail`` nested under ``raw``;
-    those of ``keep`` stay next to it."""
+    those of ``keep`` stay next to it, and broken text that the events carry."""
+    keep = [*keep, BROKEN] if carries_letters(events) else keep
     return events.select(
         F.col("event_ts").alias("@timestamp"),
         F.current_timestamp().alias("alert_generated_at"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..schemas import MODEL_NUMBERS
+from .letters import BROKEN, carries_letters, or_broken
 from .rules import anomalous
 
 
@@ -18,11 +19,16 @@ def model_features(events: DataFrame) -> DataFrame:
     """Events the model can read, with the hour of their day.
 
     Null fails the comparison and so does NaN, which sorts above all numbers. A
-    Parquet scan takes such a test over; of ``dropna`` it takes nothing.
+    Parquet scan takes such a test over; of ``dropna`` it takes nothing. Broken text
+    that goes along gets values the model can read; what it says of them is not used.
     """
     known = [F.col("event_ts").isNotNull(), F.col("source").isNotNull()]
     numeric = [F.col(name) <= F.lit(math.inf) for name in MODEL_NUMBERS]
-    return events.filter(reduce(and_, known + numeric)).withColumn("hour", F.hour("event_ts"))
+    features = events.filter(or_broken(events, reduce(and_, known + numeric))).withColumn("hour", F.hour("event_ts"))
+    if not carries_letters(events):
+        return features
+    stand_in = {name: F.lit(0.0) for name in MODEL_NUMBERS} | {"hour": F.lit(0), "source": F.lit("")}
+    return features.withColumns({name: F.when(F.col(BROKEN).isNull(), F.col(name)).otherwise(v) for name, v in stand_in.items()})
 
 
 def weak_labels(features: DataFrame, bounds: Thresholds = Thresholds()) -> DataFrame:

@@ -11,6 +11,7 @@ from ..functions.instants import iso_seconds
 from ..functions.text import blank_to_null, number, strip, truthy
 from ..schemas import NORMALIZED
 from ..sources.snapshots import STATE_FEED, explode_snapshots
+from .letters import BROKEN, carries_letters, or_broken
 
 # Feet per metre, knots and feet per minute per metre per second.
 FEET_PER_METRE = 3.28084
@@ -102,8 +103,11 @@ def normalize(
     keep: Sequence[str] = (),
     counters: str | Observation | None = None,
 ) -> DataFrame:
-    """PRJ-11: envelopes of the configured feed; an unknown name is an object feed."""
-    rows = explode_snapshots(snapshots, feed)
+    """PRJ-11: envelopes of the configured feed; an unknown name is an object feed.
+
+    With ``broken`` among the kept columns, lines that are no envelopes go on.
+    """
+    rows = explode_snapshots(snapshots, feed, with_broken=BROKEN in keep)
     if feed == STATE_FEED:
         return normalize_states(rows, observed_at, keep, counters)
     return normalize_objects(rows, feed, observed_at, keep, counters)
@@ -128,7 +132,6 @@ def _canonical(
     events = df.select(*keep, *[fields[name].alias(name) for name in NORMALIZED.names])
     identified = F.col("icao24").isNotNull()
     if counters is not None:
-        events = events.observe(
-            counters, F.count(F.lit(1)).alias("fetched"), F.count_if(identified).alias("sent")
-        )
-    return events.filter(identified)
+        fetched = F.count_if(F.col(BROKEN).isNull()) if carries_letters(events) else F.count(F.lit(1))
+        events = events.observe(counters, fetched.alias("fetched"), F.count_if(identified).alias("sent"))
+    return events.filter(or_broken(events, identified))

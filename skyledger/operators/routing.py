@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from ..config import Topics
 from ..functions.instants import instant, iso_millis
-from .bus_records import as_json
+from .letters import BROKEN, to_bus_or_letters
 
 # Fields of the transport, not of the event.
 TRANSPORT_FIELDS = ("headers", "@version", "host", "url", "user_agent", "http", "event")
 
 NO_POSITION = "missing_position"
-UNREADABLE = "unreadable"
 
 
 def enrich_and_route(df: DataFrame) -> DataFrame:
@@ -52,14 +51,8 @@ def topic_of(route: Column, topics: Topics) -> Column:
 
 def to_routed_bus(routed: DataFrame, topics: Topics = Topics()) -> DataFrame:
     """SNK-4: bus records that name their topic, so one pass serves all routes."""
-    event = [name for name in routed.columns if name != "route"]
-    return routed.select(*as_json(event), topic_of(F.col("route"), topics).alias("topic"))
-
-
-def to_dead_letters(broken: DataFrame, topics: Topics = Topics()) -> DataFrame:
-    """Bus records of landed text that could not be read, whole and with the reason."""
-    letters = broken.select("message", F.lit(UNREADABLE).alias("dlq_reason"))
-    return letters.select(*as_json(letters.columns), F.lit(topics.dead_letter).alias("topic"))
+    event = [name for name in routed.columns if name not in ("route", BROKEN)]
+    return to_bus_or_letters(routed, event, topic_of(F.col("route"), topics), topics)
 
 
 def to_route_index(routed: DataFrame, prefix: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import Geofence, Thresholds
 from ..functions.geo import inside_box
 from .alerts import alert_records
+from .letters import or_broken
 
 # Transponder code, name of its alert, severity; in order of rank.
 EMERGENCY_CODES = (
@@ -80,7 +81,8 @@ def rule_alerts(
             for rule in rules
         ]
     )
-    fired = telemetry.withColumn("verdict", verdict).filter(F.col("verdict").isNotNull())
+    fired = telemetry.withColumn("verdict", verdict)
+    fired = fired.filter(or_broken(fired, F.col("verdict").isNotNull()))
     kind = F.col("verdict.type")
     return alert_records(
         fired, "spark_rules", kind, F.concat(F.lit("Rule alert: "), kind), F.col("verdict.severity"), DETAIL, keep

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import Scoring
 from ..functions.once import expand_once
 from .alerts import alert_records
+from .letters import or_broken
 
 DETAIL = (
     "baro_altitude_ft",
@@ -33,7 +34,7 @@ def score(features: DataFrame, model: PipelineModel) -> DataFrame:
 
 def model_alerts(scored: DataFrame, levels: Scoring = Scoring(), keep: Sequence[str] = ()) -> DataFrame:
     chance = F.col("p_anom")
-    positive = scored.filter((F.col("prediction") == 1.0) & (chance >= levels.warn))
+    positive = scored.filter(or_broken(scored, (F.col("prediction") == 1.0) & (chance >= levels.warn)))
     return alert_records(
         positive,
         "spark_ml",

@@ -130,6 +130,22 @@ def _vector_json() -> Column:
     return F.concat(F.lit("["), F.concat_ws(",", *[scalar(i) for i in range(STATE_LENGTH)]), F.lit("]"))
 
 
+# Polls of several aircraft: so many events in a row are looked at by one, of which it answers with none to all. Of
+# every so many polls one is cut off at its end.
+POLL_OF, CUT_POLL_EVERY = 50, 13
+POLLED_SQL = f"event_id % {POLL_OF} < CAST(floor(event_id / {POLL_OF}) AS BIGINT) * 7 % {POLL_OF + 1}"
+
+
+def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of 0 to 50 aircraft: ``poll, value``."""
+    events = _events(spark, sf_dir).withColumn("poll", F.expr(f"event_id div {POLL_OF}"))
+    craft = F.struct(*[F.expr(AIRCRAFT_SQL[name]).alias(name) for name in RAW_AIRCRAFT.names])
+    answers = events.groupBy("poll").agg(F.collect_list(F.when(F.expr(POLLED_SQL), craft)).alias("aircraft"))
+    value = F.to_json(F.struct("aircraft"))
+    cut = F.when(F.col("poll") % CUT_POLL_EVERY == 5, F.substring(value, F.lit(1), F.length(value) - 1)).otherwise(value)
+    return answers.select("poll", cut.alias("value"))
+
+
 def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routed events with their ``event_id``; they arrived when they happened."""
     events = normalize_objects(
@@ -155,6 +171,26 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_ts(routed(spark, sf_dir).filter(F.col("route") == "telemetry"))
 
 
+# Of every so many records on the telemetry topic one each is cut off, a list, a number, empty, and of another stream.
+SPOILT_EVERY = 89
+
+
+def spoilt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the telemetry topic, some of which cannot be read: ``event_id`` and the columns of the bus."""
+    events = routed(spark, sf_dir).filter(F.col("route") == "telemetry")
+    key, value = as_json([name for name in events.columns if name not in ("event_id", "route")])
+    kind = F.col("event_id") % SPOILT_EVERY
+    text = (
+        F.when(kind == 0, F.substring(value, 1, 60))
+        .when(kind == 1, "[]")
+        .when(kind == 2, "5")
+        .when(kind == 3, F.lit(None).cast("string"))
+        .when(kind == 4, '{"stream":"other"}')
+        .otherwise(value)
+    )
+    return events.select("event_id", key, text.alias("value"), F.lit(Topics().telemetry).alias("topic"))
+
+
 def bus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_routed_bus(routed(spark, sf_dir).drop("event_id"))
 

@@ -9,8 +9,12 @@ from .feeds import (
     CUT_OFF_EVERY,
     FIXED_SCORE_SQL,
     LABELLED_SCORE_SQL,
+    CUT_POLL_EVERY,
     MARK_SQL,
+    POLL_OF,
+    POLLED_SQL,
     SOURCE_SQL,
+    SPOILT_EVERY,
     STATE_SQL,
     UNDATED_EVERY,
 )
@@ -124,6 +128,12 @@ _STEPS = {
       CASE WHEN {_HERE} AND mark IS NULL OR NOT {_HERE} AND mark = 'telemetry' THEN 'telemetry'
         WHEN NOT {_HERE} THEN 'dlq' ELSE 'raw' END AS route
       FROM (SELECT *, {MARK_SQL} AS mark FROM objects)""",
+    "spoilt": f"""SELECT *, event_id % {SPOILT_EVERY} AS kind FROM routed WHERE route = 'telemetry'""",
+    "letters": """SELECT CASE kind WHEN 1 THEN '[]' WHEN 2 THEN '5' WHEN 3 THEN '' ELSE '{"@timestamp":"' || "@timestamp" || '","event_time":"' || event_time || '"' END AS message
+      FROM spoilt WHERE kind < 4""",
+    "answers": f"""SELECT * FROM own WHERE {POLLED_SQL} AND event_id // {POLL_OF} % {CUT_POLL_EVERY} <> 5""",
+    "answered": f"""SELECT CASE WHEN lat IS NULL OR lon IS NULL THEN 'dlq' ELSE 'telemetry' END AS route, *
+      FROM (SELECT {_object_fields("'adsbfi'")} FROM answers WHERE trim(hex) <> '')""",
     "polled_routes": """SELECT CASE WHEN lat IS NULL OR lon IS NULL THEN 'dlq' ELSE 'telemetry' END AS route, *
       FROM polled_objects""",
 }
@@ -155,6 +165,10 @@ _USES = {
     "ranks": ("labelled",),
     "marked": ("objects",),
     "polled_routes": ("polled_objects",),
+    "spoilt": ("routed",),
+    "letters": ("spoilt",),
+    "answers": ("own",),
+    "answered": ("answers",),
 }
 
 
@@ -313,6 +327,26 @@ def all_oracles() -> dict[str, str]:
               CASE WHEN route = 'telemetry' THEN 'telemetry' END AS stream,
               CASE WHEN route = 'dlq' THEN 'missing_position' END AS dlq_reason FROM polled_routes""",
         ),
+        "stream_ingest_polls": _after(
+            "answered",
+            select=f"""SELECT 'flights.' || route AS topic, icao24, callsign,
+                CASE WHEN route = 'telemetry' THEN lat || ',' || lon END AS location, squawk,
+                CASE WHEN route = 'dlq' THEN 'missing_position' END AS dlq_reason, CAST(NULL AS BOOLEAN) AS kept_whole FROM answered
+              UNION ALL SELECT 'flights.dlq', NULL, NULL, NULL, NULL, 'unreadable', true
+              FROM (SELECT DISTINCT event_id // {POLL_OF} AS poll FROM events) WHERE poll % {CUT_POLL_EVERY} = 5""",
+        ),
+        "stream_rules_broken": _after(
+            "judged",
+            "letters",
+            select=f"""SELECT 'flights.alerts' AS topic, alert_type, 'spark_rules' AS detector, CAST(NULL AS VARCHAR) AS message,
+                CAST(NULL AS VARCHAR) AS dlq_reason, count(*) AS records FROM judged
+              WHERE alert_type IS NOT NULL AND event_id % {SPOILT_EVERY} > 4 GROUP BY alert_type
+              UNION ALL SELECT 'flights.dlq', NULL, 'spark_rules', substr(message, 1, 12), 'unreadable', count(*) FROM letters GROUP BY substr(message, 1, 12)""",
+        ),
+        "stream_model_broken": _after(
+            "letters",
+            select="SELECT substr(message, 1, 60) AS message, 'unreadable' AS dlq_reason, 'spark_ml' AS detector, true AS alerts_agree FROM letters",
+        ),
         "stream_route_index": _after(
             "polled_routes",
             select="""SELECT 'flights-' || route AS "index", count(*) AS events FROM polled_routes GROUP BY route""",

@@ -465,6 +465,19 @@ def _stream_ingest_broken(spark, sf_dir):
     return records.groupBy("topic", "dlq_reason").agg(F.count("*").alias("records"))
 
 
+@_query("stream_ingest_polls")
+def _stream_ingest_polls(spark, sf_dir):
+    """The records of polls of no, one and many aircraft, some of which are cut off."""
+    path, out = scratch(spark, "landing"), FileBus(scratch(spark, "ingested"))
+    feeds.polls(spark, sf_dir).select("value").write.text(path)
+    _stream(jobs.ingest, spark, path, "adsbfi", out, label="ingest")
+    topics = Topics()
+    value = F.col("value").cast("string")
+    fields = [F.get_json_object(value, f"$.{name}").alias(name) for name in ("icao24", "callsign", "location", "squawk", "dlq_reason")]
+    whole = F.get_json_object(value, "$.message").startswith('{"aircraft":[').alias("kept_whole")
+    return out.read(spark, [topics.telemetry, topics.dead_letter, topics.raw]).select("topic", *fields, whole)
+
+
 @_query("stream_ingest_area")
 def _stream_ingest_area(spark, sf_dir):
     out = FileBus(scratch(spark, "ingested"))
@@ -520,6 +533,43 @@ def _stream_rule_alerts(spark, sf_dir):
     return _alerts_on(spark, out, Topics().rule_alerts).drop("p_anom")
 
 
+def _spoilt_bus(spark, sf_dir) -> FileBus:
+    bus = FileBus(scratch(spark, "bus"))
+    bus.write(feeds.spoilt_records(spark, sf_dir).drop("event_id"))
+    return bus
+
+
+def _letters_on(spark, bus: FileBus) -> DataFrame:
+    value = F.col("value").cast("string")
+    return bus.read(spark, [Topics().dead_letter]).select(
+        *[F.get_json_object(value, f"$.{name}").alias(name) for name in ("message", "dlq_reason", "detector")]
+    )
+
+
+@_query("stream_rules_broken")
+def _stream_rules_broken(spark, sf_dir):
+    """Alerts by type and dead letters by their text, of records of which some cannot be read."""
+    out, topics = FileBus(scratch(spark, "alerts")), Topics()
+    _stream(jobs.alert_by_rules, spark, _spoilt_bus(spark, sf_dir), out, label="rules")
+    letters = _letters_on(spark, out).withColumn("message", F.substring("message", 1, 12))
+    alerts = _alerts_on(spark, out, topics.rule_alerts).select("alert_type", "detector")
+    rows = alerts.withColumn("topic", F.lit(topics.rule_alerts)).unionByName(
+        letters.withColumn("topic", F.lit(topics.dead_letter)), allowMissingColumns=True
+    )
+    return rows.groupBy("topic", "alert_type", "detector", "message", "dlq_reason").agg(F.count("*").alias("records"))
+
+
+@_query("stream_model_broken")
+def _stream_model_broken(spark, sf_dir):
+    """The dead letters of the scoring job, and whether its alerts are those of the readable records."""
+    out, bus, model = FileBus(scratch(spark, "alerts")), _spoilt_bus(spark, sf_dir), _trained(spark, sf_dir).model
+    _stream(jobs.alert_by_model, spark, bus, out, model, label="model")
+    telemetry = parse_telemetry(bus.read(spark, [Topics().telemetry]))
+    expected = model_alerts(score(model_features(telemetry), model)).count()
+    sent = out.read(spark, [Topics().model_alerts]).count()
+    return _letters_on(spark, out).withColumn("alerts_agree", F.lit(sent == expected and sent > 0))
+
+
 def _alerts_on(spark, bus: FileBus, topic: str) -> DataFrame:
     return _flat_alerts(parse_alerts(bus.read(spark, [topic])).drop("readable"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.once import expand_once
-from ..schemas import SNAPSHOT
+from ..schemas import RAW_AIRCRAFT, SNAPSHOT
 
 STATE_FEED = "opensky"
 AC_FIRST_FEED = "airplaneslive"
@@ -35,13 +35,6 @@ def _with_instant(envelopes: DataFrame) -> DataFrame:
     return envelopes.select("*", F.col("_metadata.file_modification_time").alias("fetched_at"))
 
 
-def broken_envelopes(snapshots: DataFrame) -> DataFrame:
-    """``message``: the landed lines that are no envelopes, whole."""
-    # Spark does not read the text of broken lines alone; a list has to be asked for as well.
-    always = F.coalesce(F.size("aircraft"), F.lit(0)) >= -1
-    return snapshots.filter(F.col("broken").isNotNull() & always).select(F.col("broken").alias("message"))
-
-
 def parse_snapshots(df: DataFrame, feed: str, text: str = "value") -> DataFrame:
     """Envelopes out of a column of JSON text, with the lists that the feed
     looks at; the other columns are kept."""
@@ -50,18 +43,24 @@ def parse_snapshots(df: DataFrame, feed: str, text: str = "value") -> DataFrame:
     return expand_once(df, F.from_json(F.col(text).cast("string"), lists), keep)
 
 
-def explode_snapshots(df: DataFrame, feed: str) -> DataFrame:
+def explode_snapshots(df: DataFrame, feed: str, with_broken: bool = False) -> DataFrame:
     """One row per aircraft object, or per state vector as column ``state``.
 
     Object feeds differ only in which of their two keys they look at first; a
     missing or empty list falls through to the other. A null or empty list
-    gives no rows.
+    gives no rows. ``with_broken`` a line that is no envelope gives one row, with
+    nothing but its text.
     """
     keep = [name for name in df.columns if name not in SNAPSHOT.names]
+
+    def or_one_row(entries: Column, kind: str) -> Column:
+        return F.when(F.col("broken").isNotNull(), F.array(F.lit(None).cast(kind))).otherwise(entries) if with_broken else entries
+
     if feed == STATE_FEED:
-        return df.select(*keep, F.explode("states").alias("state"))
+        return df.select(*keep, F.explode(or_one_row(F.col("states"), "array<string>")).alias("state"))
     first, second = ("ac", "aircraft") if feed == AC_FIRST_FEED else ("aircraft", "ac")
-    return df.select(*keep, F.inline(_first_filled(F.col(first), F.col(second))))
+    filled = _first_filled(F.col(first), F.col(second))
+    return df.select(*keep, F.inline(or_one_row(filled, RAW_AIRCRAFT.simpleString())))
 
 
 def _first_filled(first: Column, second: Column) -> Column:

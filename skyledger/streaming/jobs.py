@@ -17,23 +17,26 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..config import Area, Geofence, Index, Scoring, Thresholds, Topics
 from ..operators.area import within_area
-from ..operators.bus_records import to_bus
 from ..operators.documents import alert_documents
 from ..operators.features import model_features
 from ..operators.history import to_archive
+from ..operators.letters import BROKEN, to_bus_or_letters
 from ..operators.normalize import normalize
-from ..operators.routing import enrich_and_route, to_dead_letters, to_route_index, to_routed_bus
+from ..operators.routing import enrich_and_route, to_route_index, to_routed_bus
 from ..operators.rules import rule_alerts
 from ..operators.scoring import model_alerts, score
-from ..operators.telemetry import parse_telemetry
+from ..operators.telemetry import parse_telemetry, telemetry_or_broken
+from ..schemas import ALERT
 from ..sources.archive import archive_stream
 from ..sources.bus import Bus, writer_name
-from ..sources.snapshots import broken_envelopes, read_snapshot_stream
+from ..sources.snapshots import read_snapshot_stream
 from .publish import ensure_index, publish_batch
 
 INGEST_COUNTERS = "ingest"
 LANDING_COUNTERS = "landing"
 PUBLISH_COUNTERS = "publish"
+RULE_COUNTERS = "rules"
+MODEL_COUNTERS = "score"
 
 
 # Over all that is there, then stop. No trigger at all: batch after batch.
@@ -50,19 +53,23 @@ def launch(writer: DataStreamWriter, name: str, checkpoint: str, trigger: Mappin
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def routed_events(snapshots: DataFrame, feed: str, area: Area | None = None) -> DataFrame:
-    """Landed snapshots as routed canonical events; of a broken line nothing is used.
+def routed_events(snapshots: DataFrame, feed: str, area: Area | None = None, with_broken: bool = False) -> DataFrame:
+    """Landed snapshots as routed canonical events and, if asked for, the lines that are no envelopes.
 
     With an area, only what the feed would have answered for it; an event
     without a position is in no area.
     """
-    fetched = F.col("fetched_at")
-    events = normalize(snapshots.filter("broken IS NULL"), feed, fetched, keep=["fetched_at"], counters=INGEST_COUNTERS)
+    keep = ["fetched_at", BROKEN] if with_broken else ["fetched_at"]
+    events = normalize(snapshots, feed, F.col("fetched_at"), keep=keep, counters=INGEST_COUNTERS)
     if area is not None:
         events = within_area(events, feed, area)
     return enrich_and_route(events.withColumnRenamed("fetched_at", "@timestamp"))
 
 
+def _counted(rows: DataFrame, counters: str) -> DataFrame:
+    return rows.observe(counters, F.count(BROKEN).alias("unreadable"))
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -76,11 +83,11 @@ def ingest(
 ) -> StreamingQuery:
     """SNK-4: all three routes in one pass, each record to the topic it names.
 
-    Lines that cannot be read go to the dead-letter topic and are counted.
+    A landed line is read once: it gives its many aircraft or, if it cannot be read,
+    itself, which goes to the dead-letter topic and is counted.
     """
-    snapshots = read_snapshot_stream(spark, landing, max_files)
-    broken = broken_envelopes(snapshots).observe(LANDING_COUNTERS, F.count(F.lit(1)).alias("unreadable"))
-    records = to_routed_bus(routed_events(snapshots, feed, area), topics).unionByName(to_dead_letters(broken, topics))
+    routed = routed_events(read_snapshot_stream(spark, landing, max_files), feed, area, with_broken=True)
+    records = to_routed_bus(_counted(routed, LANDING_COUNTERS), topics)
     return launch(out.write_stream(records, writer_name("ingest", checkpoint)), "ingest", checkpoint, trigger)
 
 
@@ -115,8 +122,10 @@ def alert_by_rules(
     fence: Geofence = Geofence(),
     trigger: Mapping | None = None,
 ) -> StreamingQuery:
-    telemetry = parse_telemetry(bus.read_stream(spark, [topics.telemetry]))
-    records = to_bus(rule_alerts(telemetry, bounds, fence), topics.rule_alerts)
+    """Alerts to their topic; records that cannot be read to the dead-letter topic, counted."""
+    telemetry = _counted(telemetry_or_broken(bus.read_stream(spark, [topics.telemetry])), RULE_COUNTERS)
+    alerts = rule_alerts(telemetry, bounds, fence)
+    records = to_bus_or_letters(alerts, ALERT.names, F.lit(topics.rule_alerts), topics, "spark_rules")
     return launch(out.write_stream(records, writer_name("alert_by_rules", checkpoint)), "alert_by_rules", checkpoint, trigger)
 
 
@@ -130,9 +139,10 @@ def alert_by_model(
     levels: Scoring = Scoring(),
     trigger: Mapping | None = None,
 ) -> StreamingQuery:
-    telemetry = parse_telemetry(bus.read_stream(spark, [topics.telemetry]))
+    """As by rules: one pass for alerts and for what cannot be read."""
+    telemetry = _counted(telemetry_or_broken(bus.read_stream(spark, [topics.telemetry])), MODEL_COUNTERS)
     alerts = model_alerts(score(model_features(telemetry), model), levels)
-    records = to_bus(alerts, topics.model_alerts)
+    records = to_bus_or_letters(alerts, ALERT.names, F.lit(topics.model_alerts), topics, "spark_ml")
     return launch(out.write_stream(records, writer_name("alert_by_model", checkpoint)), "alert_by_model", checkpoint, trigger)
 
 

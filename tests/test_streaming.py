@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from samples import BASE
 
 from skyledger.__main__ import run
-from skyledger.config import Index, Topics
+from skyledger.config import Area, Index, Topics
 from skyledger.operators.bus_records import to_bus
+from skyledger.operators.letters import to_bus_or_letters
 from skyledger.operators.rules import rule_alerts
-from skyledger.operators.telemetry import parse_telemetry
+from skyledger.operators.telemetry import parse_telemetry, telemetry_or_broken
+from skyledger.schemas import ALERT
 from skyledger.session import shared_folder
 from skyledger.sources.archive import read_archive
 from skyledger.sources.bus import FileBus, KafkaBus
@@ -103,6 +105,52 @@ def test_publication_of_two_topics_with_counters(spark, tmp_path):
     assert counts.totals == {"indexed": 6, "unreadable": 2}
 
 
+def test_lines_of_any_number_of_aircraft_are_read_once(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    lines = [json.dumps({"ac": [{"hex": f"{n}-{k}", "lat": 41.9, "lon": 12.5} for k in range(n)]}) for n in (0, 1, 2, 50)]
+    lines += ['{"ac": [', "{", json.dumps({"ac": None}), json.dumps({"states": [["s1"]]})]
+    (landing / "poll.json").write_text("\n".join(lines))
+    out = FileBus(str(tmp_path / "out"))
+    query = jobs.ingest(spark, str(landing), "adsbfi", out, str(tmp_path / "checkpoint"), trigger=jobs.ONCE)
+    drain(query)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == len(lines)
+    metrics = [p["observedMetrics"] for p in query.recentProgress if p["numInputRows"]]
+    assert [(m["ingest"]["fetched"], m["ingest"]["sent"], m["landing"]["unreadable"]) for m in metrics] == [(53, 53, 2)]
+    telemetry = [json.loads(r.value)["icao24"] for r in out.read(spark, ["flights.telemetry"]).collect()]
+    assert sorted(telemetry) == sorted(f"{n}-{k}" for n in (1, 2, 50) for k in range(n))
+    letters = [json.loads(r.value) for r in out.read(spark, ["flights.dlq"]).collect()]
+    assert sorted(d["message"] for d in letters) == ['{', '{"ac": ['] and {d["dlq_reason"] for d in letters} == {"unreadable"}
+    # The vectors of the other kind of feed, and of those what is outside its area, go the same way.
+    states = FileBus(str(tmp_path / "states"))
+    drain(jobs.ingest(spark, str(landing), "opensky", states, str(tmp_path / "c2"), trigger=jobs.ONCE, area=Area()))
+    assert states.read(spark, ["flights.telemetry"]).count() == 0 and states.read(spark, ["flights.dlq"]).count() == 2
+
+
+def test_detectors_send_what_they_cannot_read_to_the_dead_letters(spark, tmp_path):
+    bus, out = FileBus(str(tmp_path / "bus")), FileBus(str(tmp_path / "out"))
+    send(spark, bus, {"squawk": "7700"}, "{", "", "[]", "null", json.dumps({"stream": "x"}), "{}", {"lat": "abc"})
+    bus.write(spark.createDataFrame([(None, None, "flights.telemetry", 0, 99)], "key string, value string, topic string, partition int, offset long"))
+    query = jobs.alert_by_rules(spark, bus, out, str(tmp_path / "checkpoint"), trigger=jobs.ONCE)
+    drain(query)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 9
+    assert sum(p["observedMetrics"]["rules"]["unreadable"] for p in query.recentProgress if p["numInputRows"]) == 5
+    assert [json.loads(r.value)["icao24"] for r in out.read(spark, ["flights.alerts"]).collect()] == ["abc123"]
+    letters = [json.loads(r.value) for r in out.read(spark, ["flights.dlq"]).collect()]
+    assert sorted(d["message"] for d in letters) == ["", "", "[]", "null", "{"]
+    assert {(d["dlq_reason"], d["detector"]) for d in letters} == {("unreadable", "spark_rules")}
+
+
+def test_one_parse_serves_alerts_and_letters(spark, tmp_path, capsys):
+    bus = FileBus(str(tmp_path / "bus"))
+    send(spark, bus, {"squawk": "7700"}, "{")
+    alerts = rule_alerts(telemetry_or_broken(bus.read(spark, ["flights.telemetry"])))
+    capsys.readouterr()
+    to_bus_or_letters(alerts, ALERT.names, F.lit("flights.alerts")).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("from_json") == 1 and plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
 def test_jobs_from_landing_to_index(spark, tmp_path):
     """The whole way, each job started as the command line would."""
     landing = tmp_path / "landing"
