@@ -11,6 +11,8 @@
              or some days of it                       FIRST_DAY, LAST_DAY
     score    telemetry to model alerts                TOPIC_IN, TOPIC_OUT, MODEL_PATH
     publish  alerts to the document table             TOPICS, INDEX_PATH
+    together several of these streams in one session  JOBS, RESTARTS
+             and what each of them reads
 
 All that touch the bus read KAFKA_BOOTSTRAP, or BUS_PATH and BUS_OUT_PATH for
 folders of bus records; streams read CHECKPOINT_DIR and STARTING_OFFSETS, and
@@ -29,14 +31,16 @@ from datetime import date
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from .config import Area, Geofence, Index, Scoring, Thresholds, Topics, Training
 from .operators.learning import OneClassError, fit, label_counts, prepare, sample_predictions, save_model
 from .session import forget, open_session, scratch, shared_folder
-from .sources.archive import compact_archive, read_archive
+from .sources.archive import compact_archive, read_archive, read_history
 from .sources.bus import Bus, FileBus, KafkaBus
 from .streaming import jobs
 from .streaming.counters import RunningCounts
+from .streaming.together import Together
 
 # Where the data lies unless the environment says otherwise.
 ARCHIVE_PATH = "/data/telemetry_parquet/flights"
@@ -61,6 +65,43 @@ def _bus(env: Mapping[str, str], folder: str, offsets: str) -> Bus:
 
 def run(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping | None = None) -> None:
     """Run a job to its end, or until it is stopped."""
+    if job == "train":
+        settings = Training.from_env(env), Thresholds.from_env(env)
+        _train(_history(spark, env), env.get("MODEL_OUT", MODEL_PATH), *settings)
+    elif job == "compact":
+        compact_archive(spark, env.get("PARQUET_PATH", ARCHIVE_PATH), env["COMPACT_PATH"], *_days(env))
+    elif job == "together":
+        _together(spark, env, trigger)
+    else:
+        _start(job, spark, env, trigger).awaitTermination()
+
+
+def _days(env: Mapping[str, str]) -> list[date | None]:
+    return [date.fromisoformat(env[name]) if name in env else None for name in ("FIRST_DAY", "LAST_DAY")]
+
+
+def _history(spark: SparkSession, env: Mapping[str, str]) -> DataFrame:
+    path = env.get("PARQUET_PATH", ARCHIVE_PATH)
+    if "COMPACT_PATH" in env:
+        return read_history(spark, path, env["COMPACT_PATH"], *_days(env))
+    return read_archive(spark, path, *_days(env))
+
+
+def _together(spark: SparkSession, env: Mapping[str, str], trigger: Mapping | None) -> None:
+    """The jobs named in JOBS, each with a checkpoint of its own; if any has fallen in the end, so has this one."""
+    names = [name.strip() for name in env["JOBS"].split(",")]
+    root = env.get("CHECKPOINT_DIR") or f"{shared_folder(spark)}/skyledger"
+
+    def starter(name: str):
+        return lambda: _start(name, spark, {**env, "CHECKPOINT_DIR": f"{root}/{name}"}, trigger)
+
+    fallen = Together(spark, {name: starter(name) for name in names}, int(env.get("RESTARTS", "0"))).start().wait()
+    if any(len(falls) > int(env.get("RESTARTS", "0")) for falls in fallen.values()):
+        raise SystemExit(1)
+
+
+def _start(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping | None = None) -> StreamingQuery:
+    """Start a streaming job."""
     checkpoint = env.get("CHECKPOINT_DIR") or f"{shared_folder(spark)}/skyledger/{job}"
     # The archive wants everything, the detectors what happens now.
     bus = _bus(env, "BUS_PATH", "earliest" if job == "archive" else "latest")
@@ -80,15 +121,6 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping
     if trigger is None and "TRIGGER_INTERVAL" in env:
         trigger = jobs.every(env["TRIGGER_INTERVAL"])
 
-    if job == "train":
-        days = [date.fromisoformat(env[name]) if name in env else None for name in ("FIRST_DAY", "LAST_DAY")]
-        history = read_archive(spark, archive_path, *days)
-        _train(history, env.get("MODEL_OUT", MODEL_PATH), Training.from_env(env), bounds)
-        return
-    if job == "compact":
-        days = [date.fromisoformat(env[name]) if name in env else None for name in ("FIRST_DAY", "LAST_DAY")]
-        compact_archive(spark, archive_path, env["COMPACT_PATH"], *days)
-        return
     if job in COUNTERS:
         spark.streams.addListener(RunningCounts(COUNTERS[job]))
     unreadable = {"ingest": jobs.LANDING_COUNTERS, "rules": jobs.RULE_COUNTERS, "score": jobs.MODEL_COUNTERS}
@@ -111,7 +143,7 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mapping
         query = jobs.publish(spark, bus, env["INDEX_PATH"], checkpoint, index, trigger)
     else:
         raise SystemExit(__doc__)
-    query.awaitTermination()
+    return query
 
 
 def _train(history: DataFrame, model_path: str, settings: Training, bounds: Thresholds) -> None:
@@ -136,7 +168,7 @@ def main(arguments: list[str] | None = None) -> None:
     if len(arguments) != 1:
         raise SystemExit(__doc__)
     logging.basicConfig(level=logging.INFO)
-    run(arguments[0], open_session(f"skyledger-{arguments[0]}"), os.environ)
+    run(arguments[0], open_session(f"skyledger-{arguments[0]}", fair=arguments[0] == "together"), os.environ)
 
 
 if __name__ == "__main__":

@@ -14,7 +14,7 @@ from ..functions.once import expand_once
 from ..operators.bus_records import as_json
 from ..operators.features import model_features
 from ..operators.normalize import normalize_objects
-from ..operators.routing import enrich_and_route, to_routed_bus
+from ..operators.routing import enrich_and_route, to_routed_bus, topic_of
 from ..operators.rules import rule_alerts
 from ..operators.scoring import model_alerts
 from ..operators.telemetry import with_event_ts
@@ -191,6 +191,13 @@ def spoilt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", key, text.alias("value"), F.lit(Topics().telemetry).alias("topic"))
 
 
+def numbered_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the bus with the ``event_id`` of each, which is not in them."""
+    events = routed(spark, sf_dir)
+    key, value = as_json([name for name in events.columns if name not in ("event_id", "route")])
+    return events.select("event_id", key, value, topic_of(F.col("route"), Topics()).alias("topic"))
+
+
 def bus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_routed_bus(routed(spark, sf_dir).drop("event_id"))
 

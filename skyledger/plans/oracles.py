@@ -297,6 +297,13 @@ def all_oracles() -> dict[str, str]:
         ),
         "sample_predictions": _after("features", select="SELECT true AS labelled, true AS sums_to_one FROM features LIMIT 20"),
         "stream_scored": "SELECT CAST(0 AS BIGINT) AS only_streamed, CAST(0 AS BIGINT) AS only_batch, CAST(0 AS BIGINT) AS silent",
+        "archive_open_and_closed": _after("archive", select="SELECT * FROM archive"),
+        "stream_side_by_side": _after(
+            "judged",
+            select="""SELECT 'rules' AS job, icao24, alert_type, count(*) AS records, true AS scored_agree FROM judged
+              WHERE alert_type IS NOT NULL GROUP BY icao24, alert_type
+              UNION ALL SELECT 'archive', icao24, NULL, count(*), true FROM telemetry GROUP BY icao24""",
+        ),
         "archive_compacted": _after("archive", select="SELECT * FROM archive"),
         "stream_ingest_area": _after(
             "polled_objects",

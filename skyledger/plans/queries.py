@@ -39,11 +39,12 @@ from ..operators.scoring import model_alerts, score
 from ..operators.telemetry import parse_telemetry
 from ..schemas import MODEL_VECTOR
 from ..session import scratch, use_utc
-from ..sources.archive import compact_archive, read_archive, write_archive
+from ..sources.archive import compact_archive, days_to_close, read_archive, read_history, rewrite_days, write_archive
 from ..sources.bus import FileBus
 from ..sources.snapshots import parse_snapshots
 from ..streaming import jobs
 from ..streaming.publish import ensure_index, publish_batch, read_index
+from ..streaming.together import Together
 from . import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,6 +249,23 @@ def _archive_compacted(spark, sf_dir):
     return _times_as_text(read_archive(spark, target), "event_ts", "event_date")
 
 
+@_query("archive_open_and_closed")
+def _archive_open_and_closed(spark, sf_dir):
+    """A streamed archive of which some days were closed before the rest of their events came, some closed twice, and
+    the closing of some was broken off; read as one history."""
+    bus, path, target = FileBus(scratch(spark, "bus")), scratch(spark, "streamed"), scratch(spark, "closed")
+    checkpoint = scratch(spark, "archive-checkpoint")
+    records = feeds.numbered_records(spark, sf_dir)
+    for third in range(3):
+        bus.write(records.filter(F.col("event_id") % 3 == third).drop("event_id"))
+        jobs.archive(spark, bus, path, checkpoint, trigger=jobs.ONCE).awaitTermination()
+        # After the last third nothing is closed, so days have got files since.
+        if third < 2:
+            compact_archive(spark, path, target, date(2024, 1, 5 + third), date(2024, 1, 15))
+    rewrite_days(spark, path, target, days_to_close(spark, path, target, date(2024, 1, 10), date(2024, 1, 20)))
+    return _times_as_text(read_history(spark, path, target), "event_ts", "event_date")
+
+
 # Features, labels, balance
 
 
@@ -581,6 +599,30 @@ def _stream_archive(spark, sf_dir):
     return _times_as_text(read_archive(spark, path), "event_ts", "event_date")
 
 
+@_query("stream_side_by_side")
+def _stream_side_by_side(spark, sf_dir):
+    """What three jobs that run at the same time make of one bus; of the scored alerts, whether they are all there."""
+    bus, path, model = _telemetry_bus(spark, sf_dir), scratch(spark, "streamed"), _trained(spark, sf_dir).model
+    by_rules, by_model = FileBus(scratch(spark, "alerts")), FileBus(scratch(spark, "model-alerts"))
+    checkpoint = {name: scratch(spark, f"{name}-checkpoint") for name in ("rules", "archive", "score")}
+    starts = {
+        "rules": lambda: jobs.alert_by_rules(spark, bus, by_rules, checkpoint["rules"], trigger=jobs.ONCE),
+        "archive": lambda: jobs.archive(spark, bus, path, checkpoint["archive"], trigger=jobs.ONCE),
+        "score": lambda: jobs.alert_by_model(spark, bus, by_model, model, checkpoint["score"], trigger=jobs.ONCE),
+    }
+    fallen = Together(spark, starts).start().wait()
+    if fallen:
+        raise RuntimeError(f"jobs have fallen: {fallen}")
+    topics = Topics()
+    telemetry = parse_telemetry(bus.read(spark, [topics.telemetry]))
+    expected = model_alerts(score(model_features(telemetry), model)).count()
+    sent = by_model.read(spark, [topics.model_alerts]).count()
+    rules = _alerts_on(spark, by_rules, topics.rule_alerts).select(F.lit("rules").alias("job"), "icao24", "alert_type")
+    kept = read_archive(spark, path).select(F.lit("archive").alias("job"), "icao24", F.lit(None).cast("string").alias("alert_type"))
+    both = rules.unionByName(kept).groupBy("job", "icao24", "alert_type").agg(F.count("*").alias("records"))
+    return both.withColumn("scored_agree", F.lit(sent == expected and sent > 0))
+
+
 @_query("stream_scored")
 def _stream_scored(spark, sf_dir):
     out = FileBus(scratch(spark, "model-alerts"))

@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def open_session(name: str) -> SparkSession:
-    """A session in UTC; what concerns the cluster is left to its own settings."""
+def open_session(name: str, fair: bool = False) -> SparkSession:
+    """A session in UTC; what concerns the cluster is left to its own settings. ``fair`` for jobs side by side."""
+    builder = SparkSession.builder.appName(name)
+    if fair:
+        builder = builder.config("spark.scheduler.mode", "FAIR")
     spark = (
-        SparkSession.builder.appName(name)
         # Recording the call site of every expression triples the time to build a plan.
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     use_utc(spark)

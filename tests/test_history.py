@@ -1,3 +1,4 @@
+import shutil
 from datetime import date
 
 import pytest
@@ -8,7 +9,15 @@ from skyledger.operators.features import class_balance, label_distribution, mode
 from skyledger.operators.history import to_archive
 from skyledger.operators.telemetry import with_event_ts
 from skyledger.schemas import ARCHIVE, MODEL_NUMBERS
-from skyledger.sources.archive import read_archive, write_archive
+from skyledger.sources import archive
+from skyledger.sources.archive import (
+    closed_days,
+    compact_archive,
+    days_to_close,
+    read_archive,
+    read_history,
+    write_archive,
+)
 
 
 def plan_of(df, capsys):
@@ -110,3 +119,98 @@ def test_class_balance(spark):
 
 def test_base_event_is_complete():
     assert None not in BASE.values()
+
+
+def day_rows(spark, *times):
+    return to_archive(with_event_ts(telemetry(spark, *[{"@timestamp": t, "icao24": f"a{k}"} for k, t in enumerate(times)])))
+
+
+T = "2024-01-{:02d}T10:00:00Z".format
+
+
+@pytest.fixture
+def folders(tmp_path):
+    return str(tmp_path / "streamed"), str(tmp_path / "closed")
+
+
+def times(df):
+    return sorted(str(r.event_ts)[:10] for r in df.collect())
+
+
+def test_closed_days_are_read_from_one_folder_only(spark, folders):
+    path, target = folders
+    write_archive(day_rows(spark, T(1), T(1), T(2), "soon"), path)
+    assert times(read_history(spark, path, target)) == times(read_archive(spark, path))
+    compact_archive(spark, path, target, last=date(2024, 1, 1))
+    assert times(read_archive(spark, target)) == ["2024-01-01"] * 2
+    assert times(read_history(spark, path, target)) == ["2024-01-01", "2024-01-01", "2024-01-02", "None"]
+    compact_archive(spark, path, target)
+    assert set(closed_days(spark, target)) == {date(2024, 1, 1), date(2024, 1, 2), None}
+    assert times(read_history(spark, path, target)) == ["2024-01-01", "2024-01-01", "2024-01-02", "None"]
+    assert times(read_history(spark, path, target, date(2024, 1, 2), date(2024, 1, 3))) == ["2024-01-02"]
+
+
+def test_late_events_of_closed_days_are_read_once(spark, folders):
+    path, target = folders
+    write_archive(day_rows(spark, T(1), T(2)), path)
+    compact_archive(spark, path, target)
+    write_archive(day_rows(spark, T(1), T(3), "soon"), path)
+    expected = ["2024-01-01", "2024-01-01", "2024-01-02", "2024-01-03", "None"]
+    assert times(read_history(spark, path, target)) == expected
+    assert times(read_history(spark, path, target, last=date(2024, 1, 1))) == expected[:2]
+    assert set(days_to_close(spark, path, target)) == {date(2024, 1, 1), date(2024, 1, 3), None}
+    compact_archive(spark, path, target)
+    assert times(read_history(spark, path, target)) == expected == times(read_archive(spark, target))
+
+
+def test_only_the_day_of_unreadable_times_is_closed(spark, folders):
+    path, target = folders
+    write_archive(day_rows(spark, "soon", "later"), path)
+    compact_archive(spark, path, target)
+    write_archive(day_rows(spark, "soon", T(1)), path)
+    assert times(read_history(spark, path, target)) == ["2024-01-01", "None", "None", "None"]
+
+
+def test_closed_days_are_skipped(spark, folders, tmp_path):
+    path, target = folders
+    write_archive(day_rows(spark, T(1), T(2)), path)
+    compact_archive(spark, path, target)
+    files = lambda: sorted(str(f) for f in (tmp_path / "closed").rglob("*.parquet"))
+    before = files()
+    compact_archive(spark, path, target)
+    assert files() == before and days_to_close(spark, path, target) == {}
+
+
+@pytest.mark.parametrize("moment", ["before the rewrite", "before the note", "folder deleted"])
+def test_a_broken_off_compaction_loses_nothing(spark, folders, tmp_path, monkeypatch, moment):
+    path, target = folders
+    write_archive(day_rows(spark, T(1), T(2)), path)
+    compact_archive(spark, path, target)
+    write_archive(day_rows(spark, T(2), T(2), T(3)), path)
+    expected = ["2024-01-01", *["2024-01-02"] * 3, "2024-01-03"]
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    real, calls = archive._note, []
+    with monkeypatch.context() as broken:
+        if moment == "before the rewrite":
+            broken.setattr(archive, "_read_files", stop)
+        else:
+            broken.setattr(archive, "_note", lambda *a: stop() if calls else calls.append(real(*a)))
+        with pytest.raises(KeyboardInterrupt):
+            compact_archive(spark, path, target)
+    if moment == "folder deleted":
+        shutil.rmtree(tmp_path / "closed" / "event_date=2024-01-02")
+    assert times(read_history(spark, path, target)) == expected
+    assert set(closed_days(spark, target)) == {date(2024, 1, 1)}
+    compact_archive(spark, path, target)
+    assert times(read_history(spark, path, target)) == expected == times(read_archive(spark, target))
+
+
+def test_closed_days_are_pruned_by_folder(spark, folders, capsys):
+    path, target = folders
+    write_archive(day_rows(spark, T(1), T(2)), path)
+    compact_archive(spark, path, target, last=date(2024, 1, 1))
+    plan = plan_of(read_history(spark, path, target).select("lat"), capsys)
+    assert plan.count("PartitionFilters: [") == 2 and "ReadSchema: struct<lat:double>" in plan

@@ -1,4 +1,5 @@
 import json
+import threading
 import time
 
 import pytest
@@ -18,6 +19,7 @@ from skyledger.sources.bus import FileBus, KafkaBus
 from skyledger.streaming import jobs
 from skyledger.streaming.counters import RunningCounts
 from skyledger.streaming.publish import read_index
+from skyledger.streaming.together import Together
 
 KINDS = [{}, {"squawk": "7700"}, {"baro_altitude_ft": 70000.0}, {"ground_speed_kt": 800.0}, {"vertical_rate_fpm": -12000.0}]
 
@@ -151,6 +153,70 @@ def test_one_parse_serves_alerts_and_letters(spark, tmp_path, capsys):
     assert plan.count("from_json") == 1 and plan.count("FileScan") == 1 and "Exchange" not in plan
 
 
+def wait_for(condition):
+    for _ in range(300):
+        if condition():
+            return
+        time.sleep(0.1)
+    raise AssertionError("it did not happen in time")
+
+
+def test_the_fall_of_one_job_leaves_the_others(spark, tmp_path):
+    bus, out = FileBus(str(tmp_path / "bus")), FileBus(str(tmp_path / "out"))
+    send(spark, bus, *KINDS)
+    archived = lambda: read_archive(spark, str(tmp_path / "archive")).count() if (tmp_path / "archive").exists() else 0
+    alerts = lambda: out.read(spark, ["flights.alerts"]).count()
+
+    def falling():
+        def fail(batch, batch_id):
+            raise RuntimeError("on purpose")
+
+        writer = bus.read_stream(spark, ["flights.telemetry"]).writeStream.foreachBatch(fail)
+        return jobs.launch(writer, "falling", str(tmp_path / "c-falling"))
+
+    starts = {
+        "archive": lambda: jobs.archive(spark, bus, str(tmp_path / "archive"), str(tmp_path / "c-archive")),
+        "falling": falling,
+        "rules": lambda: jobs.alert_by_rules(spark, bus, out, str(tmp_path / "c-rules")),
+    }
+    together = Together(spark, starts, restarts=1).start()
+    waiting = threading.Thread(target=together.wait)
+    try:
+        waiting.start()
+        wait_for(lambda: len(together.fallen.get("falling", [])) == 2)
+        assert together.running() == ["archive", "rules"] and list(together.fallen) == ["falling"]
+        # What comes after the fall is worked on as before.
+        send(spark, bus, *KINDS, first=10)
+        wait_for(lambda: archived() == 10 and alerts() == 8)
+        # Stopping one is no fall, and leaves the other.
+        together.queries["archive"].stop()
+        send(spark, bus, *KINDS, first=20)
+        wait_for(lambda: alerts() == 12)
+        assert archived() == 10 and together.running() == ["rules"] and waiting.is_alive()
+    finally:
+        together.stop()
+        waiting.join(60)
+    assert not waiting.is_alive() and list(together.fallen) == ["falling"]
+
+
+def test_jobs_named_together(spark, tmp_path):
+    bus = FileBus(str(tmp_path / "bus"))
+    send(spark, bus, *KINDS)
+    env = {
+        "JOBS": "rules, archive",
+        "BUS_PATH": str(tmp_path / "bus"),
+        "BUS_OUT_PATH": str(tmp_path / "out"),
+        "PARQUET_PATH": str(tmp_path / "archive"),
+        "CHECKPOINT_DIR": str(tmp_path / "checkpoints"),
+    }
+    run("together", spark, env, trigger=jobs.ONCE)
+    assert read_archive(spark, str(tmp_path / "archive")).count() == 5
+    assert FileBus(str(tmp_path / "out")).read(spark, ["flights.alerts"]).count() == 4
+    assert {f.name for f in (tmp_path / "checkpoints").iterdir()} == {"rules", "archive"}
+    with pytest.raises(SystemExit):
+        run("together", spark, env | {"JOBS": "rules,unknown"}, trigger=jobs.ONCE)
+
+
 def test_jobs_from_landing_to_index(spark, tmp_path):
     """The whole way, each job started as the command line would."""
     landing = tmp_path / "landing"
