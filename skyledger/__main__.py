@@ -17,7 +17,7 @@
 All that touch the bus read KAFKA_BOOTSTRAP, or BUS_PATH and BUS_OUT_PATH for
 folders of bus records; streams read CHECKPOINT_DIR and STARTING_OFFSETS, and
 KAFKA_MIN_PARTITIONS, KAFKA_MAX_OFFSETS, LANDING_MAX_FILES and TRIGGER_INTERVAL
-to size their batches. Writers to Kafka read KAFKA_ACKS and KAFKA_COMPRESSION.
+to size their batches. COUNTERS_PATH keeps their counters from run to run. Writers to Kafka read KAFKA_ACKS and KAFKA_COMPRESSION.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from .session import forget, open_session, scratch, shared_folder
 from .sources.archive import compact_archive, read_archive, read_history
 from .sources.bus import Bus, FileBus, KafkaBus
 from .streaming import jobs
-from .streaming.counters import RunningCounts
+from .streaming.counters import CounterTable, RunningCounts
 from .streaming.together import Together
 
 # Where the data lies unless the environment says otherwise.
@@ -51,7 +51,8 @@ COUNTERS = {"ingest": jobs.INGEST_COUNTERS, "publish": jobs.PUBLISH_COUNTERS}
 
 def _bus(env: Mapping[str, str], folder: str, offsets: str) -> Bus:
     if folder in env:
-        return FileBus(env[folder])
+        # A folder is read from its beginning, unless it is asked for otherwise.
+        return FileBus(env[folder], starting_offsets=env.get("STARTING_OFFSETS", "earliest"))
     limits = {name: int(env[name]) for name in ("KAFKA_MIN_PARTITIONS", "KAFKA_MAX_OFFSETS") if name in env}
     return KafkaBus(
         env.get("KAFKA_BOOTSTRAP", BROKERS),
@@ -121,11 +122,12 @@ def _start(job: str, spark: SparkSession, env: Mapping[str, str], trigger: Mappi
     if trigger is None and "TRIGGER_INTERVAL" in env:
         trigger = jobs.every(env["TRIGGER_INTERVAL"])
 
+    table = CounterTable(spark, env["COUNTERS_PATH"]) if "COUNTERS_PATH" in env else None
     if job in COUNTERS:
-        spark.streams.addListener(RunningCounts(COUNTERS[job]))
+        spark.streams.addListener(RunningCounts(COUNTERS[job], table=table))
     unreadable = {"ingest": jobs.LANDING_COUNTERS, "rules": jobs.RULE_COUNTERS, "score": jobs.MODEL_COUNTERS}
     if job in unreadable:
-        spark.streams.addListener(RunningCounts(unreadable[job], every=1))
+        spark.streams.addListener(RunningCounts(unreadable[job], every=1, table=table))
     if job == "ingest":
         query = jobs.ingest(spark, env["LANDING_PATH"], source, out, checkpoint, topics, landing, trigger, area)
     elif job == "index":

@@ -297,6 +297,16 @@ def all_oracles() -> dict[str, str]:
         ),
         "sample_predictions": _after("features", select="SELECT true AS labelled, true AS sums_to_one FROM features LIMIT 20"),
         "stream_scored": "SELECT CAST(0 AS BIGINT) AS only_streamed, CAST(0 AS BIGINT) AS only_batch, CAST(0 AS BIGINT) AS silent",
+        "stream_start_position": _after(
+            "rule_alerts",
+            select="""SELECT * EXCLUDE (event_id), 'earliest' AS began_at FROM rule_alerts
+              UNION ALL SELECT * EXCLUDE (event_id), 'latest' FROM rule_alerts WHERE event_id % 2 = 1""",
+        ),
+        "publish_counts_kept": _after(
+            "alerts",
+            select=f"""SELECT 'publish' AS counter, CASE WHEN event_id % {CUT_OFF_EVERY} = 0 THEN 'unreadable' ELSE 'indexed' END AS entry,
+              count(*) AS total FROM alerts GROUP BY ALL""",
+        ),
         "archive_open_and_closed": _after("archive", select="SELECT * FROM archive"),
         "stream_side_by_side": _after(
             "judged",

@@ -38,11 +38,12 @@ from ..operators.rules import rule_alerts
 from ..operators.scoring import model_alerts, score
 from ..operators.telemetry import parse_telemetry
 from ..schemas import MODEL_VECTOR
-from ..session import scratch, use_utc
+from ..session import names_below, remove_path, scratch, use_utc
 from ..sources.archive import compact_archive, days_to_close, read_archive, read_history, rewrite_days, write_archive
 from ..sources.bus import FileBus
 from ..sources.snapshots import parse_snapshots
 from ..streaming import jobs
+from ..streaming.counters import CounterTable, RunningCounts
 from ..streaming.publish import ensure_index, publish_batch, read_index
 from ..streaming.together import Together
 from . import feeds
@@ -623,6 +624,51 @@ def _stream_side_by_side(spark, sf_dir):
     return both.withColumn("scored_agree", F.lit(sent == expected and sent > 0))
 
 
+@_query("stream_start_position")
+def _stream_start_position(spark, sf_dir):
+    """The alerts of a job that began at the latest record, when half of them were there, and of one that began at the
+    earliest, each started twice."""
+    folder, records = scratch(spark, "bus"), feeds.numbered_records(spark, sf_dir)
+    outs = {place: FileBus(scratch(spark, f"alerts-{place}")) for place in ("latest", "earliest")}
+    checkpoint = {place: scratch(spark, f"rules-{place}") for place in outs}
+    for half in range(2):
+        FileBus(folder).write(records.filter(F.col("event_id") % 2 == half).drop("event_id"))
+        for place, out in outs.items():
+            bus = FileBus(folder, starting_offsets=place)
+            jobs.alert_by_rules(spark, bus, out, checkpoint[place], trigger=jobs.ONCE).awaitTermination()
+    alerts = [
+        _alerts_on(spark, out, Topics().rule_alerts).drop("p_anom").withColumn("began_at", F.lit(place))
+        for place, out in outs.items()
+    ]
+    return reduce(DataFrame.unionByName, alerts)
+
+
+@_query("publish_counts_kept")
+def _publish_counts_kept(spark, sf_dir):
+    """The counts of a publishing job after several batches, a stop, a restart, and a batch that was repeated since the
+    job had ended before it could note that batch as done."""
+    bus = FileBus(scratch(spark, "alert-bus"), max_files=1)
+    path, checkpoint, kept = scratch(spark, "published"), scratch(spark, "publish-checkpoint"), scratch(spark, "counters")
+    records = feeds.alert_records(spark, sf_dir)
+    for half in range(2):
+        bus.write(records.filter(F.col("offset") % 2 == half))
+        _counted_publication(spark, bus, path, checkpoint, kept)
+    remove_path(spark, f"{checkpoint}/commits/{max(int(n) for n in names_below(spark, f'{checkpoint}/commits') if n.isdigit())}")
+    _counted_publication(spark, bus, path, checkpoint, kept)
+    return CounterTable(spark, kept).frame([jobs.PUBLISH_COUNTERS])
+
+
+def _counted_publication(spark, bus, path, checkpoint, kept):
+    counts = RunningCounts(jobs.PUBLISH_COUNTERS, table=CounterTable(spark, kept))
+    spark.streams.addListener(counts)
+    try:
+        query = jobs.publish(spark, bus, path, checkpoint, trigger=jobs.ONCE)
+        query.awaitTermination()
+        counts.wait_for(query)
+    finally:
+        spark.streams.removeListener(counts)
+
+
 @_query("stream_scored")
 def _stream_scored(spark, sf_dir):
     out = FileBus(scratch(spark, "model-alerts"))

@@ -55,6 +55,40 @@ def create_file(spark: SparkSession, path: str) -> None:
     files.create(place, True).close()
 
 
+def modified_at(spark: SparkSession, path: str) -> int:
+    """When a file was written, in milliseconds by the clock of its store."""
+    place, files = _place(spark, path)
+    return files.getFileStatus(place).getModificationTime()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, there whole or not at all."""
+    place, files = _place(spark, path)
+    draft, _ = _place(spark, f"{path}.{uuid.uuid4().hex}")
+    out = files.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not files.rename(draft, place):
+        # Some stores do not rename over a file that is there.
+        files.delete(place, False)
+        files.rename(draft, place)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    place, files = _place(spark, path)
+    source = files.open(place)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    place, files = _place(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     place, files = _place(spark, path)
     files.delete(place, True)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..schemas import BUS_RECORD, NAMED_BUS_RECORD
+from ..session import create_file, modified_at, path_exists
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,7 @@ class KafkaBus:
             options["minPartitions"] = str(self.min_partitions)
         return options
 
-    def read_stream(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
+    def read_stream(self, spark: SparkSession, topics: Sequence[str], checkpoint: str | None = None) -> DataFrame:
         reader = spark.readStream.format("kafka").options(**self._options(topics))
         if self.max_offsets:
             reader = reader.option("maxOffsetsPerTrigger", self.max_offsets)
@@ -74,20 +75,27 @@ class KafkaBus:
 
 @dataclass(frozen=True)
 class FileBus:
-    """``max_files`` bounds a micro-batch."""
+    """``max_files`` bounds a micro-batch. ``starting_offsets`` says, as on Kafka, where a stream begins that has not
+    run before: at the ``earliest`` record or at the ``latest``, which is to say with what arrives after its start."""
 
     folder: str
     max_files: int | None = None
+    starting_offsets: str = "earliest"
 
     def _folders(self, topics: Sequence[str]) -> str:
         return f"{self.folder}/writer=*/topic={{{','.join(topics)}}}"
 
-    def read_stream(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
-        """Only the folders of these topics are listed and counted."""
+    def read_stream(self, spark: SparkSession, topics: Sequence[str], checkpoint: str | None = None) -> DataFrame:
+        """Only the folders of these topics are listed and counted. ``checkpoint`` is that of the stream's writer."""
         reader = spark.readStream.schema(BUS_RECORD).option("basePath", self.folder)
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
-        return _named(reader.parquet(self._folders(topics)))
+        records = reader.parquet(self._folders(topics))
+        since = start_mark(spark, checkpoint, self.starting_offsets)
+        if since is not None:
+            # Files are of one time, so older ones are not opened.
+            records = records.filter(F.col("_metadata.file_modification_time") >= F.timestamp_millis(F.lit(since)))
+        return _named(records)
 
     def read(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
         reader = spark.read.schema(BUS_RECORD).option("basePath", self.folder)
@@ -114,6 +122,26 @@ class FileBus:
 Bus = KafkaBus | FileBus
 
 
+def start_mark(spark: SparkSession, checkpoint: str | None, starting_offsets: str) -> int | None:
+    """The time from which on a stream takes files, in milliseconds; None for all files.
+
+    The first start decides and leaves a mark beside the checkpoint; its time is that of the store, as is that of the
+    files. A stream that has run goes on as it began, whatever it is asked for now.
+    """
+    if starting_offsets not in ("earliest", "latest"):
+        raise ValueError(f"a folder bus starts at earliest or latest, not at {starting_offsets}")
+    if checkpoint is None:
+        if starting_offsets == "latest":
+            raise ValueError("to start at the latest record, a stream has to name its checkpoint")
+        return None
+    mark = f"{checkpoint.rstrip('/')}-started"
+    if not path_exists(spark, mark):
+        if starting_offsets == "earliest" or path_exists(spark, f"{checkpoint}/offsets"):
+            return None
+        create_file(spark, mark)
+    return modified_at(spark, mark)
+
+
 def _as_bytes(records: DataFrame) -> DataFrame:
     return records.withColumns({name: F.col(name).cast("binary") for name in ("key", "value")})
 

@@ -123,7 +123,7 @@ def alert_by_rules(
     trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """Alerts to their topic; records that cannot be read to the dead-letter topic, counted."""
-    telemetry = _counted(telemetry_or_broken(bus.read_stream(spark, [topics.telemetry])), RULE_COUNTERS)
+    telemetry = _counted(telemetry_or_broken(bus.read_stream(spark, [topics.telemetry], checkpoint)), RULE_COUNTERS)
     alerts = rule_alerts(telemetry, bounds, fence)
     records = to_bus_or_letters(alerts, ALERT.names, F.lit(topics.rule_alerts), topics, "spark_rules")
     return launch(out.write_stream(records, writer_name("alert_by_rules", checkpoint)), "alert_by_rules", checkpoint, trigger)
@@ -140,7 +140,7 @@ def alert_by_model(
     trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """As by rules: one pass for alerts and for what cannot be read."""
-    telemetry = _counted(telemetry_or_broken(bus.read_stream(spark, [topics.telemetry])), MODEL_COUNTERS)
+    telemetry = _counted(telemetry_or_broken(bus.read_stream(spark, [topics.telemetry], checkpoint)), MODEL_COUNTERS)
     alerts = model_alerts(score(model_features(telemetry), model), levels)
     records = to_bus_or_letters(alerts, ALERT.names, F.lit(topics.model_alerts), topics, "spark_ml")
     return launch(out.write_stream(records, writer_name("alert_by_model", checkpoint)), "alert_by_model", checkpoint, trigger)
@@ -149,7 +149,7 @@ def alert_by_model(
 def archive(
     spark: SparkSession, bus: Bus, path: str, checkpoint: str, topics: Topics = Topics(), trigger: Mapping | None = None
 ) -> StreamingQuery:
-    history = to_archive(parse_telemetry(bus.read_stream(spark, [topics.telemetry])))
+    history = to_archive(parse_telemetry(bus.read_stream(spark, [topics.telemetry], checkpoint)))
     return launch(archive_stream(history, path), "archive", checkpoint, trigger)
 
 
@@ -159,6 +159,6 @@ def publish(
     """Alerts of all detectors to the index table. A failed write fails the
     batch, which is then retried; no document is skipped."""
     ensure_index(spark, path)
-    documents = alert_documents(bus.read_stream(spark, index.topic_names()), index.prefix, PUBLISH_COUNTERS)
+    documents = alert_documents(bus.read_stream(spark, index.topic_names(), checkpoint), index.prefix, PUBLISH_COUNTERS)
     writer = documents.writeStream.foreachBatch(partial(publish_batch, path=path))
     return launch(writer, "publish", checkpoint, trigger)

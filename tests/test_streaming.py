@@ -17,7 +17,7 @@ from skyledger.session import shared_folder
 from skyledger.sources.archive import read_archive
 from skyledger.sources.bus import FileBus, KafkaBus
 from skyledger.streaming import jobs
-from skyledger.streaming.counters import RunningCounts
+from skyledger.streaming.counters import CounterTable, RunningCounts
 from skyledger.streaming.publish import read_index
 from skyledger.streaming.together import Together
 
@@ -217,6 +217,45 @@ def test_jobs_named_together(spark, tmp_path):
         run("together", spark, env | {"JOBS": "rules,unknown"}, trigger=jobs.ONCE)
 
 
+def test_a_folder_bus_is_read_from_where_the_first_start_said(spark, tmp_path):
+    folder, checkpoint = str(tmp_path / "bus"), str(tmp_path / "checkpoint")
+    latest, earliest = FileBus(folder, starting_offsets="latest"), FileBus(folder)
+    out = FileBus(str(tmp_path / "out"))
+    alerts = lambda: out.read(spark, ["flights.alerts"]).count()
+    send(spark, latest, *KINDS)
+    drain(jobs.alert_by_rules(spark, latest, out, checkpoint, trigger=jobs.ONCE))
+    assert alerts() == 0
+    # Asked for the earliest record now, it goes on as it began, and a lost checkpoint does not lose the mark.
+    send(spark, latest, *KINDS, first=10)
+    for bus in (earliest, latest):
+        drain(jobs.alert_by_rules(spark, bus, out, checkpoint, trigger=jobs.ONCE))
+        assert alerts() == 4
+    # One that began at the earliest record takes everything, whatever it is asked for later.
+    other = FileBus(str(tmp_path / "other"))
+    for bus in (earliest, latest):
+        drain(jobs.alert_by_rules(spark, bus, other, str(tmp_path / "c2"), trigger=jobs.ONCE))
+        assert other.read(spark, ["flights.alerts"]).count() == 8
+    with pytest.raises(ValueError, match="checkpoint"):
+        latest.read_stream(spark, ["flights.telemetry"])
+    with pytest.raises(ValueError, match="earliest or latest"):
+        FileBus(folder, starting_offsets="5").read_stream(spark, ["flights.telemetry"], checkpoint)
+
+
+def test_repeated_batches_count_once(spark, tmp_path):
+    table = CounterTable(spark, str(tmp_path / "counters"))
+    assert table.totals("a") == {}
+    for batch in (0, 1, 1, 2, 3, 3, 3):
+        table.put("a", "q", batch, {"n": 10 + batch, "m": 1})
+    assert table.totals("a") == {"n": 46, "m": 4}
+    # Another memory of the job, and another counter.
+    table.put("a", "r", 0, {"n": 5})
+    table.put("b", "q", 7, {"n": 1})
+    assert CounterTable(spark, str(tmp_path / "counters")).totals("a") == {"n": 51, "m": 4}
+    assert [tuple(r) for r in table.frame(["a", "b"]).collect()] == [("a", "m", 4), ("a", "n", 51), ("b", "n", 1)]
+    assert len(list((tmp_path / "counters" / "counter=a" / "query=q").glob("*.json"))) <= 3
+    assert RunningCounts("a", table=table).totals == {"n": 51, "m": 4}
+
+
 def test_jobs_from_landing_to_index(spark, tmp_path):
     """The whole way, each job started as the command line would."""
     landing = tmp_path / "landing"
