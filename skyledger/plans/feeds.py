@@ -91,7 +91,7 @@ def raw_aircraft(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     vector = [F.expr(STATE_SQL[i]) if i in STATE_SQL else F.lit(None).cast("string") for i in range(STATE_LENGTH)]
-    return _events(spark, sf_dir).select("event_id", "ts", F.array(*vector).alias("state"))
+    return expand_once(_events(spark, sf_dir), F.struct(F.array(*vector).alias("state")), keep=["event_id", "ts"])
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:

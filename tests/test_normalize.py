@@ -1,4 +1,5 @@
 import json
+import math
 from datetime import datetime
 
 import pytest
@@ -112,6 +113,11 @@ def test_text_functions_agree_with_python(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(strip(F.col("t")))
     assert [r[0] for r in df.collect()] == [None if t is None else t.strip() for t in texts]
     assert set(BLANKS) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
+    odd = ["1d", "2F", "3.f ", "0x1p3d", "1_0", "true", "d", "1e3D", "fd"]
+    df = spark.createDataFrame([(t,) for t in odd], "t string").select(number(F.col("t")))
+    assert [r[0] for r in df.collect()] == [None] * len(odd)
+    df = spark.createDataFrame([(t,) for t in ("inf", " -Infinity", "+INF ", "infin")], "t string").select(number(F.col("t")))
+    assert [r[0] for r in df.collect()] == [math.inf, -math.inf, math.inf, None]
     numbers = ["1", " 2.5 ", "1e3", "ground", "", None, "-0"]
     df = spark.createDataFrame([(t,) for t in numbers], "t string").select(number(F.col("t")))
     assert [r[0] for r in df.collect()] == [1.0, 2.5, 1000.0, None, None, None, 0.0]
