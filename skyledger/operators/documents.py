@@ -25,16 +25,17 @@ def alert_documents(
     """One document per alert, named after its place on the bus.
 
     A record without an offset is named after the file and row it was read
-    from. Records that are no JSON object are counted and left out. The text of
-    a record stays with its document, with the fields the table has no column for.
+    from. Records that are no JSON object are counted and left out. What a record
+    says stays with its document as a value of any shape, ``document``, with the fields
+    the table has no column for; ``unmapped`` reads them.
     Its ``version`` is the record's time on the bus, its ``fingerprint`` a hash of the text.
     """
     missing = {"record_id": "string", "record_day": "long", "timestamp": "timestamp"}
     records = records.withColumns(
-        {"document": F.col("value").cast("string")}
+        {"text": F.col("value").cast("string")}
         | {name: F.lit(None).cast(kind) for name, kind in missing.items() if name not in records.columns}
     )
-    parsed = parse_alerts(records, keep=["topic", "partition", "offset", "document", *missing])
+    parsed = parse_alerts(records, keep=["topic", "partition", "offset", "text", *missing])
     readable = F.col("readable")
     if counters is not None:
         parsed = parsed.observe(
@@ -50,7 +51,9 @@ def alert_documents(
             {
                 "doc_id": F.when(placed, F.concat_ws("-", "topic", "partition", "offset")).otherwise(by_row),
                 "version": F.col("timestamp"),
-                "fingerprint": F.xxhash64("document"),
+                # An object that has a key twice is no such value; its text is.
+                "document": F.coalesce(F.try_parse_json("text"), F.col("text").cast("variant")),
+                "fingerprint": F.xxhash64("text"),
                 "location": F.when(located, F.struct("lat", "lon")),
                 "index": index_name(F.col("topic"), prefix),
                 "offset_block": F.when(placed, F.expr(f"offset div {BLOCK}")).otherwise(-F.col("record_day")),
@@ -58,3 +61,9 @@ def alert_documents(
         )
         .select(*[F.col(f"`{name}`") for name in ALERT_DOCUMENT.names])
     )
+
+
+def unmapped(path: str, kind: str) -> Column:
+    """A field of an indexed document that the table has no column for, by its JSON path; null where it is not there or
+    of another kind."""
+    return F.try_variant_get(F.col("document"), path, kind)

@@ -240,6 +240,17 @@ def _alerts_on(alerts: DataFrame, topic: str) -> DataFrame:
     )
 
 
+STATIONS = 7
+
+
+def observed_alert_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule alerts on the bus with a nested field that the contract does not know."""
+    alerts = rule_alerts(telemetry(spark, sf_dir), keep=["event_id"])
+    station = F.struct((F.col("event_id") % STATIONS).alias("id"), F.when(F.col("event_id") % 2 == 0, "north").alias("name"))
+    tags = F.array(F.lit("first"), F.concat(F.lit("tag"), F.col("event_id") % 3))
+    return _alerts_on(alerts.withColumn("observer", F.struct(station.alias("station"), tags.alias("tags"))), Topics().rule_alerts)
+
+
 # Of every so many alerts one is sent again with other values: as a correction, as one without a time, as one that
 # comes late.
 CORRECTED_EVERY, UNDATED_EVERY, LATE_EVERY = 3, 4, 5

@@ -16,6 +16,7 @@ from .feeds import (
     SOURCE_SQL,
     SPOILT_EVERY,
     STATE_SQL,
+    STATIONS,
     UNDATED_EVERY,
 )
 
@@ -336,6 +337,13 @@ def all_oracles() -> dict[str, str]:
               count(*) FILTER (event_id % {CUT_OFF_EVERY} = 0) AS unreadable FROM alerts""",
         ),
         "publish_replay": _after("documents", select="SELECT * FROM documents"),
+        "documents_unmapped": _after(
+            "rule_alerts",
+            select=f"""SELECT 'flights.alerts-' || (event_id % {ALERT_PARTITIONS}) || '-' || (event_id // {ALERT_PARTITIONS}) AS doc_id,
+              event_id % {STATIONS} AS station, CASE WHEN event_id % 2 = 0 THEN 'north' END AS station_name,
+              'tag' || (event_id % 3) AS second_tag, CAST(NULL AS INTEGER) AS of_another_kind, squawk
+              FROM rule_alerts WHERE event_id % {CUT_OFF_EVERY} <> 0""",
+        ),
         "publish_corrected": _after("corrected", select="SELECT * FROM corrected"),
         "stream_ingest": _after(
             "polled_routes",

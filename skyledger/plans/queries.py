@@ -20,7 +20,7 @@ from ..config import Area, Thresholds, Topics, Training
 from ..operators.alerts import parse_alerts
 from ..operators.area import within_box, within_disc
 from ..operators.bus_records import to_bus
-from ..operators.documents import alert_documents
+from ..operators.documents import alert_documents, unmapped
 from ..operators.features import class_balance, label_distribution, model_features, weak_labels, with_weights
 from ..operators.history import to_archive
 from ..operators.learning import (
@@ -438,6 +438,22 @@ def _publish_corrected(spark, sf_dir):
     return _flat_documents(read_index(spark, path))
 
 
+@_query("documents_unmapped")
+def _documents_unmapped(spark, sf_dir):
+    """Fields of published documents that the table has no column for."""
+    path = scratch(spark, "index")
+    ensure_index(spark, path)
+    publish_batch(alert_documents(feeds.observed_alert_records(spark, sf_dir)), 0, path)
+    return read_index(spark, path).select(
+        "doc_id",
+        unmapped("$.observer.station.id", "bigint").alias("station"),
+        unmapped("$.observer.station.name", "string").alias("station_name"),
+        unmapped("$.observer.tags[1]", "string").alias("second_tag"),
+        unmapped("$.observer.tags", "int").alias("of_another_kind"),
+        unmapped("$.raw.squawk", "string").alias("squawk"),
+    )
+
+
 # Streams, run over all their input once
 
 

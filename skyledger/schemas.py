@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampType,
+    VariantType,
 )
 
 
@@ -138,7 +139,7 @@ ALERT_DOCUMENT = StructType(
     [StructField("doc_id", TEXT), StructField("partition", IntegerType()), StructField("offset", LongType())]
     + ALERT.fields
     + [StructField("location", _struct(lat=NUMBER, lon=NUMBER))]
-    + [StructField("document", TEXT), StructField("version", TimestampType()), StructField("fingerprint", LongType())]
+    + [StructField("document", VariantType()), StructField("version", TimestampType()), StructField("fingerprint", LongType())]
     + [StructField("index", TEXT), StructField("offset_block", LongType())]
 )
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from samples import BASE
 
-from skyledger.operators.documents import BLOCK, alert_documents, index_name
+from skyledger.operators.documents import BLOCK, alert_documents, index_name, unmapped
 from skyledger.schemas import ALERT_DOCUMENT
 from skyledger.streaming import publish
 from skyledger.streaming.publish import ensure_index, publish_batch, read_index
@@ -116,7 +116,9 @@ def test_odd_fields_are_null_and_the_text_stays(spark):
     doc = alert_documents(records(spark, ("t", 0, 0), alert=odd)).first()
     assert (doc.lat, doc.severity, doc["@timestamp"], doc.location) == (None, None, None, None)
     assert (doc.alert_type, doc.raw.baro_altitude_ft) == ("ALT_OUTLIER", 70000.0)
-    assert json.loads(doc.document)["extra"] == [1]
+    assert doc.document.toPython()["extra"] == [1]
+    twice = records(spark, ("t", 0, 0)).withColumn("value", F.lit('{"icao24": "a", "x": 1, "x": 2}'))
+    assert alert_documents(twice).first().document.toPython() == '{"icao24": "a", "x": 1, "x": 2}'
     for text in ("5", "[]", "null", '{"a": '):
         assert alert_documents(records(spark, ("t", 0, 0)).withColumn("value", F.lit(text))).count() == 0
 
@@ -159,6 +161,17 @@ def test_the_newest_version_stays(spark, path):
     assert reasons(spark, path) == expected | {0: "d", 6: "d"}
 
 
+def test_unmapped_fields_are_read_from_the_table(spark, path):
+    for offset, extra in enumerate([{"a": {"b": [1, {"c": "x"}]}}, {"a": 7}, {"a": None}, {}]):
+        publish_batch(alert_documents(records(spark, ("t.a", 0, offset), alert=ALERT | extra)), offset, path)
+    found = read_index(spark, path).select("offset", unmapped("$.a.b[1].c", "string").alias("c"), unmapped("$.a", "int").alias("a"))
+    assert sorted(tuple(r) for r in found.collect()) == [(0, "x", None), (1, None, 7), (2, None, None), (3, None, None)]
+    # A correction replaces them with the rest.
+    corrected = records(spark, ("t.a", 0, 1), alert=ALERT | {"a": 8}).withColumn("timestamp", F.lit("2024-03-01").cast("timestamp"))
+    publish_batch(alert_documents(corrected), 9, path)
+    assert read_index(spark, path).filter("offset = 1").select(unmapped("$.a", "int")).first()[0] == 8
+
+
 def test_other_folders_are_left_alone(spark, path, tmp_path):
     publish_batch(at(spark, *[(b * BLOCK, "a", None) for b in range(3)]), 0, path)
     files = lambda b: {f.name for f in (tmp_path / "index" / "index=flights-a" / f"offset_block={b}").glob("*.parquet")}
