@@ -103,7 +103,7 @@ def document_pieces(docs: DataFrame, path: str | None = None, capacity: int = CA
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), *((n, pa.int64()) for n in ("start", "length", "ids_crc32")), ("task", pa.int32()), ("rank", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = PieceEncoder(path, cached), TaskContext.get().partitionId()
+        encoder, task = PieceEncoder.of_worker(path, cached), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in text_slices(batches):
             ids, bounds = encoder.encode(batch.column("text"))
@@ -132,7 +132,7 @@ def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, c
     Reads ``doc_id`` and ``text``; other columns are ignored. Every row is a
     document: a null or empty text is the end id alone, a row that occurs twice
     is packed twice, a null id stays null. No rows give no rows. ``cached`` is
-    how many text pieces a task remembers, which trades memory for time.
+    how many text pieces a worker remembers, which trades memory for time.
     """
     spark = docs.sparkSession
     folder = scratch(spark, "pieces")

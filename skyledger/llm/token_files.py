@@ -69,7 +69,7 @@ def fit_dictionary(docs: DataFrame, path: str, size: int = DICTIONARY_BYTES) ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in text_slices(batches):
-            encoder = encoder or PieceEncoder(path)
+            encoder = encoder or PieceEncoder.of_worker(path)
             ids, bounds = encoder.encode(batch.column("text"))
             kind = id_type(encoder.vocabulary_size)
             raw = [ids[a : min(b, a + SAMPLE_BYTES // kind.itemsize)].astype(kind).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -112,7 +112,7 @@ def write_store(docs: DataFrame, folder: str, path: str | None = None) -> None:
     )
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, compressor = PieceEncoder(path), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(shipped.value))
+        encoder, compressor = PieceEncoder.of_worker(path), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(shipped.value))
         kind = id_type(encoder.vocabulary_size)
         for batch in text_slices(batches):
             ids, at = encoder.encode(batch.column("text"))

@@ -2,8 +2,9 @@
 
 A byte-level BPE never merges across a space that stands before a visible
 character, so a text is encoded as its pieces between such spaces. Distinct
-pieces are few: each is given to the tokenizer once per task and looked up
-afterwards.
+pieces are few: each is given to the tokenizer once per worker and looked up
+afterwards. A text that holds the string of a special token, which the tokenizer
+makes that token, is encoded whole.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .batches import ragged
+from .batches import kept_by_worker, ragged
 
 END_ID = 0
 _SAFE_CUT = re.compile(r"(?= [^\W_])")
@@ -42,10 +43,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self._recent: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._opens = np.zeros(self.vocabulary_size, bool)
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         for token, i in self._tokenizer.get_vocab().items():
             self._opens[i] = token.startswith(_SPACE)
 
@@ -53,6 +54,14 @@ class PieceEncoder:
     def vocabulary_size(self) -> int:
         return self._tokenizer.get_vocab_size(with_added_tokens=True)
 
+    @classmethod
+    def of_worker(cls, path: str, cached: int = MOST_CACHED) -> PieceEncoder:
+        """The one of this Python worker, whose cache is warm from the tasks before."""
+        return kept_by_worker(f"piece encoder {path} {cached}", lambda: cls(path, cached))
+
+    def _is_special(self, piece: str) -> bool:
+        return any(s in piece for s in self._special)
+
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, "<u4") for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -62,7 +71,9 @@ class PieceEncoder:
         found = [recent.get(p) or older.get(p) for p in pieces]
         missing = [i for i, ids in enumerate(found) if ids is None]
         # One call for many pieces: where the next one starts is told by its space.
-        plain = [i for i in missing if " " not in pieces[i][1:] and pieces[i][:1] == " " and len(pieces[i]) > 1]
+        plain = [
+            i for i in missing if " " not in pieces[i][1:] and pieces[i][:1] == " " and len(pieces[i]) > 1 and not self._is_special(pieces[i])
+        ]
         for k in range(0, len(plain), _JOINED):
             some = plain[k : k + _JOINED]
             flat = self._encoded(["".join([pieces[i] for i in some])])[0]
@@ -102,10 +113,13 @@ class PieceEncoder:
         position = np.zeros(int(used[-1]) + 1, np.int64)
         position[used] = np.arange(len(used))
         keys = position[keys]
-        odd = np.flatnonzero(np.add.reduceat(cannot_cut[keys].astype(np.int64), bounds[:-1]) > 0)
+        whole = np.zeros(len(texts), bool)
+        for special in self._special:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        odd = np.flatnonzero(whole | (np.add.reduceat(cannot_cut[keys].astype(np.int64), bounds[:-1]) > 0))
         if len(odd):
             # White space beside white space: cut these texts only where a letter or digit follows.
-            texts_cut = [[p for p in _SAFE_CUT.split(texts[int(i)].as_py()) if p] for i in odd]
+            texts_cut = [[t] if whole[i] else [p for p in _SAFE_CUT.split(t) if p] for i in odd for t in [texts[int(i)].as_py()]]
             own = {p: len(pieces) + n for n, p in enumerate(dict.fromkeys(p for ps in texts_cut for p in ps))}
             pieces.extend(own)
             parts = np.split(keys, bounds[1:-1])

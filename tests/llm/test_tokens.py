@@ -7,6 +7,7 @@ import pytest
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from skyledger.llm import token_files
 from skyledger.llm.batches import text_slices
@@ -21,11 +22,27 @@ def encoder():
     return PieceEncoder(vocabulary_path())
 
 
+PLAIN = Tokenizer.from_file(vocabulary_path())
+
+
 def plain(encoder, text):
-    return [*encoder._tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    """By the library as it comes, not by the encoder's own tokenizer."""
+    return [*PLAIN.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+TEXTS = st.text(alphabet="aé1 .\n\t |<'s#日", max_size=20)
+SPECIAL = st.lists(st.sampled_from(["<|endoftext|>", " ", "a", "  ", "\n", "<|endof", " b"]), max_size=6).map("".join)
+
+
+def test_special_tokens_are_what_the_library_makes_of_them():
+    text = "a <|endoftext|> b"
+    assert plain(None, text) == [64, 220, 50256, 275, 0]
+    ids, bounds = PieceEncoder(vocabulary_path()).encode(pa.array([text, " a b", " <|endoftext|>", " c", " <|endoftext|>"]))
+    parts = np.split(ids, bounds[1:-1])
+    assert parts[0].tolist() == plain(None, text) and parts[4].tolist() == plain(None, " <|endoftext|>")
 
 
-@given(st.lists(st.text(alphabet="aé1 .\n\t |<'s#日", max_size=20) | st.none(), min_size=1, max_size=6))
+@given(st.lists(TEXTS | SPECIAL | st.none(), min_size=1, max_size=6))
 @settings(max_examples=150, deadline=None)
 def test_pieces_give_the_ids_of_the_whole_text(texts):
     encoder = ENCODER.setdefault(0, None) or ENCODER.setdefault(1, PieceEncoder(vocabulary_path()))
