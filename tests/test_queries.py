@@ -1,4 +1,4 @@
-"""Every registered query against its oracle, on the whole smallest tables."""
+"""Every registered query against its oracle, on whole tables of two sizes."""
 
 import pytest
 from comparing import FOLDER, differences
@@ -21,8 +21,10 @@ ALERTS = {
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_query_equals_its_oracle(spark, name):
-    assert differences(queries()[name](spark, SMALLEST), ORACLES[name], SMALLEST) is None
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_query_equals_its_oracle(spark, name, size):
+    folder = str(FOLDER / size)
+    assert differences(queries()[name](spark, folder), ORACLES[name], folder) is None
 
 
 def test_every_query_has_an_oracle():
