@@ -101,6 +101,14 @@ def for_tasks(spark: SparkSession, thing: object) -> Callable[[], object]:
     return lambda: pickle.loads(box.value)
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """A column name like this one that a table does not have; names that differ in case only are one name to Spark."""
+    names = {t.lower() for t in taken}
+    while name.lower() in names:
+        name = f"_{name}"
+    return name
+
+
 def kept_by_worker(name: str, make: Callable[[], object]) -> object:
     """What this Python worker made under the name, in this task or in one before. A function comes anew with each task
     and so do its globals; the worker's table of modules stays. Keep only what has a bound of its own."""

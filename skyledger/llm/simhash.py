@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from .batches import in_rows, text_slices
+from .batches import in_rows, text_slices, unused
 
 BITS = 64
 SHINGLE = 3
@@ -234,11 +234,12 @@ def deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     per_id = named.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("component_id"))
     alone = F.col("doc_id").isNotNull() & (F.col("n") == 1)
     goes = per_id.filter(alone & (F.col("doc_id") != F.col("component_id"))).select("doc_id")
-    shared = per_id.filter(~alone).select(F.col("doc_id").alias("shared_id"), F.lit(True).alias("shared"))
+    shared_id, is_shared = unused("shared_id", docs.columns), unused("shared", docs.columns)
+    shared = per_id.filter(~alone).select(F.col("doc_id").alias(shared_id), F.lit(True).alias(is_shared))
     kept = docs.join(goes, docs.doc_id.cast("long") == goes.doc_id, "left_anti")
-    marked = kept.join(F.broadcast(shared) if per_id.filter(~alone).limit(1000).count() < 1000 else shared, kept.doc_id.cast("long").eqNullSafe(F.col("shared_id")), "left")
-    single = marked.filter(F.col("shared").isNull()).select(*(kept[c] for c in docs.columns))
-    several = marked.filter(F.col("shared")).select(*(kept[c] for c in docs.columns))
+    marked = kept.join(F.broadcast(shared) if per_id.filter(~alone).limit(1000).count() < 1000 else shared, kept.doc_id.cast("long").eqNullSafe(F.col(shared_id)), "left")
+    single = marked.filter(F.col(is_shared).isNull()).select(*(kept[c] for c in docs.columns))
+    several = marked.filter(F.col(is_shared)).select(*(kept[c] for c in docs.columns))
     return single.unionByName(_one_of_each(several, stays, shingle))
 
 
@@ -251,8 +252,9 @@ def _one_of_each(docs: DataFrame, stays: DataFrame, shingle: int) -> DataFrame:
         for batch in text_slices(batches):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             fps = np.fromiter((text_fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps)], [*names, "_fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps)], [*names, fp])
 
-    with_fp = docs.mapInArrow(work, kinds + ", _fp long").dropDuplicates(["doc_id", "_fp"])
-    same = with_fp.doc_id.cast("long").eqNullSafe(stays.doc_id) & (with_fp["_fp"] == stays.fp)
+    fp = unused("_fp", names)
+    with_fp = docs.mapInArrow(work, f"{kinds}, {fp} long").dropDuplicates(["doc_id", fp])
+    same = with_fp.doc_id.cast("long").eqNullSafe(stays.doc_id) & (with_fp[fp] == stays.fp)
     return with_fp.join(stays, same, "left_semi").select(*names)
