@@ -2,23 +2,24 @@
 
 Texts are words, lower-cased, of letters and digits only; in scripts without
 spaces each letter is a word. An item of L words is in a document if some run of
-the document's words is within ``allowed(L)`` edits of it. Short items are
-looked for by a hash of all their words, others in three steps:
-
-1. A run that close holds most word pairs of the item. Windows with too few
-   pairs of any item cannot be near one and are left out; this loses nothing.
-2. Every other window of an item's size is walked at random as its words say
-   (CGK embedding: the same walks for items and windows turn few edits into few
+the document's words is within ``allowed(L)`` edits of it. Items of fewer than
+``min_words`` words are looked for by a hash of all their words, others in four steps:
+
+1. An item is cut into m parts of at most ``part_words`` words. Of a run within
+   k edits of the item, some part is within k/m edits; walks over long runs part
+   too often, those over parts do not.
+2. A run that close to a part holds most of its word pairs. Windows with too few
+   pairs of any part cannot be near one and are left out; this loses nothing.
+3. Every other window of a part's size is walked at random as its words say
+   (CGK embedding: the same walks for parts and windows turn few edits into few
    differing places). Words seen at a few sampled places of the walk are hashed;
-   windows and items of equal hash in any of the repeated walks are candidates.
-3. The edit distance of each candidate to the best run around it is computed
-   exactly.
-
-Step 2 finds a near item with high probability only, and walks part the more
-often the longer an item is. So its recall at the largest number of edits is
-tried out for each length of an item. From the first length at which
-``repetitions`` walks find less than ``recall`` of the trials, candidates are all
-items of which a window holds enough word pairs, which loses nothing.
+   windows and parts of equal hash in any of the repeated walks are candidates.
+4. The edit distance of a candidate to its part is computed exactly and, where
+   that is near, the one between the whole item and the best run around it.
+
+Step 3 finds a near part with high probability only. Its recall at the largest
+number of edits is tried out for each length of a part, and walks are added
+until they find ``recall`` of the trials.
 """
 
 from __future__ import annotations
@@ -39,35 +40,30 @@ from .batches import coded_words, for_tasks, in_rows, ragged, text_slices
 from .subwords import UNSPACED
 
 NOTHING = np.uint64(0)
-POSTINGS = 1 << 21
+CELLS = 1 << 21
 
 
 @dataclass(frozen=True)
 class LeakSettings:
     """``edit_share``: edits allowed per word of an item. Items of fewer than ``min_words`` words have to be there as they
-    are: with edits they are common language. ``block``: about so many items are looked for in one pass over the documents.
-    ``recall``: what walks have to find of ``trials`` items with the most edits, of each kind of edit."""
+    are: with edits they are common language. ``block`` and ``block_chars``: about so many items, of so many characters in
+    all, are looked for in one pass over the documents. ``repetitions``: walks to begin with. ``recall``: what walks have
+    to find of ``trials`` parts with the most edits, of each kind of edit."""
 
     edit_share: float = 0.2
     min_words: int = 8
+    part_words: int = 18
     places: int = 2
     repetitions: int = 32
     seed: int = 11
     block: int = 5000
+    block_chars: int = 2_000_000
     recall: float = 0.99
     trials: int = 200
 
     def allowed(self, words: int) -> int:
         return int(self.edit_share * words) if words >= self.min_words else 0
 
-    def needed_pairs(self, words: int) -> int:
-        """An edit breaks two word pairs at most; at least these are left."""
-        return max(1, words - 1 - 2 * self.allowed(words))
-
-    def reach(self, words: int) -> int:
-        """The longest run that can be near an item."""
-        return words + self.allowed(words)
-
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A number per word, and the bounds of each text; words without letter or digit are left out."""
@@ -107,8 +103,9 @@ def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
 def walked(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Several random walks over each run of words: for each walk and run, a hash of the words at its sampled places.
 
-    At each step the word read says whether to go on to the next one; behind
-    the end of a run nothing is read. ``steps`` and ``places`` have a row per walk.
+    At each step the word read says whether to go on to the next one. A walk that
+    has come to the end of its run before the last of its places gives 0.
+    ``steps`` and ``places`` have a row per walk.
     """
     at = np.repeat(starts[None, :], len(steps), axis=0)
     seen = np.zeros(at.shape, np.uint64)
@@ -120,6 +117,8 @@ def walked(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: np.nd
             mixed = (seen[sampled] ^ here[sampled]) * np.uint64(0x9E3779B97F4A7C15)
             seen[sampled] = mixed ^ (mixed >> np.uint64(32))
         at += (here * steps[:, k, None] >> np.uint64(63)).view(np.int64)
+        ended = sampled & (places.max(axis=1) == k)
+        seen[ended] *= here[ended] != NOTHING
     return seen
 
 
@@ -136,9 +135,9 @@ def edits_to_best_run(items: np.ndarray, regions: np.ndarray) -> np.ndarray:
     return above.min(axis=1)
 
 
-def walk_recall(n: int, steps: np.ndarray, places: np.ndarray, s: LeakSettings) -> float:
-    """The share of items of ``n`` distinct words that these walks find with all edits allowed, for the worst kind of edit."""
-    random, edits, rows = np.random.default_rng([s.seed, n, 1]), s.allowed(n), np.arange(s.trials) * n
+def walk_recall(n: int, edits: int, steps: np.ndarray, places: np.ndarray, s: LeakSettings) -> float:
+    """The share of parts of ``n`` distinct words that these walks find with all edits allowed, for the worst kind of edit."""
+    random, rows = np.random.default_rng([s.seed, n, 1]), np.arange(s.trials) * n
     items = random.integers(1, 1 << 63, (s.trials, n), dtype=np.uint64)
     fresh = random.integers(1, 1 << 63, (s.trials, n), dtype=np.uint64)
     chosen = np.argsort(random.random((s.trials, n)), axis=1) < edits
@@ -151,27 +150,58 @@ def walk_recall(n: int, steps: np.ndarray, places: np.ndarray, s: LeakSettings)
         np.take_along_axis(np.concatenate([items, fresh], axis=1), grown, axis=1),
     )
     own = walked(items.ravel(), rows, rows + n, steps, places)
-    return min(float((walked(w.ravel(), rows, rows + n, steps, places) == own).any(axis=0).mean()) for w in windows)
-
-
-class ItemPairs:
-    """The word pairs of items of one length, and which items hold each."""
+    seen = (walked(w.ravel(), rows, rows + n, steps, places) for w in windows)
+    return min(float(((w == own) & (own != 0)).any(axis=0).mean()) for w in seen)
+
+
+def sampled_walks(n: int, edits: int, s: LeakSettings) -> tuple[np.ndarray, np.ndarray]:
+    """The steps and sampled places of as many walks as find ``recall`` of the trials, ``repetitions`` doubled a few times."""
+    walks = s.repetitions
+    while True:
+        random = np.random.default_rng([s.seed, n])
+        # About two steps a word: sooner than the end, most walks are still inside their part.
+        length = max(3 * n // 2, s.places)
+        steps = random.integers(1, 1 << 63, (walks, length), dtype=np.uint64) | np.uint64(1)
+        places = np.stack([np.sort(random.choice(length, s.places, replace=False)) for _ in steps])
+        if walks >= 32 * s.repetitions or walk_recall(n, edits, steps, places, s) >= s.recall:
+            return steps, places
+        walks *= 2
+
+
+class Parts:
+    """The parts of one length: their words, of which item, from which word on; and the hashes of the walks over them."""
+
+    def __init__(self, words: np.ndarray, item: np.ndarray, offset: np.ndarray, edits: int, settings: LeakSettings):
+        self.words, self.item, self.offset, self.edits = words, item, offset, edits
+        count, n = words.shape
+        # An edit breaks two word pairs at most; the longest run that near has ``edits`` words more.
+        self.needed, self.reach = max(1, n - 1 - 2 * edits), n + edits
+        self.steps, self.places = sampled_walks(n, edits, settings)
+        keys = walked(words.ravel(), np.arange(count) * n, np.arange(count) * n + n, self.steps, self.places)
+        self.order = np.argsort(keys, axis=1, kind="stable").astype(np.int32)
+        self.keys = np.take_along_axis(keys, self.order, axis=1)
+
+    def candidates(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows and parts whose walks hash alike at least once."""
+        count, n = self.words.shape
+        pairs = [np.zeros(0, np.int64)]
+        all_seen = walked(words, starts, np.minimum(starts + n, ends), self.steps, self.places)
+        for seen, known, part in zip(all_seen, self.keys, self.order, strict=True):
+            low, high = np.searchsorted(known, seen, side="left"), np.searchsorted(known, seen, side="right")
+            found = np.where(seen == 0, 0, high - low)
+            pairs.append(np.unique(np.repeat(np.arange(len(starts)), found) * count + part[ragged(low, found)]))
+        return np.divmod(np.unique(np.concatenate(pairs)), count)
 
-    def __init__(self, items: np.ndarray):
-        width = items.shape[1] - 1
-        keys = np.concatenate([pair_slots(r, 64) for r in items])
-        held = np.unique(np.stack([keys, np.repeat(np.arange(len(items), dtype=np.uint64), width)]), axis=1)
-        self.keys, first = np.unique(held[0], return_index=True)
-        self.items, self.bounds = held[1].astype(np.int64), np.append(first, held.shape[1])
 
-    def holding(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where in ``items`` the items that hold each of these pairs start, and how many they are."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.bounds[at], np.where(self.keys[at] == keys, self.bounds[at + 1] - self.bounds[at], 0)
+def regions(words: np.ndarray, starts: np.ndarray, rows: np.ndarray, bounds: np.ndarray, n: int, edits: int) -> np.ndarray:
+    """The words from ``edits`` before each start to where a run of ``n`` words with as many edits can end; none of other texts."""
+    at = starts[:, None] + np.arange(-edits, n + 2 * edits)
+    inside = (at >= bounds[rows][:, None]) & (at < bounds[rows + 1][:, None])
+    return np.where(inside, words[np.clip(at, 0, len(words) - 1)], NOTHING)
 
 
 class LeakFinder:
-    """Looks for a bounded number of items; holds their words and the hashes of their walks, or their pairs."""
+    """Looks for a bounded number of items; holds their words and the hashes of the walks over their parts."""
 
     def __init__(self, items: list[tuple[int, str]], settings: LeakSettings = LeakSettings()):
         self.settings = s = settings
@@ -186,36 +216,32 @@ class LeakFinder:
             hashes = np.concatenate([run_hashes(words[bounds[k] : bounds[k + 1]], n) for k in ks])
             order = np.argsort(hashes, kind="stable")
             self.short[n] = (hashes[order], np.array([items[k][0] for k in ks], np.int64)[order])
-        self.by_length = {n: (np.array([items[k][0] for k in ks], np.int64), np.stack([words[bounds[k] : bounds[k + 1]] for k in ks])) for n, ks in sorted(by_length.items())}
-        pairs = [pair_slots(m[r], 24) for _, m in self.by_length.values() for r in range(len(m))]
-        self.bits = max(16, int(np.ceil(np.log2(64 * (sum(map(len, pairs)) + 1)))))
-        self.bits = min(self.bits, 25)
-        # For each pair, a bit for every length of an item that holds it (lengths beyond 64 share bits).
-        self.pairs = np.zeros(1 << self.bits, np.uint64)
-        self.class_of = {n: np.uint64(k % 64) for k, n in enumerate(self.by_length)}
-        for n, (_, m) in self.by_length.items():
-            for r in m:
-                self.pairs[pair_slots(r, self.bits)] |= np.uint64(1) << self.class_of[n]
-        self.walks, self.item_pairs = {}, {}
-        for n, (_, m) in self.by_length.items():
-            if self.item_pairs:  # longer items part oftener
-                self.item_pairs[n] = ItemPairs(m)
-                continue
-            random = np.random.default_rng([s.seed, n])
-            flat, starts = m.ravel(), np.arange(len(m)) * n
-            # About two steps a word: behind them a walk has left its item.
-            steps = random.integers(1, 1 << 63, (s.repetitions, 2 * n), dtype=np.uint64) | np.uint64(1)
-            places = np.stack([np.sort(random.choice(2 * n, min(s.places, n), replace=False)) for _ in steps])
-            if s.allowed(n) and walk_recall(n, steps, places, s) < s.recall:
-                self.item_pairs[n] = ItemPairs(m)
-                continue
-            keys = walked(flat, starts, starts + n, steps, places)
-            order = np.argsort(keys, axis=1, kind="stable")
-            self.walks[n] = (steps, places, np.take_along_axis(keys, order, axis=1), order)
+        self.ids, self.sizes = np.array([i for i, _ in items], np.int64), np.diff(bounds)
+        self.items, self.row_of = {}, np.zeros(len(items), np.int64)
+        cut: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        for n, ks in sorted(by_length.items()):
+            self.items[n] = np.stack([words[bounds[k] : bounds[k + 1]] for k in ks])
+            self.row_of[ks] = np.arange(len(ks))
+            m = -(-n // s.part_words)
+            cuts = [j * n // m for j in range(m + 1)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                cut[b - a].extend((k, a, s.allowed(n) // m) for k in ks)
+        self.parts: dict[int, Parts] = {}
+        for n, pieces in sorted(cut.items()):
+            item, offset, edits = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
+            self.parts[n] = Parts(words[(bounds[item] + offset)[:, None] + np.arange(n)], item, offset, int(edits.max()), s)
+        # For each pair, a bit for every length of a part that holds it (lengths beyond 16 share bits); 32 MB at most.
+        pairs = sum(p.words.size for p in self.parts.values())
+        self.bits = min(24, max(16, int(np.ceil(np.log2(64 * (pairs + 1))))))
+        self.pairs = np.zeros(1 << self.bits, np.uint16)
+        self.class_of = {n: np.uint16(k % 16) for k, n in enumerate(self.parts)}
+        for n, p in self.parts.items():
+            for r in p.words:
+                self.pairs[pair_slots(r, self.bits)] |= np.uint16(1) << self.class_of[n]
         # Lengths that are alike share the first look at the pairs.
         self.groups: list[list[int]] = []
-        for n in self.by_length:
-            if self.groups and s.reach(n) <= 1.25 * s.reach(self.groups[-1][0]):
+        for n, p in self.parts.items():
+            if self.groups and p.reach <= 1.25 * self.parts[self.groups[-1][0]].reach:
                 self.groups[-1].append(n)
             else:
                 self.groups.append([n])
@@ -227,7 +253,7 @@ class LeakFinder:
         nothing = np.zeros(0, np.int64)
         found: dict[tuple[int, int], int] = {}
         self._copies(words, bounds, found)
-        if len(words) >= s.min_words and self.by_length:
+        if len(words) > 1 and self.parts:
             self._near(words, bounds, found)
         if not found:
             return nothing, nothing, nothing
@@ -248,7 +274,6 @@ class LeakFinder:
 
     def _near(self, words: np.ndarray, bounds: np.ndarray, found: dict) -> None:
         """Other items, with the edits allowed."""
-        s = self.settings
         pairs = self.pairs[pair_slots(words, self.bits)]
         hit = pairs != 0
         inner = bounds[1:-1]
@@ -258,8 +283,9 @@ class LeakFinder:
         before = np.zeros(size + 1, np.int32)
         np.cumsum(hit, out=before[1:-1])
         before[-1] = before[-2]
+        places = [np.zeros((3, 0), np.int64)]
         for group in self.groups:
-            most, least = s.reach(group[-1]) - 1, min(s.needed_pairs(n) for n in group)
+            most, least = max(self.parts[n].reach for n in group) - 1, min(self.parts[n].needed for n in group)
             reached = before[np.minimum(np.arange(size) + most, size)] - before[:size]
             near = np.flatnonzero(reached >= least)
             if not len(near):
@@ -267,83 +293,56 @@ class LeakFinder:
             row = np.searchsorted(bounds, near, side="right") - 1
             end = bounds[row + 1]
             for n in group:
-                own = some[(classes >> self.class_of[n] & np.uint64(1)) == 1]
-                stop = np.minimum(near + s.reach(n) - 1, end)
-                held = np.searchsorted(own, stop) - np.searchsorted(own, near) >= s.needed_pairs(n)
-                if not held.any():
-                    continue
-                if n in self.item_pairs:
-                    self._count(words, n, near[held], stop[held], own, bounds, found)
-                else:
-                    self._verify(words, n, near[held], end[held], row[held], bounds, found)
-
-    def _candidates(self, words: np.ndarray, n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Pairs of window and item, as one number each, whose walks hash alike at least once."""
-        count, pairs = len(self.by_length[n][0]), []
-        steps, places, keys, order = self.walks[n]
-        all_seen = walked(words, starts, np.minimum(starts + n, ends), steps, places)
-        for seen, known, item in zip(all_seen, keys, order, strict=True):
-            low, high = np.searchsorted(known, seen, side="left"), np.searchsorted(known, seen, side="right")
-            window = np.repeat(np.arange(len(starts)), high - low)
-            pairs.append(window * count + item[ragged(low, high - low)])
-        return np.unique(np.concatenate(pairs))
-
-    def _verify(self, words: np.ndarray, n: int, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, bounds: np.ndarray, found: dict) -> None:
-        for block in range(0, len(starts), 1 << 12):
-            part = slice(block, block + (1 << 12))
-            window, item = np.divmod(self._candidates(words, n, starts[part], ends[part]), len(self.by_length[n][0]))
-            self._measure(words, n, starts[part][window], rows[part][window], item, bounds, found)
-
-    def _count(self, words: np.ndarray, n: int, starts: np.ndarray, stops: np.ndarray, own: np.ndarray, bounds: np.ndarray, found: dict) -> None:
-        """Measures around every window that holds enough pairs of one item. ``own`` is where pairs of this length may be."""
-        s, known = self.settings, self.item_pairs[n]
-        needed, reach, cell = s.needed_pairs(n), s.reach(n), 2 * s.allowed(n) + 1
-        inside = np.searchsorted(starts, own, side="right") > np.searchsorted(np.sort(stops - 1), own, side="right")
-        at = own[inside]
-        held, sizes = known.holding(pair_slots(words, 64)[at])
-        at, held, sizes = at[sizes > 0], held[sizes > 0], sizes[sizes > 0]
-        total, first = np.concatenate([[0], np.cumsum(sizes)]), 0
-        while first < len(at):
-            # A bounded part; the next one starts with all that can share a window with what follows.
-            last = max(int(np.searchsorted(total, total[first] + POSTINGS)), int(np.searchsorted(at, at[first] + 2 * reach)))
-            part = slice(first, last)
-            item, place = known.items[ragged(held[part], sizes[part])], np.repeat(at[part], sizes[part])
-            order = np.argsort(item, kind="stable")
-            item, place = item[order], place[order]
-            row = np.searchsorted(bounds, place, side="right") - 1
-            k = len(item) - needed + 1
-            if k > 0:
-                low, high = place[needed - 1 :] - reach + 2, place[:k]
-                enough = np.flatnonzero((item[:k] == item[needed - 1 :]) & (row[:k] == row[needed - 1 :]) & (low <= high))
-                # Runs that start in a cell are all inside the region around its middle.
-                low = np.maximum(low[enough], bounds[row[enough]]) // cell
-                count = high[enough] // cell - low + 1
-                which = np.repeat(enough, count)
-                chosen = np.unique(np.stack([row[which], item[which], ragged(low, count)]), axis=1)
-                self._measure(words, n, chosen[2] * cell + s.allowed(n), chosen[0], chosen[1], bounds, found)
-            first = int(np.searchsorted(at, at[last] - reach + 2)) if last < len(at) else last
-
-    def _measure(self, words: np.ndarray, n: int, starts: np.ndarray, rows: np.ndarray, chosen: np.ndarray, bounds: np.ndarray, found: dict) -> None:
-        """Keeps the edits between each of these items and the best run around a window, where they are allowed."""
-        ids, items = self.by_length[n]
-        allowed = self.settings.allowed(n)
-        span = np.arange(-allowed, n + 2 * allowed)
-        for k in range(0, len(starts), 2048):
-            part = slice(k, k + 2048)
-            row, item = rows[part], chosen[part]
-            at = starts[part][:, None] + span
-            inside = (at >= bounds[row][:, None]) & (at < bounds[row + 1][:, None])
-            regions = np.where(inside, words[np.clip(at, 0, len(words) - 1)], NOTHING)
-            edits = edits_to_best_run(items[item], regions)
-            for r, i, e in zip(row.tolist(), ids[item].tolist(), edits.tolist(), strict=True):
-                if e <= allowed and e < found.get((r, i), allowed + 1):
-                    found[r, i] = e
+                p = self.parts[n]
+                own = some[(classes >> self.class_of[n] & np.uint16(1)) == 1]
+                stop = np.minimum(near + p.reach - 1, end)
+                held = np.flatnonzero(np.searchsorted(own, stop) - np.searchsorted(own, near) >= p.needed)
+                for k in range(0, len(held), 1 << 12):
+                    block = held[k : k + (1 << 12)]
+                    places.append(self._near_parts(words, p, near[block], row[block], bounds))
+        self._measure(words, np.unique(np.concatenate(places, axis=1), axis=1), bounds, found)
+
+    def _near_parts(self, words: np.ndarray, p: Parts, starts: np.ndarray, rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Text, item and cell of every place where an item can begin of which a part is near one of these windows.
+
+        Runs that begin in a cell are all inside the region around its middle.
+        """
+        n = p.words.shape[1]
+        window, part = p.candidates(words, starts, bounds[rows + 1])
+        near = np.zeros(len(window), bool)
+        step = CELLS // (n + 3 * p.edits)
+        for k in range(0, len(window), step):
+            at = slice(k, k + step)
+            around = regions(words, starts[window[at]], rows[window[at]], bounds, n, p.edits)
+            near[at] = edits_to_best_run(p.words[part[at]], around) <= p.edits
+        window, part = window[near], part[near]
+        item, row = p.item[part], rows[window]
+        allowed = (self.settings.edit_share * self.sizes[item]).astype(np.int64)
+        middle, cell = starts[window] - p.offset[part], 2 * allowed + 1
+        low, high = np.maximum(middle - allowed, bounds[row]) // cell, (middle + allowed) // cell
+        count = np.where(middle + allowed >= bounds[row], high - low + 1, 0)
+        return np.unique(np.stack([np.repeat(row, count), np.repeat(item, count), ragged(low, count)]), axis=1)
+
+    def _measure(self, words: np.ndarray, places: np.ndarray, bounds: np.ndarray, found: dict) -> None:
+        """Keeps the edits between each of these items and the best run that begins in its cell, where they are allowed."""
+        rows, items, cells = places
+        for n in np.unique(self.sizes[items]).tolist():
+            own, allowed = np.flatnonzero(self.sizes[items] == n), self.settings.allowed(n)
+            step = max(1, CELLS // (n + 3 * allowed))
+            for k in range(0, len(own), step):
+                at = own[k : k + step]
+                around = regions(words, cells[at] * (2 * allowed + 1) + allowed, rows[at], bounds, n, allowed)
+                edits = edits_to_best_run(self.items[n][self.row_of[items[at]]], around)
+                for r, i, e in zip(rows[at].tolist(), self.ids[items[at]].tolist(), edits.tolist(), strict=True):
+                    if e <= allowed and e < found.get((r, i), allowed + 1):
+                        found[r, i] = e
 
 
 def item_blocks(benchmark: DataFrame, settings: LeakSettings) -> Iterator[LeakFinder]:
     """Finders for all items, a bounded number at a time. Repeated items count once; null ids and texts are left out."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).dropna().distinct()
-    blocks = max(1, -(-items.count() // settings.block))
+    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    blocks = max(1, -(-size.n // settings.block), -(-size.chars // settings.block_chars))
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         yield LeakFinder(sorted((r.item_id, r.text) for r in rows), settings)
