@@ -1,20 +1,24 @@
 """Secrets in whole texts: fixed patterns, and formats learnt from what these find.
 
-The values that the patterns find are labelled credentials. From a sample of
-each kind a prefix tree is made, whose states are merged where their outgoing
-shares do not differ by more than chance allows; what remains is a
-probabilistic automaton of the kind's format. One more is made of ordinary long
-tokens. Every other token of the texts that could be a credential is scored by
-how much likelier a credential automaton makes it than the ordinary one.
+The values that the patterns find in all documents are labelled credentials.
+From a sample of each kind a prefix tree is made, whose states are merged where
+their outgoing shares do not differ by more than chance allows; what remains is a
+probabilistic automaton of the kind's format. One more is made of ordinary
+tokens. Every other token of 8 or more characters is scored by how much likelier
+a credential automaton makes it than the ordinary one; nothing but the scores
+decides.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +35,10 @@ HEX = re.compile(r"[0-9a-f]+")
 BASE = (("assign", ASSIGN, 2, 8), ("access", ACCESS, 0, 16), ("hex", HEX, 0, 32))
 KINDS = tuple(kind for kind, *_ in BASE)
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-_DIGIT = re.compile(r"[0-9]")
-# A word that matches none of these is part of no base span's keyword or body and of no candidate.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.-]{8,}={0,2}")
+# A word that matches neither is part of no base span's keyword or body and of no candidate.
 _SUSPECT = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{32}"
-_LONG, _NUMBER = r"[A-Za-z0-9+/_.=-]{16,}", r"[0-9]"
+_RUN = r"[A-Za-z0-9+/_.-]{8,}"
 
 Span = tuple[str, int, int, int]  # kind, start, end, where the secret itself starts
 
@@ -48,49 +51,60 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def candidates(text: str, start: int = 0, end: int | None = None) -> Iterator[tuple[int, int]]:
+    """Runs of 8 or more characters that credentials are made of, without full stops around them."""
+    for m in CANDIDATE.finditer(text, start, len(text) if end is None else end):
+        a, b = m.start() + len(m[0]) - len(m[0].lstrip(".")), m.start() + len(m[0].rstrip("."))
+        if b - a >= 8:
+            yield a, b
+
+
 def other_candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
-    """Long runs with a digit that touch no base span."""
-    taken = sorted((a, b) for _, a, b, _ in base)
-    k = 0
-    for m in CANDIDATE.finditer(text):
-        while k < len(taken) and taken[k][1] <= m.start():
-            k += 1
-        if (k == len(taken) or taken[k][0] >= m.end()) and _DIGIT.search(m[0]):
-            yield m.span()
+    """Candidates before, between and behind the base spans."""
+    at = 0
+    for _, a, b, _ in base:
+        if a > at:
+            yield from candidates(text, at, a)
+        at = max(at, b)
+    yield from candidates(text, at)
 
 
 @dataclass(frozen=True)
 class GrammarSettings:
-    """``documents``: about so many are searched for values to learn from; ``values``: at most so many are learnt from.
+    """``values``: at most so many of each kind are learnt from, those of lowest hash in all documents, none of more than
+    ``longest`` characters. ``documents``: about so many are searched for ``ordinary`` tokens to learn from.
 
     ``margin`` is by how much, in nats a character, a credential must be likelier than an ordinary token.
     """
 
     documents: int = 20_000
-    per_document: int = 4
     values: int = 400
-    confidence: float = 0.05
+    longest: int = 200
+    ordinary: int = 4000
+    confidence: float = 0.005
     margin: float = 0.35
     quantile: float = 0.05
-    alphabet: int = 68
+    alphabet: int = 66
     smoothing: float = 1.0
 
 
 @dataclass
 class Automaton:
-    """States with counts of passages, ends, and steps by character."""
+    """States with counts of passages, ends, and steps by character; and how often each character, or the end, follows another."""
 
     passed: list[int] = field(default_factory=lambda: [0])
     ended: list[int] = field(default_factory=lambda: [0])
     steps: list[dict[str, int]] = field(default_factory=lambda: [{}])
     taken: list[dict[str, int]] = field(default_factory=lambda: [{}])
+    follows: dict[str, dict[str, int]] = field(default_factory=dict)
+    _totals: dict[str, int] = field(default_factory=dict)
 
     @classmethod
-    def prefix_tree(cls, words: list[str]) -> Automaton:
+    def prefix_tree(cls, words: dict[str, int]) -> Automaton:
         tree = cls()
-        for word in words:
+        for word, n in words.items():
             state = 0
-            tree.passed[0] += 1
+            tree.passed[0] += n
             for char in word:
                 after = tree.steps[state].get(char)
                 if after is None:
@@ -99,10 +113,10 @@ class Automaton:
                     tree.ended.append(0)
                     tree.steps.append({})
                     tree.taken.append({})
-                tree.taken[state][char] = tree.taken[state].get(char, 0) + 1
-                tree.passed[after] += 1
+                tree.taken[state][char] = tree.taken[state].get(char, 0) + n
+                tree.passed[after] += n
                 state = after
-            tree.ended[state] += 1
+            tree.ended[state] += n
         return tree
 
     def _differ(self, a: int, n: int, b: int, m: int, bound: float) -> bool:
@@ -138,9 +152,18 @@ class Automaton:
                     self.steps[p][char] = after
 
     @classmethod
-    def inferred(cls, words: list[str], confidence: float) -> Automaton:
-        """Merge each state of the prefix tree, from the root outwards, into the first kept state it is compatible with."""
-        machine = cls.prefix_tree(words)
+    def inferred(cls, words: Iterable[str], confidence: float, most: int | None = None, least: int = 1) -> Automaton:
+        """Merge each state of the prefix tree, from the root outwards, into the first kept state it is compatible with.
+
+        The tree is that of the first ``most`` distinct words seen ``least`` times; what follows a character is counted in all. A ``Counter``
+        says how often each word was seen.
+        """
+        words = Counter(words)
+        machine = cls.prefix_tree(dict(islice(((w, n) for w, n in words.items() if n >= least), most)))
+        for word, n in words.items():
+            for char, after in zip(["", *word], [*word, ""], strict=True):
+                told = machine.follows.setdefault(char, {})
+                told[after] = told.get(after, 0) + n
         bound = math.sqrt(0.5 * math.log(2 / confidence))
         kept = [0]
         frontier = [(0, char) for char in sorted(machine.steps[0])]
@@ -162,18 +185,31 @@ class Automaton:
 
     def compacted(self, kept: list[int]) -> Automaton:
         at = {k: i for i, k in enumerate(kept)}
-        return Automaton([self.passed[k] for k in kept], [self.ended[k] for k in kept], [{c: at[t] for c, t in self.steps[k].items()} for k in kept], [dict(self.taken[k]) for k in kept])
-
-    def log_likelihood(self, word: str, alphabet: int, smoothing: float) -> float:
-        """Smoothed, so that no word is impossible; off the automaton all characters are alike."""
-        state, total, uniform = 0, 0.0, 1 / (alphabet + 1)
-        for char in word:
-            if state is None:
-                total += math.log(uniform)
-                continue
-            total += math.log((self.taken[state].get(char, 0) + smoothing * uniform) / (self.passed[state] + smoothing))
-            state = self.steps[state].get(char)
-        return total + math.log(uniform if state is None else (self.ended[state] + smoothing * uniform) / (self.passed[state] + smoothing))
+        return Automaton([self.passed[k] for k in kept], [self.ended[k] for k in kept], [{c: at[t] for c, t in self.steps[k].items()} for k in kept], [dict(self.taken[k]) for k in kept], self.follows)
+
+    def log_likelihood(self, word: str, alphabet: int, smoothing: float, learnt: bool = False) -> float:
+        """Smoothed by what follows the character before, so that no word is impossible; off the automaton that alone counts.
+
+        Of a word that was ``learnt`` from once, what it said itself is left out.
+        """
+        state, total, before, uniform = 0, 0.0, "", smoothing / (alphabet + 1)
+        own = Counter(zip(["", *word], [*word, ""], strict=True)) if learnt else {}
+        first = Counter(["", *word]) if learnt else {}
+        for char in [*word, ""]:
+            told = self.follows.get(before, {}).get(char, 0) - own.get((before, char), 0)
+            share = (told + uniform) / (self._told(before) - first.get(before, 0) + smoothing)
+            if state is not None:
+                seen = self.taken[state].get(char, 0) if char else self.ended[state]
+                share = (seen + smoothing * share) / (self.passed[state] + smoothing)
+                state = self.steps[state].get(char)
+            total += math.log(share)
+            before = char
+        return total
+
+    def _told(self, char: str) -> int:
+        if not self._totals:
+            self._totals = {c: sum(told.values()) for c, told in self.follows.items()}
+        return self._totals.get(char, 0)
 
 
 @dataclass
@@ -183,6 +219,7 @@ class Formats:
     settings: GrammarSettings
     kinds: dict[str, tuple[Automaton, float]]
     ordinary: Automaton
+    once: frozenset[str] = frozenset()
     _judged: dict[str, str | None] = field(default_factory=dict)
 
     def kind_of(self, word: str) -> str | None:
@@ -190,7 +227,7 @@ class Formats:
         if word in self._judged:
             return self._judged[word]
         s = self.settings
-        usual = self.ordinary.log_likelihood(word, s.alphabet, s.smoothing) / len(word)
+        usual = self.ordinary.log_likelihood(word, s.alphabet, s.smoothing, word in self.once) / len(word)
         best = (s.margin, None)
         for kind, (machine, least) in self.kinds.items():
             value = machine.log_likelihood(word, s.alphabet, s.smoothing) / len(word)
@@ -209,53 +246,76 @@ class Formats:
         return base, sorted([*base, *added], key=lambda s: (s[1], order.index(s[0])))
 
 
-def infer(values: dict[str, list[str]], settings: GrammarSettings = GrammarSettings()) -> Formats:
-    """Automata from distinct values by kind; the key ``ordinary`` holds ordinary long tokens."""
-    chosen = {k: sorted(set(v), key=lambda w: hashlib.blake2b(w.encode()).digest())[: settings.values] for k, v in values.items()}
-    ordinary = Automaton.inferred(chosen.get("ordinary", []), settings.confidence)
+def infer(values: dict[str, Iterable[str]], settings: GrammarSettings = GrammarSettings()) -> Formats:
+    """Automata from values by kind, each distinct one once; the key ``ordinary`` holds ordinary tokens, as often as they were seen."""
+    chosen = {k: sorted(set(v), key=lambda w: hashlib.blake2b(w.encode()).digest()) for k, v in values.items()}
+    seen = Counter(values.get("ordinary", ()))
+    usual = Counter({w: seen[w] for w in chosen.get("ordinary", [])[: settings.ordinary]})
+    # What was seen once may be a credential, which the tree would know by heart.
+    ordinary = Automaton.inferred(usual, settings.confidence, settings.values, 2)
     kinds = {}
     for kind in KINDS:
-        if words := chosen.get(kind):
+        if words := chosen.get(kind, [])[: settings.values]:
             machine = Automaton.inferred(words, settings.confidence)
-            own = [machine.log_likelihood(w, settings.alphabet, settings.smoothing) / len(w) for w in words]
+            # How likely a credential is at least: by values the automaton has not learnt from.
+            half = Automaton.inferred(words[::2], settings.confidence)
+            own = [half.log_likelihood(w, settings.alphabet, settings.smoothing) / len(w) for w in words[1::2] or words]
             kinds[kind] = (machine, float(np.quantile(own, settings.quantile)))
-    return Formats(settings, kinds, ordinary)
+    return Formats(settings, kinds, ordinary, frozenset(w for w, n in usual.items() if n == 1))
 
 
-def suspect_rows(texts: pa.Array) -> np.ndarray:
-    """Which texts can hold any base span or candidate at all."""
+def suspect_rows(texts: pa.Array, formats: Formats | None = None) -> np.ndarray:
+    """Which texts can hold a base span or, with ``formats``, hold a candidate of one of them. Each distinct word is looked at once."""
     distinct, codes, bounds = coded_words(texts)
     if not len(distinct):
         return np.zeros(len(texts), bool)
-    long = pc.and_(pc.match_substring_regex(distinct, _LONG), pc.match_substring_regex(distinct, _NUMBER))
-    flagged = pc.or_(pc.match_substring_regex(distinct, _SUSPECT), long).to_numpy(zero_copy_only=False)[codes]
-    total = np.concatenate([[0], np.cumsum(flagged)])
+    flagged = pc.match_substring_regex(distinct, _SUSPECT).to_numpy(zero_copy_only=False).copy()
+    if formats and formats.kinds:
+        runs = pc.match_substring_regex(distinct, _RUN).to_numpy(zero_copy_only=False)
+        for k in np.flatnonzero(runs & ~flagged).tolist():
+            word = distinct[k].as_py()
+            flagged[k] = any(formats.kind_of(word[a:b]) for a, b in candidates(word))
+    total = np.concatenate([[0], np.cumsum(flagged[codes])])
     return total[bounds[1:]] > total[bounds[:-1]]
 
 
 def fit(docs: DataFrame, settings: GrammarSettings = GrammarSettings()) -> Formats:
-    """Infer formats from the values in a sample of documents, chosen by the hash of their ids."""
+    """Infer formats from the values in all documents, and from the ordinary tokens of a sample chosen by the hash of their ids."""
     n = max(1, docs.count())
+    order = lambda word: hashlib.blake2b(word.encode(), digest_size=8).digest()
+
+    most = {**dict.fromkeys(KINDS, settings.values), "ordinary": settings.ordinary}
+
+    def lowest(kind: str, values: Counter[str]) -> Counter[str]:
+        return Counter({w: values[w] for w in heapq.nsmallest(most[kind], values, key=order)})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Of each kind, no task holds or hands on more than the values of lowest hash.
+        found: dict[str, Counter[str]] = {kind: Counter() for kind in most}
         for batch in text_slices(batches):
-            texts, rows = batch.column("text"), set()
-            for i in np.flatnonzero(suspect_rows(texts)).tolist():
-                text = texts[i].as_py()
+            texts, sampled = batch.column("text"), batch.column("sampled").to_numpy(zero_copy_only=False)
+            for i in np.flatnonzero(suspect_rows(texts) | sampled).tolist():
+                text = texts[i].as_py() or ""
                 base = base_spans(text)
-                found = [(kind, text[s:b]) for kind, _, b, s in base] + [("ordinary", text[a:b]) for a, b in other_candidates(text, base)]
-                for kind in (*KINDS, "ordinary"):
-                    rows.update(sorted({f for f in found if f[0] == kind})[: settings.per_document])
-            kinds, values = zip(*sorted(rows), strict=True) if rows else ((), ())
-            yield pa.record_batch({"kind": pa.array(kinds, pa.string()), "value": pa.array(values, pa.string())})
-
-    chosen = docs.filter(hash_share(min(1.0, settings.documents / n), F.col("doc_id"))).select(F.col("text").cast("string").alias("text"))
-    found = chosen.mapInArrow(work, "kind string, value string").filter(F.length("value") <= 200).distinct()
-    # At most ``values`` of each kind, those with the lowest hash; Spark keeps no more in any task either.
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")))
-    by_kind: dict[str, list[str]] = {}
-    for r in ranked.filter(F.col("rank") <= settings.values).collect():
-        by_kind.setdefault(r.kind, []).append(r.value)
+                new = {kind: [text[s:b].strip(".") for k, _, b, s in base if k == kind] for kind in KINDS}
+                new["ordinary"] = [text[a:b] for a, b in other_candidates(text, base)] if sampled[i] else []
+                for kind, words in new.items():
+                    found[kind].update(w for w in words if 0 < len(w) <= settings.longest)
+                    if len(found[kind]) > 4 * most[kind]:
+                        found[kind] = lowest(kind, found[kind])
+        rows = [(kind, w, order(w), n) for kind, words in found.items() for w, n in lowest(kind, words).items()]
+        if rows:
+            yield pa.record_batch(dict(zip(("kind", "value", "hash", "n"), map(list, zip(*rows, strict=True)), strict=True)))
+
+    sampled = F.coalesce(hash_share(min(1.0, settings.documents / n), F.col("doc_id")), F.lit(False)).alias("sampled")
+    values = docs.select(F.col("text").cast("string").alias("text"), sampled).mapInArrow(work, "kind string, value string, hash binary, n long")
+    values = values.groupBy("kind", "value", "hash").agg(F.sum("n").alias("n"))
+    # Spark keeps no more than ``values`` of a kind in any task either.
+    ranked = values.withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy("hash", "value")))
+    by_kind: dict[str, Counter[str]] = {}
+    bound = F.when(F.col("kind") == "ordinary", settings.ordinary).otherwise(settings.values)
+    for r in ranked.filter(F.col("rank") <= max(most.values())).filter(F.col("rank") <= bound).collect():
+        by_kind.setdefault(r.kind, Counter())[r.value] = r.n
     return infer(by_kind, settings)
 
 
@@ -276,7 +336,7 @@ def find_secrets(docs: DataFrame, formats: Formats) -> DataFrame:
         for batch in text_slices(batches):
             texts, n = batch.column("text"), batch.num_rows
             counts, digests, lists = {k: [0] * n for k in KINDS}, [nothing] * n, [""] * n
-            for i in np.flatnonzero(suspect_rows(texts)).tolist():
+            for i in np.flatnonzero(suspect_rows(texts, own)).tolist():
                 base, spans = own.spans(texts[i].as_py())
                 for kind, *_ in base:
                     counts[kind][i] += 1
@@ -307,7 +367,7 @@ def redact_secrets(docs: DataFrame, formats: Formats, column: str = "text") -> D
         own = shipped()
         for batch in text_slices(batches, column):
             texts = batch.column(column)
-            changed = {i: redacted(text, own.spans(text)[1]) for i in np.flatnonzero(suspect_rows(texts)).tolist() for text in [texts[i].as_py()]}
+            changed = {i: redacted(text, own.spans(text)[1]) for i in np.flatnonzero(suspect_rows(texts, own)).tolist() for text in [texts[i].as_py()]}
             if changed:
                 mask = np.zeros(batch.num_rows, bool)
                 mask[list(changed)] = True
