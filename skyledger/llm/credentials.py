@@ -98,6 +98,7 @@ class Automaton:
     taken: list[dict[str, int]] = field(default_factory=lambda: [{}])
     follows: dict[str, dict[str, int]] = field(default_factory=dict)
     _totals: dict[str, int] = field(default_factory=dict)
+    _known: dict[tuple[float, float], dict] = field(default_factory=dict)
 
     @classmethod
     def prefix_tree(cls, words: dict[str, int]) -> Automaton:
@@ -187,25 +188,36 @@ class Automaton:
         at = {k: i for i, k in enumerate(kept)}
         return Automaton([self.passed[k] for k in kept], [self.ended[k] for k in kept], [{c: at[t] for c, t in self.steps[k].items()} for k in kept], [dict(self.taken[k]) for k in kept], self.follows)
 
-    def log_likelihood(self, word: str, alphabet: int, smoothing: float, learnt: bool = False) -> float:
+    def log_likelihood(self, word: str, alphabet: int, smoothing: float, learnt: bool = False, least: float = -math.inf) -> float:
         """Smoothed by what follows the character before, so that no word is impossible; off the automaton that alone counts.
 
-        Of a word that was ``learnt`` from once, what it said itself is left out.
+        Of a word that was ``learnt`` from once, what it said itself is left out. What falls below ``least`` is not added up further.
         """
-        state, total, before, uniform = 0, 0.0, "", smoothing / (alphabet + 1)
+        state, total, before = 0, 0.0, ""
         own = Counter(zip(["", *word], [*word, ""], strict=True)) if learnt else {}
         first = Counter(["", *word]) if learnt else {}
+        known = self._known.setdefault((alphabet, smoothing), {})
         for char in [*word, ""]:
-            told = self.follows.get(before, {}).get(char, 0) - own.get((before, char), 0)
-            share = (told + uniform) / (self._told(before) - first.get(before, 0) + smoothing)
-            if state is not None:
-                seen = self.taken[state].get(char, 0) if char else self.ended[state]
-                share = (seen + smoothing * share) / (self.passed[state] + smoothing)
-                state = self.steps[state].get(char)
-            total += math.log(share)
-            before = char
+            step = None if learnt else known.get((state, before, char))
+            if step is None:
+                step = self._step(state, before, char, alphabet, smoothing, own.get((before, char), 0), first.get(before, 0))
+                if not learnt and len(known) < 500_000:
+                    known[state, before, char] = step
+            total += step[0]
+            if total < least:
+                break
+            state, before = step[1], char
         return total
 
+    def _step(self, state: int | None, before: str, char: str, alphabet: int, smoothing: float, own: int, first: int) -> tuple[float, int | None]:
+        """The logarithm of a character's share, the empty one being the end, and the state it leads to."""
+        told = self.follows.get(before, {}).get(char, 0) - own
+        share = (told + smoothing / (alphabet + 1)) / (self._told(before) - first + smoothing)
+        if state is None:
+            return math.log(share), None
+        seen = self.taken[state].get(char, 0) if char else self.ended[state]
+        return math.log((seen + smoothing * share) / (self.passed[state] + smoothing)), self.steps[state].get(char)
+
     def _told(self, char: str) -> int:
         if not self._totals:
             self._totals = {c: sum(told.values()) for c, told in self.follows.items()}
@@ -227,15 +239,17 @@ class Formats:
         if word in self._judged:
             return self._judged[word]
         s = self.settings
-        usual = self.ordinary.log_likelihood(word, s.alphabet, s.smoothing, word in self.once) / len(word)
-        best = (s.margin, None)
+        best, usual = (s.margin, None), None
         for kind, (machine, least) in self.kinds.items():
-            value = machine.log_likelihood(word, s.alphabet, s.smoothing) / len(word)
+            value = machine.log_likelihood(word, s.alphabet, s.smoothing, least=least * len(word)) / len(word)
             if value >= least:
+                if usual is None:
+                    usual = self.ordinary.log_likelihood(word, s.alphabet, s.smoothing, word in self.once) / len(word)
                 best = max(best, (value - usual, kind), key=lambda b: b[0])
-        if len(self._judged) > 50_000:
+        if len(self._judged) > 200_000:
             self._judged.clear()
-        self._judged[word] = best[1]
+        if len(word) <= s.longest:
+            self._judged[word] = best[1]
         return best[1]
 
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
