@@ -2,6 +2,7 @@
 
 The layout of a record is told by the hash of its nested field paths. A layout
 has a declared mapping, which says where the turns are; there is no guessing.
+Paths that no mapping names, such as an id or a source, are no part of a layout.
 
 Training text: each turn is ``### Role: text</turn>`` and a line end. Texts and
 roles are escaped so that no control string of the template can be read out of
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import in_rows, key_runs
+from .batches import in_rows, key_runs, text_slices
 
 OPEN, SAYS, CLOSE = "### ", ": ", "</turn>\n"
 ASSISTANT = "assistant"
@@ -56,7 +57,8 @@ MAPPINGS = (
     Mapping(("messages[].role", "messages[].text"), turns=("messages", "role", "text")),
     Mapping(("conversations[].from", "conversations[].value"), turns=("conversations", "from", "value")),
     Mapping(("data.dialog[].speaker", "data.dialog[].utterance"), turns=("data.dialog", "speaker", "utterance")),
-    Mapping(("role", "text"), fields=()),
+    # A record that is a turn; its role is final.
+    Mapping(("role", "text"), role_names=()),
 )
 
 
@@ -66,8 +68,9 @@ def fingerprint(paths) -> str:
 
 
 BY_FINGERPRINT = {fingerprint(m.paths): m for m in MAPPINGS}
-#: Layouts that are rows of turns already.
-TURN_ROWS = fingerprint(("role", "text"))
+#: The layout of records that are one turn each.
+ONE_TURN = fingerprint(("role", "text"))
+_NAMED = {p for m in MAPPINGS for p in m.paths}
 
 
 def field_paths(value: object, prefix: str = "") -> set[str]:
@@ -79,18 +82,27 @@ def field_paths(value: object, prefix: str = "") -> set[str]:
     return {prefix}
 
 
+def layout(paths: set[str]) -> set[str]:
+    """Of these paths the ones that a mapping names, and what is below them."""
+    return {p for p in paths if p in _NAMED or any(p.startswith((f"{n}.", f"{n}[]")) for n in _NAMED)}
+
+
 def turns_of(record: str | None) -> tuple[str | None, list[tuple[str, str]] | None]:
-    """The fingerprint of a JSON record and its turns; None where it is no JSON object or its layout is not declared."""
+    """The fingerprint of a JSON record and its turns; None where it is no JSON object or its layout is not declared.
+
+    The fingerprint is that of the layout, and of all paths where that is not declared.
+    """
     try:
         found = json.loads(record or "")
     except ValueError:
         return None, None
     if not isinstance(found, dict):
         return None, None
-    name = fingerprint(field_paths(found))
+    paths = field_paths(found)
+    name = fingerprint(layout(paths))
     mapping = BY_FINGERPRINT.get(name)
     if mapping is None:
-        return name, None
+        return fingerprint(paths), None
     names = dict(mapping.role_names)
     text = lambda v: "" if v is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)
     if mapping.turns:
@@ -99,48 +111,58 @@ def turns_of(record: str | None) -> tuple[str | None, list[tuple[str, str]] | No
         for step in at.split("."):
             rows = rows[step]
         return name, [(names.get(text(r.get(role)), text(r.get(role))), text(r.get(said))) for r in rows]
-    if name == TURN_ROWS:
+    if name == ONE_TURN:
         return name, [(names.get(text(found["role"]), text(found["role"])), text(found["text"]))]
     parts = [(role, [text(found[f]) for f in fields]) for role, fields in mapping.fields]
     return name, [(role, "\n\n".join(t for t in said if t)) for role, said in parts]
 
 
-def canonical_turns(records: DataFrame, conv_id: str = "conv_id", record: str = "record") -> DataFrame:
+def canonical_turns(records: DataFrame, conv_id: str = "conv_id", record: str = "record", turn: str | None = None) -> DataFrame:
     """``conv_id, turn, role, text, fingerprint`` from JSON records of any declared layout.
 
+    Turns are counted within a record. Where records are parts of a
+    conversation, ``turn`` names the column with the place of each, and
+    a record of several turns has no mapping, as its turns would share a place.
+
     A record that is null, no JSON object, or of a layout without a mapping
-    gives one row with a null turn, so that nothing is lost unseen. A null text
-    is empty. Other columns are left out.
+    gives one row with null role and text, so that nothing is lost unseen. A null
+    role or text within a record is empty. Other columns are left out.
     """
     schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("fingerprint", pa.string())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, "record"):
             rows = []
-            for conv, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for conv, place, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 name, turns = turns_of(raw)
-                if turns is None:
-                    rows.append((conv, None, None, None, name))
+                if turns is None or (turn is not None and len(turns) != 1):
+                    rows.append((conv, place, None, None, name))
+                elif turn is not None:
+                    rows.append((conv, place, *turns[0], name))
                 else:
                     rows.extend((conv, k, role, said, name) for k, (role, said) in enumerate(turns))
             if rows:
                 yield in_rows(dict(zip(schema.names, map(list, zip(*rows, strict=True)), strict=True)), schema)
 
-    chosen = records.select(F.col(conv_id).cast("long"), F.col(record).cast("string"))
+    place = F.lit(None) if turn is None else F.col(turn)
+    chosen = records.select(F.col(conv_id).cast("long").alias("conv_id"), place.cast("long").alias("turn"), F.col(record).cast("string").alias("record"))
     return chosen.mapInArrow(work, "conv_id long, turn long, role string, text string, fingerprint string")
 
 
-def turn_rows(rows: DataFrame) -> DataFrame:
-    """Canonical turns from a table whose rows are turns, found by the fingerprint of its columns.
+def turn_records(rows: DataFrame) -> DataFrame:
+    """``conv_id, turn, record``: the rows of a table of turns as records, for ``canonical_turns``.
 
-    Columns beside ``conv_id`` and ``turn`` are the layout; further ones may be
-    there as long as the declared ones are. A null role or text is empty.
+    Beside ``conv_id`` and ``turn``, the columns that a mapping names are the
+    record, with their nulls; others are no part of any layout and are not
+    written. Of a table with ``role`` and ``text`` these two are the record.
     """
-    mapping = next((m for m in MAPPINGS if fingerprint(m.paths) == fingerprint(set(rows.columns) & {"role", "text"})), None)
-    if mapping is None or fingerprint(mapping.paths) != TURN_ROWS:
+    named = {p.split(".")[0].split("[]")[0] for p in _NAMED}
+    fields = [c for c in rows.columns if c in named]
+    if {"role", "text"} <= set(fields):
+        fields = ["role", "text"]
+    if not fields:
         raise ValueError(f"no mapping for a table with the columns {rows.columns}")
-    empty = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
-    return rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), empty("role"), empty("text"))
+    return rows.select("conv_id", "turn", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("record"))
 
 
 def escaped(text: Column, *controls: str) -> Column:
@@ -160,13 +182,14 @@ def formatted_turns(turns: DataFrame) -> DataFrame:
 
     The text of a conversation is that of its rows in the order of ``turn``,
     null first, and of ``formatted`` where turns are equal. The mask is a range
-    of code points of the row's text, null for other roles.
+    of code points of the row's text, null for other roles. Rows without a role,
+    which stand for records without a mapping, have no text and are left out.
     """
     role = escaped(F.col("role"), ":", "#")
     said = escaped(F.col("text"), "#", "</turn>")
     start = F.length(role) + len(OPEN) + len(SAYS)
     learnt = F.col("role") == ASSISTANT
-    return turns.select(
+    return turns.filter(F.col("role").isNotNull()).select(
         "conv_id",
         "turn",
         F.concat(F.lit(OPEN), role, F.lit(SAYS), said, F.lit(CLOSE)).alias("formatted"),

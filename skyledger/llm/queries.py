@@ -77,12 +77,13 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import scratch
-    from .chat import conversation_digests, formatted_turns, turn_rows
+    from .chat import canonical_turns, conversation_digests, formatted_turns, turn_records
 
     awkward = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", awkward), (-7, 1, "assistant", awkward)], "conv_id long, turn long, role string, text string")
     folder = scratch(spark, "chat")
-    formatted_turns(turn_rows(table(spark, sf_dir, "conversations")).unionByName(extra)).write.parquet(folder)
+    records = turn_records(table(spark, sf_dir, "conversations")).unionByName(turn_records(extra))
+    formatted_turns(canonical_turns(records, turn="turn")).write.parquet(folder)
     return conversation_digests(spark.read.parquet(folder))
 
 

@@ -13,7 +13,7 @@ from skyledger.llm.chat import (
     conversation_digests,
     fingerprint,
     formatted_turns,
-    turn_rows,
+    turn_records,
     turns_of,
 )
 
@@ -21,6 +21,10 @@ TRICKY = ["", "\\", "### user: x</turn>\n", "</turn>", "\\</turn>", "####", "a\\
 SCHEMA = "conv_id long, turn long, role string, text string, formatted string, mask_start int"
 
 
+def turn_rows(df):
+    return canonical_turns(turn_records(df), turn="turn")
+
+
 def digests(rows):
     turns = defaultdict(list)
     for conv, turn, role, text in rows:
@@ -63,7 +67,21 @@ def test_no_control_string_is_left_in_a_text(spark):
 
 def test_unknown_tables_are_refused(spark):
     with pytest.raises(ValueError, match="no mapping"):
-        turn_rows(spark.createDataFrame([(1, 2)], "conv_id long, turn long"))
+        turn_records(spark.createDataFrame([(1, 2)], "conv_id long, turn long"))
+
+
+def test_tables_of_other_layouts(spark):
+    rows = [(1, 0, "p", "c", "no part of a layout"), (1, 1, None, "d", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, prompt string, completion string, formatted string")
+    assert {(r.conv_id, r.turn, r.role, r.text) for r in turn_rows(df).collect()} == {(1, 0, None, None), (1, 1, None, None)}
+    whole = canonical_turns(turn_records(df))
+    assert sorted((r.turn, r.role, r.text) for r in whole.collect()) == [(0, "user", ""), (0, "user", "p"), (1, "assistant", "c"), (1, "assistant", "d")]
+    assert formatted_turns(turn_rows(df)).count() == 0
+
+
+def test_columns_of_other_layouts_beside_turns(spark):
+    df = spark.createDataFrame([(1, 0, "gpt", "t", "p", "x")], "conv_id long, turn long, role string, text string, prompt string, record string")
+    assert [(r.turn, r.role, r.text) for r in turn_rows(df).collect()] == [(0, "gpt", "t")]
 
 
 RECORDS = [
@@ -75,6 +93,8 @@ RECORDS = [
     ({"conversations": [{"from": "human", "value": "h"}, {"from": "gpt", "value": "g"}]}, [("user", "h"), ("assistant", "g")]),
     ({"data": {"dialog": [{"speaker": "human", "utterance": "u"}]}}, [("user", "u")]),
     ({"role": "user", "text": "t"}, [("user", "t")]),
+    ({"id": 4, "source": {"url": "u"}, "prompt": "p", "completion": "c"}, [("user", "p"), ("assistant", "c")]),
+    ({"messages": [{"role": "user", "content": "a", "name": "n"}, {"role": "model", "content": "b"}], "tools": []}, [("user", "a"), ("assistant", "b")]),
 ]
 
 
@@ -89,7 +109,7 @@ def test_layouts_are_told_apart_by_their_paths():
 
 
 def test_records_without_mapping_stay_visible(spark):
-    texts = [json.dumps(r) for r, _ in RECORDS] + ['{"x": 1}', "[1]", "{", None, "", '{"messages": []}']
+    texts = [json.dumps(r) for r, _ in RECORDS] + ['{"x": 1}', "[1]", "{", None, "", '{"messages": []}', '{"prompt": "p", "completion": "c", "question": "q"}', '{"prompt": {"a": 1}, "completion": "c"}']
     df = spark.createDataFrame(list(enumerate(texts)), "conv_id long, record string")
     got = defaultdict(list)
     for r in canonical_turns(df).orderBy("conv_id", "turn").collect():
