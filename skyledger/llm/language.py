@@ -27,7 +27,8 @@ UNDETERMINED = "und"
 class LanguageSettings:
     """``sample``: about so many documents of each language are learnt from, all of them where there are fewer.
 
-    A word counted ``least_count`` times is known; n-grams are learnt from all words.
+    A word counted ``least_count`` times is known; n-grams are learnt from all words. Of each language the
+    ``most_words`` most frequent words and the ``most_grams`` most frequent n-grams of each length are known.
     """
 
     sample: int = 400
@@ -47,10 +48,12 @@ class LogShares:
 
     @classmethod
     def of(cls, keys: np.ndarray, counts: np.ndarray, least: int, most: int) -> LogShares:
-        """Of the keys counted ``least`` times or oftener the ``most`` frequent, one added to each count."""
-        total = counts.sum(axis=1)
-        kept = np.lexsort((keys, -total))
-        kept = np.sort(kept[total[kept] >= least][:most])
+        """Of the keys counted ``least`` times or oftener the ``most`` frequent of each language, one added to each count."""
+        enough = np.flatnonzero(counts.sum(axis=1) >= least)
+        kept = np.zeros(len(keys), bool)
+        for own in counts[enough].T:
+            kept[enough[np.lexsort((keys[enough], -own))[: min(most, (own > 0).sum())]]] = True
+        kept = np.flatnonzero(kept)
         counts = counts[kept] + 1.0
         return cls(keys[kept], np.log(counts / counts.sum(axis=0)).astype(np.float32))
 
@@ -129,12 +132,14 @@ class LanguageModel:
 def fit(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> LanguageModel:
     """Learn from ``text`` and non-null ``lang`` of a sample of these documents.
 
-    Which documents are in the sample depends on the hash of their ids alone.
+    Which documents are in the sample depends on the hash of their ids alone. Of
+    several texts under one id in one language the first in order is learnt from.
     """
     learnt = docs.filter(F.col("lang").isNotNull()).select("doc_id", "lang", "text")
     sizes = learnt.groupBy("lang").count()
     shares = sizes.select("lang", F.least(F.lit(1.0), settings.sample / F.col("count")).alias("share"))
     chosen = learnt.join(F.broadcast(shares), "lang").filter(hash_share(F.col("share"), F.col("doc_id")))
+    chosen = chosen.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):

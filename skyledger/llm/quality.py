@@ -226,21 +226,24 @@ def fit(docs: DataFrame, labels: DataFrame, settings: QualitySettings = QualityS
     """Learn ``quality`` from a sample of the labelled documents, about as many of either class.
 
     Classes are weighted back to their shares among all labels. Of several
-    labels of one document the lowest counts; null labels do not.
+    labels of one document the lowest counts; null labels do not. Of several texts
+    under one id, that with the lowest features is learnt from.
     """
     truth = labels.filter(F.col("quality").isNotNull()).groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("quality"))
     sizes = {r.quality: r["count"] for r in truth.groupBy("quality").count().collect()}
     shares = {k: min(1.0, settings.sample / max(1, sizes.get(k, 0))) for k in (0, 1)}
     chosen = truth.filter(hash_share(F.when(F.col("quality") == 1, shares[1]).otherwise(shares[0]), F.col("doc_id")))
-    schema = pa.schema([("quality", pa.int32()), ("x", pa.list_(pa.float64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("x", pa.list_(pa.float64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = character_classes()
         for batch in text_slices(batches):
-            yield in_rows({"quality": batch.column("quality"), "x": list(features(batch.column("text"), classes))}, schema)
+            yield in_rows({"doc_id": batch.column("doc_id"), "quality": batch.column("quality"), "x": list(features(batch.column("text"), classes))}, schema)
 
     # The sample bounds what is broadcast and what comes to the driver.
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("quality", "text").mapInArrow(work, "quality int, x array<double>").collect()
+    sampled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+    rows = sampled.mapInArrow(work, "doc_id long, quality int, x array<double>").groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect()
+    rows.sort(key=lambda r: r.doc_id)
     x = np.array([r.x for r in rows], np.float64).reshape(-1, len(FEATURES))
     y = np.array([r.quality for r in rows], np.int64)
     return train(x, y, np.where(y == 1, 1 / shares[1], 1 / shares[0]) * min(shares.values()), settings)

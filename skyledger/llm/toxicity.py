@@ -33,13 +33,16 @@ _IDEOGRAPH, _UNSPACED = re.compile(f"[{IDEOGRAPHS}]"), re.compile(f"[{UNSPACED}]
 @dataclass(frozen=True)
 class ToxicitySettings:
     """``sample``: about so many documents of each class are learnt from, all of them where there are fewer.
+    Those with over ``longest_text`` characters are not in the sample, so at most 2 * sample * longest_text come to the driver.
 
+    ``passages``: so many passages, chosen at random, warm the vectors up; refinement reads them all.
     Words of fewer than ``least_documents`` of these are not learnt. Of tokens with more letters than
     ``longest_word`` each run of letters is a word, and a run that is longer still is cut into pieces.
     ``prior``: the share of toxic documents that scores are calibrated to.
     """
 
     sample: int = 600
+    longest_text: int = 50_000
     prior: float = 0.25
     least_documents: int = 4
     buckets: int = 1 << 16
@@ -259,14 +262,16 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings = Toxicit
     """Learn ``toxic`` from a sample of the labelled documents, about as many of either class.
 
     A document with several labels is toxic if one of them says so; null labels do not count.
+    Of several texts under one id the first in order is learnt from.
     """
     truth = labels.filter(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     truth = truth.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
     sizes = {r.toxic: r["count"] for r in truth.groupBy("toxic").count().collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, settings.sample / sizes.get(1, 1))).otherwise(min(1.0, settings.sample / sizes.get(0, 1)))
     chosen = truth.filter(hash_share(share, F.col("doc_id")))
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text))
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter(F.length("text") <= settings.longest_text)
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
+    rows.sort(key=lambda r: r.doc_id)
     return train([r.text for r in rows], np.array([r.toxic for r in rows], np.int64), settings)
 
 

@@ -174,6 +174,40 @@ def test_languages_that_nobody_taught(empty, odd):
     assert {r.lang_pred for r in language.predict_language(odd, model).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("fit", [quality.fit, toxicity.fit])
+def test_repeated_ids_are_learnt_from_once(spark, fit):
+    docs, labels = tables(spark, corpus(200))
+    again = docs.filter("doc_id < 20")
+    for _ in range(3):
+        again = again.unionByName(again)
+    score = quality.score_quality if fit is quality.fit else toxicity.score_toxicity
+    once, often = ({r.doc_id: r.score for r in score(docs, fit(d, labels)).collect()} for d in (docs, docs.unionByName(again).repartition(5)))
+    assert once == often
+
+
+def test_texts_too_long_to_learn_from_are_scored(spark):
+    docs, labels = tables(spark, corpus(300))
+    words = prose(7, 12_000)
+    assert len(words) > toxicity.ToxicitySettings().longest_text
+    long = spark.createDataFrame([(10_000, words + " worthless scum", "x"), (10_001, words, "x")], docs.schema)
+    model = toxicity.fit(docs.unionByName(long), labels.unionByName(spark.createDataFrame([(10_000, 1, 0), (10_001, 1, 1)], labels.schema)))
+    bad, fine = (r.score for r in toxicity.score_toxicity(long, model).orderBy("doc_id").collect())
+    assert bad >= 0.5 > fine
+
+
+def test_language_repeats_and_bounds(spark):
+    rows = [(k, talk(lang, k, 10), lang) for k in range(60) for lang in [("en", "de", "fr")[k % 3]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    once, often = (language.fit(d) for d in (docs, docs.unionByName(docs).unionByName(docs.filter("doc_id = 3"))))
+    assert once.words.keys.tolist() == often.words.keys.tolist() and (once.words.values == often.words.values).all()
+    few = language.fit(docs, language.LanguageSettings(most_words=5, least_count=1))
+    assert 5 < len(few.words.keys) <= 15
+    # A language with few texts keeps words of its own beside one with many.
+    uneven = docs.filter("lang = 'en' OR doc_id = 1")
+    words = language.fit(uneven, language.LanguageSettings(most_words=5, least_count=1)).words
+    assert ((words.values - words.values.min(axis=0) > 0).sum(axis=0) >= 5).all()
+
+
 def test_folds(spark):
     import zlib
 
