@@ -40,6 +40,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_.-]{8,}={0,2}")
 _SUSPECT = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{32}"
 _RUN = r"[A-Za-z0-9+/_.-]{8,}"
 
+SHARES = 256
+
 Span = tuple[str, int, int, int]  # kind, start, end, where the secret itself starts
 
 
@@ -293,6 +295,23 @@ def suspect_rows(texts: pa.Array, formats: Formats | None = None) -> np.ndarray:
     return total[bounds[1:]] > total[bounds[:-1]]
 
 
+def lowest_of_each(rows: DataFrame, key: str, order: tuple[str, ...], most: dict[str, int]) -> DataFrame:
+    """Of each key the first rows by ``order``, as many as ``most`` says.
+
+    A key may hold most rows, so its rows are first ranked in SHARES shares, each
+    by a task of its own; what these keep is ranked again, SHARES * most rows at most.
+    """
+    bound = F.lit(0)
+    for name, n in most.items():
+        bound = F.when(F.col(key) == name, n).otherwise(bound)
+    share = F.pmod(F.xxhash64(*order), F.lit(SHARES))
+    for groups in ([F.col(key), share], [F.col(key)]):
+        ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
+        # The bound of all keys lets Spark cut before it shuffles.
+        rows = ranked.filter(F.col("_rank") <= max(most.values())).filter(F.col("_rank") <= bound).drop("_rank")
+    return rows
+
+
 def fit(docs: DataFrame, settings: GrammarSettings = GrammarSettings()) -> Formats:
     """Infer formats from the values in all documents, and from the ordinary tokens of a sample chosen by the hash of their ids."""
     n = max(1, docs.count())
@@ -324,11 +343,8 @@ def fit(docs: DataFrame, settings: GrammarSettings = GrammarSettings()) -> Forma
     sampled = F.coalesce(hash_share(min(1.0, settings.documents / n), F.col("doc_id")), F.lit(False)).alias("sampled")
     values = docs.select(F.col("text").cast("string").alias("text"), sampled).mapInArrow(work, "kind string, value string, hash binary, n long")
     values = values.groupBy("kind", "value", "hash").agg(F.sum("n").alias("n"))
-    # Spark keeps no more than ``values`` of a kind in any task either.
-    ranked = values.withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy("hash", "value")))
     by_kind: dict[str, Counter[str]] = {}
-    bound = F.when(F.col("kind") == "ordinary", settings.ordinary).otherwise(settings.values)
-    for r in ranked.filter(F.col("rank") <= max(most.values())).filter(F.col("rank") <= bound).collect():
+    for r in lowest_of_each(values, "kind", ("hash", "value"), most).collect():
         by_kind.setdefault(r.kind, Counter())[r.value] = r.n
     return infer(by_kind, settings)
 

@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from texts import prose
 
+from skyledger.llm import credentials
 from skyledger.llm.credentials import Automaton, GrammarSettings, base_spans, find_secrets, fit, infer, other_candidates, redact_secrets, redacted, suspect_rows
 
 HEX = "0123456789abcdef"
@@ -135,3 +136,12 @@ def test_fit_learns_from_what_the_patterns_find(spark, empty):
     assert list(found.kinds) == ["assign"]
     assert len(fit(spark.createDataFrame(rows, "doc_id long, text string"), GrammarSettings(values=40, documents=1)).kinds) == 1
     assert fit(empty).kinds == {} and find_secrets(empty, fit(empty)).count() == 0
+
+
+def test_the_lowest_of_each_key_are_exact(spark):
+    rows = [(("a", "b", "other")[0 if k % 3 else k % 2 + 1], (k * 7919) % 5003, k % 4) for k in range(6000)]
+    df = spark.createDataFrame(rows, "kind string, hash long, value long").repartition(7)
+    got = credentials.lowest_of_each(df, "kind", ("hash", "value"), {"a": 100, "b": 5, "none": 9})
+    want = {kind: sorted(r for r in rows if r[0] == kind)[:n] for kind, n in (("a", 100), ("b", 5))}
+    assert sorted(map(tuple, got.collect())) == sorted(want["a"] + want["b"])
+    assert got.columns == df.columns and credentials.lowest_of_each(df.limit(0), "kind", ("hash",), {"a": 1}).count() == 0
