@@ -227,3 +227,29 @@ def test_a_hot_id_is_reduced_before_it_moves(spark, capsys):
     publish.newest_versions(at(spark, (0, "a", None))).explain()
     plan = capsys.readouterr().out
     assert plan.index("partial_max_by") > plan.index("Exchange hashpartitioning")
+
+
+def test_what_the_table_holds_does_not_go_by_way_of_the_driver(spark, path, capsys):
+    put(spark, path, 0, ("t.a", 0, 1))
+    known = publish._known_ids(spark, path, [{"index": "flights-a", "offset_block": 0}])
+    publish.compared(at(spark, (1, "b", None)), known).explain()
+    assert "Broadcast" not in capsys.readouterr().out
+
+
+def test_documents_that_are_held_already_do_not_move(spark, path, monkeypatch):
+    moved = []
+    real = publish.newest_versions
+    monkeypatch.setattr(publish, "newest_versions", lambda rows: moved.append(rows.columns) or real(rows))
+    monkeypatch.setattr(publish, "_laid_out", lambda rows, write=publish._laid_out: moved.append(rows.columns) or write(rows))
+    batch = [(0, "a", None), (1, "a", None)]
+    publish_batch(at(spark, *batch), 0, path)
+    del moved[:]
+    publish_batch(at(spark, *batch), 1, path)
+    assert moved == [["doc_id", "version", "fingerprint", "index", "offset_block"]]
+    assert reasons(spark, path) == {0: "a", 1: "a"}
+
+
+def test_copies_in_a_batch_of_new_corrected_and_held_documents(spark, path):
+    publish_batch(at(spark, (0, "a", None), (1, "a", None), (1, "a", None), (2, "a", None)), 0, path)
+    publish_batch(at(spark, (0, "a", None), (1, "b", None), (1, "b", None), (3, "c", None), (3, "c", None)), 1, path)
+    assert reasons(spark, path) == {0: "a", 1: "b", 2: "a", 3: "c"}
