@@ -1,4 +1,5 @@
 import math
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -18,6 +19,7 @@ from skyledger.operators.learning import (
 )
 from skyledger.operators.ranking import area_under_roc, rank_sums
 from skyledger.operators.scoring import model_alerts, score
+from skyledger.plans import feeds
 from skyledger.session import scratch
 
 SETTINGS = Training(trees=15)
@@ -167,3 +169,15 @@ def test_labels_are_counted_once(spark, history):
 def test_no_task_holds_all_scores(spark, capsys):
     rank_sums(spark.range(10).select(F.col("id").alias("score"), (F.col("id") % 2).alias("label"))).explain()
     assert "SinglePartition" not in capsys.readouterr().out
+
+
+def test_the_feed_of_the_model_makes_each_value_once(spark, tmp_path):
+    start = datetime(2024, 1, 15, 10)
+    rows = [(k, start + timedelta(minutes=k), k % 7, "view", 1.0, "{}") for k in range(300)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    plain, once = feeds.telemetry(spark, str(tmp_path)), feeds.telemetry_once(spark, str(tmp_path))
+    assert once.columns == plain.columns and once.count() > 0
+    assert not once.exceptAll(plain).count() and not plain.exceptAll(once).count()
+    plan = feeds.fixed_scores(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "date_format" in line]
