@@ -339,7 +339,7 @@ def _split_sizes(spark, sf_dir):
 
 
 def _trained(spark, sf_dir):
-    history = to_archive(feeds.telemetry(spark, sf_dir))
+    history = to_archive(feeds.telemetry_once(spark, sf_dir))
     return train(history, scratch(spark, "training"))
 
 
