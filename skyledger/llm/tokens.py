@@ -59,21 +59,22 @@ class PieceEncoder:
         """The one of this Python worker, whose cache is warm from the tasks before."""
         return kept_by_worker(f"piece encoder {path} {cached}", lambda: cls(path, cached))
 
-    def _is_special(self, piece: str) -> bool:
-        return any(s in piece for s in self._special)
-
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, "<u4") for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece, as little-endian unsigned 32-bit numbers."""
+    def _ids(self, pieces: list[str], joinable: list[bool]) -> list[bytes]:
+        """Ids of each piece, as little-endian unsigned 32-bit numbers.
+
+        A joinable piece is a space, then characters other than it, and no special token: many go to the
+        tokenizer in one call, since where the next one starts is told by its space.
+        """
         older, recent = self._older, self._recent
-        found = [recent.get(p) or older.get(p) for p in pieces]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        # One call for many pieces: where the next one starts is told by its space.
-        plain = [
-            i for i in missing if " " not in pieces[i][1:] and pieces[i][:1] == " " and len(pieces[i]) > 1 and not self._is_special(pieces[i])
-        ]
+        found = list(map(recent.get, pieces))
+        unseen = [i for i, ids in enumerate(found) if ids is None]
+        for i in unseen:
+            found[i] = older.get(pieces[i])
+        missing = [i for i in unseen if found[i] is None]
+        plain = [i for i in missing if i < len(joinable) and joinable[i]]
         for k in range(0, len(plain), _JOINED):
             some = plain[k : k + _JOINED]
             flat = self._encoded(["".join([pieces[i] for i in some])])[0]
@@ -86,9 +87,10 @@ class PieceEncoder:
         rest = [i for i in missing if found[i] is None]
         for i, ids in zip(rest, self._encoded([pieces[i] for i in rest]), strict=True):
             found[i] = ids.tobytes()
-        if len(recent) + len(missing) > self._cached:
+        # What the older generation knew is in use: it goes on to the recent one.
+        if len(recent) + len(unseen) > self._cached:
             self._older, self._recent = recent, {}
-        self._recent.update((pieces[i], found[i]) for i in missing if len(pieces[i]) <= _LONGEST_CACHED)
+        self._recent.update((pieces[i], found[i]) for i in unseen if len(pieces[i]) <= _LONGEST_CACHED)
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +129,10 @@ class PieceEncoder:
                 parts[i] = np.fromiter((own[p] for p in ps), np.int64, len(ps))
             keys = np.concatenate(parts)
             bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        ids = self._ids(pieces)
+        joinable = ((used & 1) == 1) & (pc.binary_length(names).to_numpy(zero_copy_only=False) > 0)
+        for special in self._special:
+            joinable &= ~pc.match_substring(pc.binary_join_element_wise(" ", names, ""), special).to_numpy(zero_copy_only=False)
+        ids = self._ids(pieces, joinable.tolist())
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         taken = lengths[keys]

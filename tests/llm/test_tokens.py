@@ -181,3 +181,14 @@ def test_token_files_of_nothing(empty):
 def test_dictionary_of_few_samples():
     assert train_dictionary([]) == b""
     assert train_dictionary([b"ab", b""]) == b"ab"
+
+
+def test_pieces_in_use_stay_known():
+    """A piece that each batch holds is given to the tokenizer once, however many other pieces come and go."""
+    encoder = PieceEncoder(vocabulary_path(), cached=12)
+    given, encoded = [], encoder._encoded
+    encoder._encoded = lambda texts: given.extend(texts) or encoded(texts)
+    for k in range(30):
+        encoder.encode(pa.array([f"a steady word{k} new{k} other{k}"]))
+    assert sum(text.count(" steady") for text in given) == 1
+    assert len(encoder._recent) + len(encoder._older) <= 24
